@@ -6,19 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import sharding, urls
 from .shared import table
 
 
+def op2_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_host_trust": op2_host_trust,
         "op6_feistel_sharding": op6_feistel_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_host_trust": urls.ORACLE_SQL,
+    }
