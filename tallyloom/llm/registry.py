@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, urls
+from . import language, sharding, urls
 from .shared import table
 
 
@@ -18,10 +18,15 @@ def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_host_trust": op2_host_trust,
         "op6_feistel_sharding": op6_feistel_sharding,
+        "op10_language_kernel": op10_language_kernel,
     }
 
 
