@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, sharding, urls
+from . import language, near_dedup, sharding, urls
 from .shared import table
 
 
@@ -18,6 +18,10 @@ def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_host_trust": op2_host_trust,
         "op6_feistel_sharding": op6_feistel_sharding,
+        "op9_dart_minhash": op9_dart_minhash,
         "op10_language_kernel": op10_language_kernel,
     }
 
