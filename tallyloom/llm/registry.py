@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, near_dedup, sharding, urls
+from . import language, near_dedup, sharding, toxicity, urls
 from .shared import table
 
 
+def op1_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(table(spark, sf_dir, "pages"))
 
@@ -28,6 +32,7 @@ def op10_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_classifier_chain": op1_classifier_chain,
         "op2_host_trust": op2_host_trust,
         "op6_feistel_sharding": op6_feistel_sharding,
         "op9_dart_minhash": op9_dart_minhash,
