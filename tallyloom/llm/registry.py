@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, near_dedup, sharding, toxicity, urls
+from . import language, near_dedup, packing, sharding, toxicity, urls
 from .shared import table
 
 
@@ -18,6 +18,10 @@ def op2_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(table(spark, sf_dir, "pages"))
 
 
+def op3_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_classifier_chain": op1_classifier_chain,
         "op2_host_trust": op2_host_trust,
+        "op3_bm25_packing": op3_bm25_packing,
         "op6_feistel_sharding": op6_feistel_sharding,
         "op9_dart_minhash": op9_dart_minhash,
         "op10_language_kernel": op10_language_kernel,
