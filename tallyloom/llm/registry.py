@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import language, near_dedup, packing, sharding, toxicity, urls
@@ -42,10 +43,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_feistel_sharding": op6_feistel_sharding,
         "op9_dart_minhash": op9_dart_minhash,
         "op10_language_kernel": op10_language_kernel,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op2_host_trust": urls.ORACLE_SQL,
-    }
+    found = {"op2_host_trust": urls.ORACLE_SQL}
+    if corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
