@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, near_dedup, packing, sharding, toxicity, urls
+from . import byte_bpe, language, near_dedup, packing, sharding, toxicity, urls
 from .shared import table
 
 
@@ -23,6 +23,10 @@ def op3_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_classifier_chain": op1_classifier_chain,
         "op2_host_trust": op2_host_trust,
         "op3_bm25_packing": op3_bm25_packing,
+        "op5_byte_bpe": op5_byte_bpe,
         "op6_feistel_sharding": op6_feistel_sharding,
         "op9_dart_minhash": op9_dart_minhash,
         "op10_language_kernel": op10_language_kernel,
