@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, language, near_dedup, packing, sharding, toxicity, urls
+from . import byte_bpe, language, near_dedup, norm_search, packing, sharding, toxicity, urls
 from .shared import table
 
 
@@ -31,6 +31,10 @@ def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_search.top_products(table(spark, sf_dir, "embeddings"))
+
+
 def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bm25_packing": op3_bm25_packing,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_feistel_sharding": op6_feistel_sharding,
+        "op8_norm_buckets": op8_norm_buckets,
         "op9_dart_minhash": op9_dart_minhash,
         "op10_language_kernel": op10_language_kernel,
         "pipeline": corpus_pipeline.run,
@@ -53,7 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op2_host_trust": urls.ORACLE_SQL}
+    found = {"op2_host_trust": urls.ORACLE_SQL, "op8_norm_buckets": norm_search.ORACLE_SQL}
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
