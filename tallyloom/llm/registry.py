@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, language, near_dedup, norm_search, packing, sharding, toxicity, urls
+from . import byte_bpe, language, near_dedup, norm_search, packing, sharding, toxicity, urls, weighted_sampling
 from .shared import table
 
 
@@ -31,6 +31,10 @@ def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return norm_search.top_products(table(spark, sf_dir, "embeddings"))
 
@@ -50,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bm25_packing": op3_bm25_packing,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_feistel_sharding": op6_feistel_sharding,
+        "op7_weighted_sampling": op7_weighted_sampling,
         "op8_norm_buckets": op8_norm_buckets,
         "op9_dart_minhash": op9_dart_minhash,
         "op10_language_kernel": op10_language_kernel,
