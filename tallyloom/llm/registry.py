@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, language, near_dedup, norm_search, packing, sharding, toxicity, urls, weighted_sampling
+from . import byte_bpe, language, near_dedup, norm_search, packing, sharding, tool_calls, toxicity, urls, weighted_sampling
 from .shared import table
 
 
@@ -23,6 +23,10 @@ def op3_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.link_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_classifier_chain": op1_classifier_chain,
         "op2_host_trust": op2_host_trust,
         "op3_bm25_packing": op3_bm25_packing,
+        "op4_tool_calls": op4_tool_calls,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_feistel_sharding": op6_feistel_sharding,
         "op7_weighted_sampling": op7_weighted_sampling,
@@ -63,7 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op2_host_trust": urls.ORACLE_SQL, "op8_norm_buckets": norm_search.ORACLE_SQL}
+    found = {"op2_host_trust": urls.ORACLE_SQL, "op4_tool_calls": tool_calls.ORACLE_SQL, "op8_norm_buckets": norm_search.ORACLE_SQL}
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
