@@ -15,6 +15,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -198,22 +199,33 @@ def fit(docs: DataFrame, landmarks: int = LANDMARKS, fit_rows: int = FIT_ROWS) -
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with lang_pred and score added; of docs only doc_id and text are looked at.
+    """doc_id, text, lang_pred, score of every row of docs.
 
     lang_pred is `und` and score 0 where text is null or has no letter; else a learned language, the first in order on
     a tie (a text that shares no n-gram with a landmark gets the language of most fitted rows). No rows give no rows.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    scored = _scorer(docs, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score_texts = scored()
+        for batch in batches:
+            names, best = score_texts(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(best)], [*batch.schema.names, "lang_pred", "score"])
+
     schema = docs.select("doc_id", "text").schema.add("lang_pred", "string").add("score", "double")
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def _scorer(docs: DataFrame, model: Model):
+    """A function that in a task gives the one that scores texts."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES by languages
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         m = shipped.value
         table = m.table()
-        for pdf in batches:
-            names, best = score(pdf.text.tolist(), m, table)
-            yield pdf.assign(lang_pred=names, score=best)
+        return lambda texts: score(texts, m, table)
 
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return start
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -227,14 +239,12 @@ def known_language(docs: DataFrame) -> DataFrame:
 
     A row's columns go through the scoring step with it, so rows that repeat or lack a doc_id are each judged alone.
     """
-    model = fit(docs)
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    scored = _scorer(docs, fit(docs))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shipped.value
-        table = m.table()
-        for pdf in batches:
-            names, best = score(pdf.text.tolist(), m, table)
-            yield pdf[(np.array(names, object) != UNKNOWN) & (best >= LEAST_SCORE)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score_texts = scored()
+        for batch in batches:
+            names, best = score_texts(batch.column("text").to_pylist())
+            yield batch.filter(pa.array((np.array(names, object) != UNKNOWN) & (best >= LEAST_SCORE)))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -258,16 +259,16 @@ def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CA
     for name in categories:
         schema = schema.add(f"p_{name}", "double").add(f"is_{name}", "boolean")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain, features = start()
-        for pdf in batches:
-            p = score(pdf.text.tolist(), chain, features)
-            columns = {"doc_id": pdf.doc_id}
+        for batch in batches:
+            p = score(batch.column("text").to_pylist(), chain, features)
+            columns = [batch.column("doc_id")]
             for k, link in enumerate(chain):
-                columns |= {f"p_{link.category}": p[:, k], f"is_{link.category}": p[:, k] >= link.threshold}
-            yield pd.DataFrame(columns)
+                columns += [pa.array(p[:, k]), pa.array(p[:, k] >= link.threshold)]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -275,9 +276,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     start = _scorer(docs, labels, CATEGORIES)
     at = list(CATEGORIES).index("toxic")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain, features = start()
-        for pdf in batches:
-            yield pdf[score(pdf.text.tolist(), chain, features)[:, at] < chain[at].threshold]
+        for batch in batches:
+            yield batch.filter(pa.array(score(batch.column("text").to_pylist(), chain, features)[:, at] < chain[at].threshold))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

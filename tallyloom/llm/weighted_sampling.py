@@ -76,14 +76,17 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         given = given.groupBy("doc_id", "next_id").agg(F.min_by("given", "least").alias("given"))
     both = known.select("doc_id", "text").join(given.select("doc_id", "next_id", "given"), "doc_id")
     lost = rows.where("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast("long").alias("next_id"), F.col("text").alias("given"))
-    both = both.unionByName(lost) if not docs.where("doc_id IS NULL").isEmpty() else both
+    nameless = not docs.where("doc_id IS NULL").isEmpty()
+    both = both.unionByName(lost) if nameless else both
     both = both.withColumn("n_chars", F.length("text").cast("long")).withColumn("key", F.xxhash64("text"))
     both = both.withColumn("cut", F.floor(F.col("n_chars") / 3).cast("int"))
     both = both.withColumn("same", F.expr("substring(text, 1, CAST(n_chars AS INT) - cut)")).withColumn("edited", F.expr("concat(same, substring(given, 1, cut))"))
     info = both.select("doc_id", "key", "next_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
 
+    # a row that repeats must not count its words twice
+    once = both.dropDuplicates(["doc_id", "key"]) if repeated or nameless else both
     # words before the last white space of the common part are in both texts
-    whole = both.withColumn("shared", F.regexp_extract("same", r"(?s)^(.*\s)", 1))
+    whole = once.withColumn("shared", F.regexp_extract("same", r"(?s)^(.*\s)", 1))
     rest = lambda c: F.expr(f"substring({c}, length(shared) + 1)")
     kinds = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _words(t).alias("words")) for a, b, t in ((1, 1, F.col("shared")), (1, 0, rest("text")), (0, 1, rest("edited")))))
     parts = whole.select("doc_id", "key", F.inline(kinds)).select("doc_id", "key", "a", "b", F.explode("words").alias("word")).where("word <> ''")
