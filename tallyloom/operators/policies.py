@@ -57,7 +57,7 @@ def best_page(rows: DataFrame, keys: list[str], first: int = 3) -> DataFrame:
 
 def rate_rows(texts: DataFrame) -> DataFrame:
     """key, ord, pos, label, amount: rate lines of texts (key, ord, text), without free ones and thresholds."""
-    row = rf"(?is)(.{{0,24}})((?:{RATE_TIERS})[^$]{{0,90}}?)\$\s?(\d+(?:\.\d{{2}})?)\b(.{{0,4}})"
+    row = rf"(?is)(.{{0,24}}?)((?:{RATE_TIERS})[^$]{{0,90}}?)\$\s?(\d+(?:\.\d{{2}})?)\b(?=(.{{0,4}}))"
     parts = [F.regexp_extract_all("text", F.lit(row), F.lit(k)).alias(n) for k, n in enumerate(("before", "label", "amount", "after"), 1)]
     rows = texts.select("key", "ord", F.posexplode(F.arrays_zip(*parts)).alias("pos", "r")).select("key", "ord", "pos", "r.*")
     rows = rows.withColumn("label", F.btrim(F.regexp_replace("label", r"\s+", " "), F.lit(" *–-,:")))
