@@ -34,7 +34,7 @@ SHARD_DOCS, SHARD_CHARS = 2048, 8_000_000
 #: Okapi constants, and how many of a seed's strongest words are looked up.
 K1, B = 1.2, 0.75
 QUERY_WORDS = 16
-CACHE_RUNS = 1_000_000
+CACHE_RUNS = 600_000
 MARKS = ",."
 BLOCK_CHARS = 1 << 20
 #: The vocabulary's own way to part a lower-cased text before merging.
@@ -55,9 +55,8 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        """Forget all runs: number of each run; by number, where its ids are in flat; its word's number."""
+        """Forget all runs: number of each run; by number, where its ids are in flat, and its word (a hash)."""
         self.numbers: dict[str, int] = defaultdict(count().__next__)
-        self.words: dict[str, int] = defaultdict(count().__next__)
         self.start, self.size, self.word, self.flat = (np.empty(0, np.int64),) * 3 + (np.empty(0, "<u4"),)
 
     def number(self, text: str) -> np.ndarray:
@@ -75,9 +74,9 @@ class Encoder:
         new = list(islice(self.numbers, old, None))
         if not new:
             return
-        base, word = self.flat.size, self.words.__getitem__
+        base = self.flat.size
         self.start, self.size = (np.append(x, np.zeros(len(new), np.int64)) for x in (self.start, self.size))
-        self.word = np.append(self.word, np.fromiter((word(r.strip(string.punctuation) or r) for r in new), np.int64, len(new)))
+        self.word = np.append(self.word, word_hashes(new))
         plain = np.ones(len(new), bool)
         plain[[k - old for k, _, _ in marked]] = False
         at = np.flatnonzero(plain)
@@ -118,13 +117,18 @@ def text_blocks(text: str) -> Iterator[str]:
     yield text[start:]
 
 
+def word_hashes(runs: list[str]) -> np.ndarray:
+    """32-bit hashes of runs without punctuation at either end."""
+    return np.fromiter((zlib.crc32((r.strip(string.punctuation) or r).encode("utf-8", "surrogatepass")) for r in runs), np.int64, len(runs))
+
+
 @cache
 def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
 def encode_shard(texts: list[str], own: Encoder) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Token ids of each text, END last; and the numbers of its words, the same for equal words of the shard.
+    """Token ids of each text, END last; and its words as hashes.
 
     Runs of texts that hold anything unusual are never encoded alone: such a text is encoded whole, its words are what
     white space parts.
@@ -137,7 +141,7 @@ def encode_shard(texts: list[str], own: Encoder) -> tuple[list[np.ndarray], list
     end, ids, words = np.array([END], "<u4"), [], []
     for text, runs in zip(texts, numbers, strict=True):
         ids.append(np.append(own.whole(text) if runs is None else own.ids(runs), end))
-        words.append(np.fromiter(map(own.words.__getitem__, text.lower().split()), np.int64) if runs is None else own.word[runs])
+        words.append(word_hashes(text.lower().split()) if runs is None else own.word[runs])
     return ids, words
 
 
@@ -152,6 +156,7 @@ class Index:
         new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if key.size else np.empty(0, np.int64)
         count = np.diff(np.append(new, key.size))
         word, self.doc = key[new] // n, key[new] % n
+        word = np.cumsum(np.append(0, word[1:] != word[:-1])) if word.size else word  # numbered in order
         held = np.bincount(word)
         self.end = np.cumsum(held)
         idf = np.log(1 + (n - held + 0.5) / (held + 0.5))
