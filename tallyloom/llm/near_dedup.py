@@ -9,8 +9,9 @@ k ln k + |x| darts and not k * |x|.
 Equal texts are one node. In a small band bucket all pairs are compared, in a larger one every node with the bucket's
 middles, the nodes closest to what most of the bucket's sketches say, so that a bucket of any size gives a few pairs a
 node. Comparisons are of short sketches (a byte a coordinate); what may reach the similarity is checked exactly, on the
-texts. Then every node of a bucket that holds several classes is held against its nearest nodes of other classes, again
-and again until that links no more classes; within a class further links would change nothing. Classes are the
+texts. Then, in every bucket that holds several classes, all pairs of nodes of different classes are compared, of a
+large bucket in blocks of parts, and each node's nearest are checked; rounds go on, with more of them a node, until no
+near pair of different classes is left unchecked. Within a class further links would change nothing. Classes are the
 connected components of the verified links.
 """
 
@@ -38,10 +39,13 @@ CACHE_WORDS = 300_000
 ELEMENT_BITS = 44
 #: Sketches of pairs of similarity 0.8 agree in less than this with a probability of 0.00002.
 MAYBE = 0.65
-#: Buckets are worked on in parts of about so many nodes, those of so few pair by pair; middles of a bucket, and nodes
-#: of other classes that a node is held against in each bucket and round.
+#: Buckets are worked on in parts of about so many nodes, those of so few pair by pair; middles of a bucket.
 GROUP, FEW = 512, 8
-MIDDLES, OTHERS = 2, 2
+MIDDLES = 2
+#: Nodes of a part where classes are compared; nodes of other classes that a node is checked against in each block and
+#: first round, and how many times more each later round takes while some are left over.
+BLOCK = 4096
+OTHERS, MORE = 2, 16
 #: Shingle sets that a task remembers while it checks pairs.
 CACHE_SETS = 4096
 
@@ -241,7 +245,7 @@ def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple
     kept = None
     for batch in batches:
         if batch.num_rows:
-            new = (*(batch.column(c).to_numpy() for c in names), _sketches(batch.column("sketch")))
+            new = (*(batch.column(c).to_numpy(zero_copy_only=False) for c in names), _sketches(batch.column("sketch")))
             kept = new if kept is None else tuple(np.concatenate(x) for x in zip(kept, new, strict=True))
             last = np.flatnonzero(kept[0] != kept[0][-1])
             done = int(last[-1]) + 1 if last.size else 0
@@ -292,20 +296,26 @@ def _middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], ["bucket", "node", "agree", "place"])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each node of a part its nearest nodes of other classes, if near."""
-    for part, node, group, sketch in _runs(batches, ["part", "node", "class"]):
-        found = []
-        for low, high in zip(*_bounds(part), strict=True):
-            own, its, bytes_ = node[low:high], group[low:high], sketch[low:high]
-            for k in range(own.size):
-                others = np.flatnonzero(its != its[k])
-                if others.size:
-                    agree = (bytes_[others] == bytes_[k]).mean(1)
-                    best = np.argsort(-agree, kind="stable")[:OTHERS]
-                    best = others[best[agree[best] >= MAYBE]]
-                    found.append((np.full(best.size, own[k]), own[best]))
-        yield _pairs(found)
+def _across(most: int):
+    """For each asking node of a block its nearest nodes of other classes, if near, `most` of them; rest: more were near."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, node, group, asks, held, sketch in _runs(batches, ["part", "node", "class", "asks", "held"]):
+            found, rest = [], [np.empty(0, bool)]
+            for low, high in zip(*_bounds(part), strict=True):
+                own, its = node[low:high], group[low:high]
+                others = np.flatnonzero(held[low:high])
+                bytes_ = np.ascontiguousarray(sketch[low:high][others].T)  # by coordinate, so that sums run over rows
+                for k in np.flatnonzero(asks[low:high]):
+                    agree = (bytes_ == sketch[low + k][:, None]).view(np.uint8).sum(0, dtype=np.uint8)
+                    near = np.flatnonzero((agree >= MAYBE * COORDINATES) & (its[others] != its[k]))
+                    best = near[np.argsort(-agree[near].astype(np.int16), kind="stable")[:most]]
+                    found.append((np.full(best.size, own[k]), own[others[best]]))
+                    rest.append(np.full(best.size, near.size > most))
+            pairs = _pairs(found)
+            yield pa.RecordBatch.from_arrays([*pairs.columns, pa.array(np.concatenate(rest))], ["a", "b", "rest"])
+
+    return run
 
 
 PAIRS = "a long, b long"
@@ -334,12 +344,27 @@ def near_pairs(rows: DataFrame) -> DataFrame:
     return found if large.isEmpty() else found.unionByName(_large(large))
 
 
-def pairs_across(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Near pairs (a, b) of rows (bucket, node, sketch, n) whose classes differ; classes: node, class, of those that are
-    not alone in theirs."""
+def pairs_across(rows: DataFrame, classes: DataFrame, most: int = OTHERS) -> DataFrame:
+    """a, b, rest: near pairs of rows (bucket, node, sketch, n) whose classes differ; classes: node, class, of those that
+    are not alone in theirs. `rest` says that a node has near ones in a block besides the `most` nearest given here.
+
+    Of two nodes of different classes one at least is outside the bucket's largest class; those ask, all are held
+    against them. A bucket of more than BLOCK nodes is cut into parts of about so many, its askers into parts by
+    themselves, and each part of askers meets each part of nodes in a block of its own.
+    """
     rows = rows.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    mixed = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("bucket")
-    return _parted(rows.join(mixed, "bucket"), "class").mapInArrow(_across, PAIRS)
+    sizes = rows.groupBy("bucket", "class").agg(F.count("*").alias("own")).groupBy("bucket").agg(F.max(F.struct("own", "class")).alias("top"), F.sum("own").alias("all"))
+    mixed = sizes.where("top.own < all").select("bucket", F.col("top.class").alias("_top"), F.ceil(F.col("all") / BLOCK).alias("_parts"), F.ceil((F.col("all") - F.col("top.own")) / BLOCK).alias("_asking"))
+    rows = rows.join(mixed, "bucket").withColumn("_asks", F.col("class") != F.col("_top")).withColumn("_h", F.xxhash64("node"))
+    block = lambda part, asking, asks, held: F.struct(part.alias("part"), asking.alias("asking"), asks.alias("asks"), held.alias("held"))
+    yes, no, one = F.lit(True), F.lit(False), F.lit(1).cast("long")
+    part, asking = F.pmod("_h", "_parts"), F.pmod(F.shiftright("_h", 20), F.col("_asking"))
+    as_held = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_asking") - one), lambda k: block(part, k, no, yes))
+    as_asker = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_parts") - one), lambda k: block(k, asking, yes, no))
+    at = F.when(F.col("_parts") == 1, F.array(block(part, asking, F.col("_asks"), yes))).otherwise(F.when(F.col("_asks"), F.concat(as_held, as_asker)).otherwise(as_held))
+    rows = rows.select("bucket", "node", "class", "sketch", F.explode(at).alias("at"))
+    rows = rows.select(F.xxhash64("bucket", "at.part", "at.asking").alias("part"), "node", "class", "at.asks", "at.held", "sketch")
+    return rows.repartition("part").sortWithinPartitions("part", "node").mapInArrow(_across(most), PAIRS + ", rest boolean")
 
 
 def similar_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -404,12 +429,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tried = similar_pairs(pairs, texts)
     links = tried.where("similar").select("a", "b")
     classes = components(links)
+    most = OTHERS
     while True:
-        more = cut(pairs_across(rows, classes).distinct().join(pairs, ["a", "b"], "left_anti"), "across")
+        near = cut(pairs_across(rows, classes, most).groupBy("a", "b").agg(F.max("rest").alias("rest")), "across")
+        more = cut(near.select("a", "b").join(pairs, ["a", "b"], "left_anti"), "untried")
         new = None if more.isEmpty() else similar_pairs(more, texts).where("similar").select("a", "b")
-        if new is None or new.isEmpty():
+        if new is not None and not new.isEmpty():
+            classes = joined_classes(classes, new)
+        if near.where("rest").isEmpty():  # each near pair of different classes has been checked
             break
-        pairs, classes = pairs.unionByName(more), joined_classes(classes, new)
+        pairs, most = pairs.unionByName(more), most * MORE
     found = known.select("doc_id", "node").join(classes, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class_id"))
     found = found.withColumn("keep", F.col("doc_id") == F.col("class_id"))
     lost = docs.where("doc_id IS NULL").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"), F.lit(True).alias("keep"))

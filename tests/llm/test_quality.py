@@ -118,6 +118,24 @@ def test_near_duplicates_equal_brute_force(spark, docs, texts):
     assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(df).collect()} == brute_classes(more)
 
 
+@pytest.mark.parametrize("block", [4096, 16])
+def test_partners_behind_nearer_sketches_are_found(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block, raising=False)  # with 16, buckets are cut into parts
+    rng = random.Random(11)
+    words, texts = [f"word{k}" for k in range(6000)], {}
+    for k in range(40):  # two texts of similarity 0.804 among 78 others of about 0.78, whose sketches are often nearer
+        spots = rng.sample(range(5, 5990, 5), 140)
+        for own in (spots[:75], spots[65:]):
+            text = list(words)
+            for at in own:
+                text[at] = f"new{k}x{at}"
+            texts[len(texts)] = " ".join(text)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    wanted = brute_classes(texts)
+    assert len(set(wanted.values())) == 40
+    assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(df).collect()} == wanted
+
+
 def test_signatures_collide_as_often_as_sets_are_alike():
     row, element, weight = np.array([0, 0, 1, 1, 1]), np.array([1, 2, 1, 2, 3], np.uint64), np.array([0.5, 2.3, 1.7, 1.1, 0.4])
     s = near_dedup.signatures(2, row, element, weight, 8000)
