@@ -6,13 +6,14 @@ the dart of least rank is kept for each. Two documents keep the same dart with t
 Jaccard similarity. Ranks are thrown slice by slice until every coordinate is hit, so a signature costs about
 k ln k + |x| darts and not k * |x|.
 
-Equal texts are one node. In a small band bucket all pairs are compared, in a larger one every node with the bucket's
-middles, the nodes closest to what most of the bucket's sketches say, so that a bucket of any size gives a few pairs a
-node. Comparisons are of short sketches (a byte a coordinate); what may reach the similarity is checked exactly, on the
-texts. Then, in every bucket that holds several classes, all pairs of nodes of different classes are compared, of a
-large bucket in blocks of parts, and each node's nearest are checked; rounds go on, with more of them a node, until no
-near pair of different classes is left unchecked. Within a class further links would change nothing. Classes are the
-connected components of the verified links.
+Equal texts are one node. Whatever a bucket's size, every two of its nodes are compared unless they are in one class
+already, where a further link would change nothing. To get there cheaply, a bucket of a few nodes is compared pair by
+pair, and in a larger one every node first with the bucket's middles, the nodes closest to what most of the bucket's
+sketches say; that joins most of it. Then each larger bucket that still holds several classes is gone through in blocks
+of parts, and all its nodes outside its largest class are compared with all its nodes. Comparisons start with short
+sketches (a byte a coordinate); what may reach the similarity is checked exactly, on all shingles. A block joins the
+classes that it links as it goes, so it gives fewer links than it has nodes. Classes are the connected components of the
+verified links.
 """
 
 from __future__ import annotations
@@ -42,12 +43,12 @@ MAYBE = 0.65
 #: Buckets are worked on in parts of about so many nodes, those of so few pair by pair; middles of a bucket.
 GROUP, FEW = 512, 8
 MIDDLES = 2
-#: Nodes of a part where classes are compared; nodes of other classes that a node is checked against in each block and
-#: first round, and how many times more each later round takes while some are left over.
-BLOCK = 4096
-OTHERS, MORE = 2, 16
-#: Shingle sets that a task remembers while it checks pairs.
-CACHE_SETS = 4096
+#: Nodes, and different shingles, that a part has about where classes are compared.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 21
+#: Near nodes of other classes that are checked one by one; more of them are checked over the block's shingles at once.
+FEW_NEAR = 8
+#: Partners that the text of a pair's first node is sent out with.
+PARTNERS = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -178,17 +179,17 @@ def _to_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
     for batch in batches:
         texts, parts, sketches = batch.column("text").to_pylist(), [], []
-        worded = np.zeros(len(texts), bool)
+        shingles = np.zeros(len(texts), np.int64)
         for start, end in blocks(texts):
             row, element, count = shingler.sets(texts[start:end])
             signed = signatures(end - start, row, element, count)
             parts.append(band_hashes(signed))
             sketches += [x.tobytes() for x in (signed & np.uint64(0xFF)).astype(np.uint8)]
-            worded[start + np.unique(row)] = True
+            shingles[start:end] = np.bincount(row, minlength=end - start)
         flat = np.concatenate(parts).reshape(-1) if parts else np.empty(0, np.int64)
         ends = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS)
-        bands = pa.ListArray.from_arrays(ends, pa.array(flat, pa.int64()), mask=pa.array(~worded))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), bands, pa.array(sketches, pa.binary())], ["doc_id", "key", "bands", "sketch"])
+        bands = pa.ListArray.from_arrays(ends, pa.array(flat, pa.int64()), mask=pa.array(shingles == 0))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), bands, pa.array(sketches, pa.binary()), pa.array(shingles)], ["doc_id", "key", "bands", "sketch", "shingles"])
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -201,20 +202,39 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(both) / max(1.0, float(a[1].sum() + b[1].sum() - both))
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingler, sets = Shingler(), {}
+def _split_sets(shingler: Shingler, texts: list[str]) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
+    """For blocks of texts: the first one's number, and the set of each."""
+    for start, end in blocks(texts):
+        row, element, count = shingler.sets(texts[start:end])
+        ends = np.searchsorted(row, np.arange(end - start + 1))
+        yield start, [(element[x:y], count[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)]
 
-    def one(node: int, text: str) -> tuple[np.ndarray, np.ndarray]:
-        if node not in sets:
-            if len(sets) >= CACHE_SETS:
-                sets.clear()
-            sets[node] = shingler.sets([text])[1:]
-        return sets[node]
 
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, text): a null b says that the text is a's (of several, if its id repeats), the rows of its partners b
+    follow."""
+    shingler, owns, last = Shingler(), [], (None, None)
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("a", "text_a", "b", "text_b")]
-        found = [similarity(one(a, x), one(b, y)) >= SIMILARITY for a, x, b, y in zip(*columns, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.bool_())], ["a", "b", "similar"])
+        a, b, texts = (batch.column(c).to_pylist() for c in ("a", "b", "text"))
+        found = []
+        for start, sets in _split_sets(shingler, texts):
+            for k, one in enumerate(sets, start):
+                if b[k] is None:
+                    owns = [*owns, one] if last == (a[k], None) else [one]
+                else:
+                    found.append((a[k], b[k], any(similarity(own, one) >= SIMILARITY for own in owns)))
+                last = (a[k], b[k])
+        columns = zip(*found, strict=True) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_()), strict=True)], ["a", "b", "similar"])
+
+
+def _to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, elements, counts: shingle sets as bytes."""
+    shingler = Shingler()
+    for batch in batches:
+        for start, sets in _split_sets(shingler, batch.column("text").to_pylist()):
+            bytes_ = [pa.array([x[k].astype(t).tobytes() for x in sets], pa.binary()) for k, t in ((0, "<u8"), (1, "<u4"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, len(sets)), *bytes_], ["node", "elements", "counts"])
 
 
 def _sketches(column: pa.Array) -> np.ndarray:
@@ -241,7 +261,7 @@ def _middles_of(sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[np.ndarray, ...]]:
-    """The first column, names' and sketches of whole buckets; rows come sorted by the first column (or two)."""
+    """The columns and the sketches of whole buckets; rows come sorted by the first column (or two)."""
     kept = None
     for batch in batches:
         if batch.num_rows:
@@ -296,26 +316,65 @@ def _middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], ["bucket", "node", "agree", "place"])
 
 
-def _across(most: int):
-    """For each asking node of a block its nearest nodes of other classes, if near, `most` of them; rest: more were near."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, node, group, asks, held, sketch in _runs(batches, ["part", "node", "class", "asks", "held"]):
-            found, rest = [], [np.empty(0, bool)]
-            for low, high in zip(*_bounds(part), strict=True):
-                own, its = node[low:high], group[low:high]
-                others = np.flatnonzero(held[low:high])
-                bytes_ = np.ascontiguousarray(sketch[low:high][others].T)  # by coordinate, so that sums run over rows
-                for k in np.flatnonzero(asks[low:high]):
-                    agree = (bytes_ == sketch[low + k][:, None]).view(np.uint8).sum(0, dtype=np.uint8)
-                    near = np.flatnonzero((agree >= MAYBE * COORDINATES) & (its[others] != its[k]))
-                    best = near[np.argsort(-agree[near].astype(np.int16), kind="stable")[:most]]
-                    found.append((np.full(best.size, own[k]), own[others[best]]))
-                    rest.append(np.full(best.size, near.size > most))
-            pairs = _pairs(found)
-            yield pa.RecordBatch.from_arrays([*pairs.columns, pa.array(np.concatenate(rest))], ["a", "b", "rest"])
-
-    return run
+class Inverted:
+    """Shingle sets of a block's nodes, by shingle."""
+
+    def __init__(self, sets: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self.n = len(sets)
+        element = np.concatenate([x for x, _ in sets])
+        order = np.argsort(element, kind="stable")
+        self.element, self.count = element[order], np.concatenate([y for _, y in sets])[order]
+        self.owner = np.repeat(np.arange(self.n), [x.size for x, _ in sets])[order]
+        self.size = np.bincount(self.owner, self.count, self.n)
+
+    def similarity(self, element: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Weighted Jaccard of a set with each node's."""
+        low, high = (np.searchsorted(self.element, element, side) for side in ("left", "right"))
+        held = high - low
+        at = np.repeat(low - (np.cumsum(held) - held), held) + np.arange(held.sum())
+        both = np.bincount(self.owner[at], np.minimum(self.count[at], np.repeat(count, held)), self.n)
+        return both / np.maximum(1.0, self.size + count.sum() - both)
+
+
+def _links_of(node: np.ndarray, group: np.ndarray, asks: np.ndarray, held: np.ndarray, sketch: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[int], list[int]]:
+    """Links (a, b) that join the block's classes as all links between asking and held nodes would."""
+    own = np.unique(group, return_inverse=True)[1].reshape(-1)  # grows together as links are found
+    others = np.flatnonzero(held)
+    bytes_ = np.ascontiguousarray(sketch[others].T)  # by coordinate, so that sums run over rows
+    inverted, found = None, ([], [])
+
+    def join(k: int, other: int) -> None:
+        found[0].append(int(node[k]))
+        found[1].append(int(node[other]))
+        own[own == own[other]] = own[k]
+
+    for k in np.flatnonzero(asks):
+        if (own[others] == own[k]).all():
+            continue
+        agree = (bytes_ == sketch[k][:, None]).view(np.uint8).sum(0, dtype=np.uint8)
+        near = np.flatnonzero((agree >= MAYBE * COORDINATES) & (own[others] != own[k]))
+        near = near[np.argsort(-agree[near].astype(np.int16), kind="stable")]
+        for at in near[:FEW_NEAR]:
+            if own[others[at]] != own[k] and similarity(sets[k], sets[others[at]]) >= SIMILARITY:
+                join(k, others[at])
+        near = near[FEW_NEAR:]
+        near = near[own[others[near]] != own[k]]
+        if near.size:
+            inverted = inverted or Inverted([sets[x] for x in others])
+            for at in near[inverted.similarity(*sets[k])[near] >= SIMILARITY]:
+                if own[others[at]] != own[k]:
+                    join(k, others[at])
+    return found
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, node, group, asks, held, elements, counts, sketch in _runs(batches, ["part", "node", "class", "asks", "held", "elements", "counts"]):
+        found = [(np.empty(0, np.int64),) * 2]
+        for low, high in zip(*_bounds(part), strict=True):
+            sets = [(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u4").astype(np.int64)) for x, y in zip(elements[low:high], counts[low:high], strict=True)]
+            a, b = _links_of(node[low:high], group[low:high], asks[low:high], held[low:high], sketch[low:high], sets)
+            found.append((np.array(a, np.int64), np.array(b, np.int64)))
+        yield _pairs(found)
 
 
 PAIRS = "a long, b long"
@@ -344,37 +403,46 @@ def near_pairs(rows: DataFrame) -> DataFrame:
     return found if large.isEmpty() else found.unionByName(_large(large))
 
 
-def pairs_across(rows: DataFrame, classes: DataFrame, most: int = OTHERS) -> DataFrame:
-    """a, b, rest: near pairs of rows (bucket, node, sketch, n) whose classes differ; classes: node, class, of those that
-    are not alone in theirs. `rest` says that a node has near ones in a block besides the `most` nearest given here.
+def links_across(rows: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b: links between different classes of rows (bucket, node, sketch, shingles); classes: node, class, of those that
+    are not alone in theirs; texts: doc_id, text, of all nodes. The links join the classes of each bucket as all its
+    pairs of the similarity would.
 
     Of two nodes of different classes one at least is outside the bucket's largest class; those ask, all are held
-    against them. A bucket of more than BLOCK nodes is cut into parts of about so many, its askers into parts by
-    themselves, and each part of askers meets each part of nodes in a block of its own.
+    against them. A bucket of more than BLOCK nodes or BLOCK_SHINGLES shingles is cut into parts of about so many, its
+    askers into parts by themselves, and each part of askers meets each part of nodes in a block of its own.
     """
     rows = rows.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    sizes = rows.groupBy("bucket", "class").agg(F.count("*").alias("own")).groupBy("bucket").agg(F.max(F.struct("own", "class")).alias("top"), F.sum("own").alias("all"))
-    mixed = sizes.where("top.own < all").select("bucket", F.col("top.class").alias("_top"), F.ceil(F.col("all") / BLOCK).alias("_parts"), F.ceil((F.col("all") - F.col("top.own")) / BLOCK).alias("_asking"))
-    rows = rows.join(mixed, "bucket").withColumn("_asks", F.col("class") != F.col("_top")).withColumn("_h", F.xxhash64("node"))
+    sizes = rows.groupBy("bucket", "class").agg(F.count("*").alias("own"), F.sum("shingles").alias("size"))
+    sizes = sizes.groupBy("bucket").agg(F.max(F.struct("own", "class", "size")).alias("top"), F.sum("own").alias("all"), F.sum("size").alias("sizes"))
+    parts = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_SHINGLES))
+    mixed = sizes.where("top.own < all").select("bucket", F.col("top.class").alias("_top"), parts(F.col("all"), F.col("sizes")).alias("_parts"), parts(F.col("all") - F.col("top.own"), F.col("sizes") - F.col("top.size")).alias("_asking"))
+    rows = cut(rows.join(mixed, "bucket").withColumn("_asks", F.col("class") != F.col("_top")), "mixed")
+    sets = texts.join(rows.select(F.col("node").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
+    sets = cut(sets.mapInArrow(_to_sets, "node long, elements binary, counts binary"), "sets")
     block = lambda part, asking, asks, held: F.struct(part.alias("part"), asking.alias("asking"), asks.alias("asks"), held.alias("held"))
     yes, no, one = F.lit(True), F.lit(False), F.lit(1).cast("long")
-    part, asking = F.pmod("_h", "_parts"), F.pmod(F.shiftright("_h", 20), F.col("_asking"))
+    hashed = F.xxhash64("node")
+    part, asking = F.pmod(hashed, "_parts"), F.pmod(F.shiftright(hashed, 20), F.col("_asking"))
     as_held = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_asking") - one), lambda k: block(part, k, no, yes))
     as_asker = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_parts") - one), lambda k: block(k, asking, yes, no))
     at = F.when(F.col("_parts") == 1, F.array(block(part, asking, F.col("_asks"), yes))).otherwise(F.when(F.col("_asks"), F.concat(as_held, as_asker)).otherwise(as_held))
     rows = rows.select("bucket", "node", "class", "sketch", F.explode(at).alias("at"))
     rows = rows.select(F.xxhash64("bucket", "at.part", "at.asking").alias("part"), "node", "class", "at.asks", "at.held", "sketch")
-    return rows.repartition("part").sortWithinPartitions("part", "node").mapInArrow(_across(most), PAIRS + ", rest boolean")
+    rows = rows.join(sets.hint("merge"), "node").repartition("part").sortWithinPartitions("part", "node")
+    return cut(rows.mapInArrow(_across, PAIRS), "across")
 
 
 def similar_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b, similar for pairs (a, b), by their whole texts (doc_id, text). Only texts that are asked for are sent on;
-    the join's kind is named, so the plan is the same whatever the size."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    read = cut(texts.join(wanted.hint("merge"), "doc_id", "left_semi"), "texts")
-    both = pairs.join(read.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
-    both = both.join(read.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
-    return cut(both.mapInArrow(_verify, "a long, b long, similar boolean"), "verified")
+    """a, b, similar for pairs (a, b), by their whole texts (doc_id, text). The text of `a` is sent once for about
+    PARTNERS of its pairs, which are checked together; the joins' kind is named, so the plan is the same at any size."""
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("parts"))
+    first = many.join(texts.withColumnRenamed("doc_id", "a").hint("merge"), "a")
+    first = first.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "text")
+    rest = pairs.join(many.where("parts > 1"), "a", "left").join(texts.withColumnRenamed("doc_id", "b").hint("merge"), "b")
+    rest = rest.select("a", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("long").alias("part"), "b", "text")
+    rows = first.unionByName(rest).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return cut(rows.select("a", "b", "text").mapInArrow(_verify, "a long, b long, similar boolean"), "verified")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -413,32 +481,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Rows that repeat a doc_id share its class. No rows give no rows; other columns are dropped.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.unhex(F.md5("text")).alias("key"), "text").where("doc_id IS NOT NULL")
-    signed = cut(rows.mapInArrow(_to_bands, "doc_id long, key binary, bands array<long>, sketch binary"), "signed")
+    signed = cut(rows.mapInArrow(_to_bands, "doc_id long, key binary, bands array<long>, sketch binary, shingles long"), "signed")
     copies = cut(signed.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("_rep"), F.count("*").alias("_n")).where("_n > 1").drop("_n"), "copies")
     known = signed.join(copies.hint("merge"), "key", "left").withColumn("node", F.coalesce("_rep", "doc_id"))
     own = F.col("doc_id") == F.col("node")
-    known = cut(known.select("doc_id", "node", F.when(own, F.col("bands")).alias("bands"), F.when(own, F.col("sketch")).alias("sketch")), "nodes")
+    known = cut(known.select("doc_id", "node", F.when(own, F.col("bands")).alias("bands"), F.when(own, F.col("sketch")).alias("sketch"), "shingles"), "nodes")
     nodes = known.where("bands IS NOT NULL")
-    sketches = nodes.select("node", "sketch")
+    sketches = nodes.select("node", "sketch", "shingles")
     left = nodes.select("node", F.explode("bands").alias("bucket"))
     sized = cut(left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    rows = left.join(sized.hint("merge"), "bucket").join(sketches.hint("merge"), "node").select("bucket", "node", "sketch", "n")
+    rows = left.join(sized.hint("merge"), "bucket").join(sketches.hint("merge"), "node").select("bucket", "node", "sketch", "shingles", "n")
     rows = cut(rows, "rows")
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("text IS NOT NULL")
     pairs = cut(near_pairs(rows).distinct(), "pairs")
-    tried = similar_pairs(pairs, texts)
-    links = tried.where("similar").select("a", "b")
-    classes = components(links)
-    most = OTHERS
-    while True:
-        near = cut(pairs_across(rows, classes, most).groupBy("a", "b").agg(F.max("rest").alias("rest")), "across")
-        more = cut(near.select("a", "b").join(pairs, ["a", "b"], "left_anti"), "untried")
-        new = None if more.isEmpty() else similar_pairs(more, texts).where("similar").select("a", "b")
-        if new is not None and not new.isEmpty():
-            classes = joined_classes(classes, new)
-        if near.where("rest").isEmpty():  # each near pair of different classes has been checked
-            break
-        pairs, most = pairs.unionByName(more), most * MORE
+    larger = rows.where(F.col("n") > FEW)
+    asked = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(larger.select(F.col("node").alias("doc_id"))).distinct()
+    texts = cut(texts.join(asked.hint("merge"), "doc_id", "left_semi"), "texts")
+    classes = components(similar_pairs(pairs, texts).where("similar").select("a", "b"))
+    links = links_across(larger, classes, texts)
+    if not links.isEmpty():
+        classes = joined_classes(classes, links)
     found = known.select("doc_id", "node").join(classes, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class_id"))
     found = found.withColumn("keep", F.col("doc_id") == F.col("class_id"))
     lost = docs.where("doc_id IS NULL").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"), F.lit(True).alias("keep"))

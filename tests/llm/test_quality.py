@@ -118,9 +118,9 @@ def test_near_duplicates_equal_brute_force(spark, docs, texts):
     assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(df).collect()} == brute_classes(more)
 
 
-@pytest.mark.parametrize("block", [4096, 16])
+@pytest.mark.parametrize("block", [2048, 16])
 def test_partners_behind_nearer_sketches_are_found(spark, monkeypatch, block):
-    monkeypatch.setattr(near_dedup, "BLOCK", block, raising=False)  # with 16, buckets are cut into parts
+    monkeypatch.setattr(near_dedup, "BLOCK", block)  # with 16, buckets are cut into parts
     rng = random.Random(11)
     words, texts = [f"word{k}" for k in range(6000)], {}
     for k in range(40):  # two texts of similarity 0.804 among 78 others of about 0.78, whose sketches are often nearer
@@ -136,6 +136,20 @@ def test_partners_behind_nearer_sketches_are_found(spark, monkeypatch, block):
     assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(df).collect()} == wanted
 
 
+def test_texts_on_a_common_template_lose_no_link(spark):
+    rng = random.Random(1)
+    template, texts, pairs = [f"common{k}" for k in range(300)], {}, 400
+    for k in range(pairs):  # each two share the template and some words of their own; all others only the template
+        own = [f"pair{k}x{j}" for j in range(8)]
+        for half in range(2):
+            texts[2 * k + half] = " ".join(template + own + [f"one{k}x{half}x{j}" for j in range(34)])
+    wanted = brute_classes({k: texts[k] for k in rng.sample(range(0, 60), 40)})
+    assert len(wanted) > len(set(wanted.values())) > 20
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(df).collect()}
+    assert got == {k: k - k % 2 for k in texts}
+
+
 def test_signatures_collide_as_often_as_sets_are_alike():
     row, element, weight = np.array([0, 0, 1, 1, 1]), np.array([1, 2, 1, 2, 3], np.uint64), np.array([0.5, 2.3, 1.7, 1.1, 0.4])
     s = near_dedup.signatures(2, row, element, weight, 8000)
