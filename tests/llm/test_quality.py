@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyloom.llm import byte_bpe, language, near_dedup, packing, registry, sharding, toxicity, weighted_sampling
+from tallyloom.llm import byte_bpe, language, near_dedup, packing, registry, sharding, toxicity, urls, weighted_sampling
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
@@ -169,6 +169,57 @@ def test_fingerprints_estimate_generalised_jaccard(docs, texts):
     assert abs(np.mean(off)) < 0.02 and np.sqrt(np.mean(np.square(off))) < 0.11
 
 
+def brute_scores(shares, links):
+    """trust and distrust by plain iteration; shares: host -> (allowed, blocked); links: (src, dst) -> n."""
+    edges = Counter(links)
+    for host in shares:
+        labels = host.split(".")
+        for k in range(len(labels) - 2):
+            child, parent = ".".join(labels[k:]), ".".join(labels[k + 1 :])
+            edges[child, parent] = links.get((child, parent), 0) + 1
+            edges[parent, child] = links.get((parent, child), 0) + 1
+    hosts = set(shares) | {h for e in edges for h in e}
+    total = Counter()
+    for (src, _), n in edges.items():
+        total[src] += n
+    share = {h: shares.get(h, (0.0, 0.0)) for h in hosts}
+    base = [{h: share[h][0] for h in hosts}, {h: float(h in shares) for h in hosts}, {h: share[h][1] for h in hosts}]
+    now = [dict(b) for b in base]
+    for _ in range(urls.ROUNDS):
+        new = [dict(b) for b in base]
+        for (src, dst), n in edges.items():
+            w = urls.DAMPING * n / total[src]
+            for k in (0, 1):
+                new[k][dst] += w * now[k][src]
+            new[2][src] += w * (1 - sum(share[src])) * now[2][dst]
+        now = new
+    return {h: (now[0][h] / now[1][h] if now[1][h] else 0.0, now[2][h]) for h in hosts}
+
+
+def test_propagation_decides_what_no_rule_judges(spark):
+    rules = {"bad.test/": "block", "good.test/": "allow", "part.test/x/": "block"}
+    page = lambda url, *to: (url, " ".join(f"<a href='http://{t}/'>t</a>" for t in to))
+    rows = [page("http://bad.test/1", "mid.test"), page("http://good.test/1", "part.test", "fine.test")]
+    for n in (2, 10, 1000):  # hosts that link only to a blocked one, however many do
+        rows += [page(f"http://only{n}k{k}.test/", f"n{n}.bad.test") for k in range(n)] + [page(f"http://n{n}.bad.test/")]
+    rows += [page("http://part.test/x/1"), page("http://part.test/x/2"), page("http://part.test/y")]  # two of three pages blocked
+    rows += [page(f"http://s{k}.good.test/", "part.test") for k in range(12)]  # ... but trusted hosts link to it
+    rows += [page("http://fine.test/", "good.test", "bad.test"), page("http://lone.test/")]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.host: r.verdict for r in urls.judge_pages(df, rules).where("rule IS NULL").collect()}
+    assert {v for h, v in got.items() if h.startswith("only")} == {"block"}
+    assert got["part.test"] == got["fine.test"] == got["lone.test"] == "allow"
+    shares = {"bad.test": (0.0, 1.0), "good.test": (1.0, 0.0), "part.test": (0.0, 2 / 3), "fine.test": (0.0, 0.0), "lone.test": (0.0, 0.0)}
+    shares |= {f"n{n}.bad.test": (0.0, 1.0) for n in (2, 10, 1000)} | {f"s{k}.good.test": (1.0, 0.0) for k in range(12)} | {f"only{n}k{k}.test": (0.0, 0.0) for n in (2, 10, 1000) for k in range(n)}
+    links = Counter((u.split("/")[2], t.split("'")[0]) for u, html in rows for t in html.split("http://")[1:] for t in [t.split("/")[0]])
+    wanted = brute_scores(shares, links)
+    hosts = spark.createDataFrame([(h, *x) for h, x in shares.items()], "host string, allowed double, blocked double")
+    edges = urls.host_edges(df.select("*", F.regexp_extract("url", "//([^/]*)", 1).alias("host")), hosts)
+    scores = {r.host: (r.trust, r.distrust) for r in urls.host_scores(hosts, edges).collect()}
+    assert all(abs(x - y) < 1e-6 for h, s in scores.items() for x, y in zip(s, wanted[h], strict=True))
+    assert wanted["part.test"][1] > urls.THRESHOLD  # its own share alone would block it
+
+
 def test_language_on_held_out_documents(docs):
     rows = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert len(rows) > 20 and np.mean([r.lang == r.lang_pred for r in rows]) > 0.95
