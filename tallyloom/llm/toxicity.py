@@ -44,7 +44,7 @@ def _features_of(chunk: str) -> tuple[int, ...]:
     for word in WORD.findall(chunk.lower()):
         said += [f"w{word}"] + [f"p{word[:k]}" for k in PREFIXES if len(word) > k]
     if other := WORD.sub("", chunk):
-        said.append(f"o{other[:16]}")
+        said.append(f"o{other}")
     if len(chunk) > 1 and chunk.isupper():
         said.append("upper")
     return tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) >> (32 - BITS) for x in said)
@@ -203,12 +203,15 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGOR
     """Fit on at most fit_rows labelled documents; the driver gets the hashes of their different features.
 
     A doc_id that repeats among the labels has a category if any of its labels does. Rows with a null label are left
-    out. No labelled document, or a category that none or all have: nothing is ever found in it.
+    out. Of documents that repeat a doc_id the least text is fitted. No labelled document, or a category that none or
+    all have: nothing is ever found in it.
     """
     goals = [F.max(F.expr(says)).cast("int").alias(name) for name, says in categories.items()]
     marked = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*goals).dropna()
     chosen = cut(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "fit-labels")
     read = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")  # at most fit_rows
+    # one row for each doc_id before anything goes to the driver
+    read = read.groupBy(*chosen.columns).agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features = Features()
@@ -217,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGOR
             yield pdf.drop(columns="text").assign(found=found)
 
     rows = read.mapInPandas(run, chosen.schema.add("found", "binary")).toPandas()
-    rows = rows.sort_values("doc_id", kind="stable").drop_duplicates("doc_id", ignore_index=True)
+    rows = rows.sort_values("doc_id", kind="stable", ignore_index=True)
     sets = [np.frombuffer(x, np.uint32) for x in rows.found]
     row = np.repeat(np.arange(len(sets)), [s.size for s in sets])
     feature = np.concatenate([*sets, np.empty(0, np.uint32)]).astype(np.int64)
