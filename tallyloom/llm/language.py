@@ -16,26 +16,28 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import cut
 
 ORDERS = (1, 2, 3, 4)
 HASH_BITS = 24
-NONE = np.uint16(0xFFFF)
+NONE = -1
 #: Of each language, so many documents are landmarks and so many, landmarks among them, are fitted on: those whose
-#: doc_id hashes lowest. Whole texts are used. More than so many features: those in most landmarks.
+#: doc_id hashes lowest. Whole texts are used.
 LANDMARKS = 24
 FIT_ROWS = 800
-FEATURES = 60_000
 RIDGE = 1e-3
-#: Work is done on blocks of so many characters and rows, however long a text is.
+#: Before repeated doc_ids are told apart, so many times as many rows are taken.
+SPARE = 4
+#: Work is done on blocks of so many characters, rows and cells of the presence matrix, however long a text is.
 BLOCK_CHARS = 1 << 19
-BLOCK_ROWS = 128
+BLOCK_ROWS, BLOCK_CELLS = 128, 1 << 24
 UNKNOWN = "und"
-#: In a corpus, texts without a letter and those that score less than this in every language are turned away.
-LEAST_SCORE = 0.25
+#: In a corpus, texts without a letter and those of which less than this share of n-grams is known from any landmark are
+#: turned away: they are in no learned language. (Scores can't say so: over few languages the best is never low.)
+LEAST_KNOWN = 0.6
 
 
 def held_out(doc_id: Column) -> Column:
@@ -89,17 +91,20 @@ class Model:
     bias: np.ndarray
 
     def table(self) -> np.ndarray:
-        at = np.full(1 << HASH_BITS, NONE, np.uint16)
-        at[self.features] = np.arange(self.features.size, dtype=np.uint16)
+        at = np.full(1 << HASH_BITS, NONE, np.int32)
+        at[self.features] = np.arange(self.features.size, dtype=np.int32)
         return at
 
 
-def presence(texts: list[str | None], table: np.ndarray, n_features: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For blocks of rows: the first row's number, the presence matrix, and whether a text has a letter."""
-    matrix = np.zeros((min(BLOCK_ROWS, max(1, len(texts))), n_features), np.float32)
-    for first in range(0, len(texts), BLOCK_ROWS):
-        rows = texts[first : first + BLOCK_ROWS]
+def presence(texts: list[str | None], table: np.ndarray, n_features: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For blocks of rows: the first row's number, the presence matrix, whether a text has a letter, and the share of its
+    n-grams that are features."""
+    step = max(1, min(BLOCK_ROWS, BLOCK_CELLS // max(1, n_features), len(texts)))
+    matrix = np.zeros((step, n_features), np.float32)
+    for first in range(0, len(texts), step):
+        rows = texts[first : first + step]
         matrix[:] = 0
+        hits, all_ = np.zeros(len(rows)), np.zeros(len(rows))
         points = [letters(t) if t else np.full(1, 32, np.uint32) for t in rows]
         worded = np.array([p.size > 1 for p in points], bool)
         start = 0
@@ -117,21 +122,43 @@ def presence(texts: list[str | None], table: np.ndarray, n_features: int) -> Ite
                     hit = np.flatnonzero(code != NONE)
                     hit = hit[own[hit] == own[hit + n - 1]]
                     matrix[own[hit], code[hit]] = 1
+                    hits += np.bincount(own[hit], minlength=len(rows))
+                    all_ += np.maximum(np.bincount(own, minlength=len(rows)) - n + 1, 0)
             start = end
-        yield first, matrix[: len(rows)], worded
+        yield first, matrix[: len(rows)], worded, np.minimum(hits / np.maximum(all_, 1), 1)
 
 
-def score(texts: list[str | None], model: Model, table: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text."""
-    names, best = [], np.zeros(len(texts))
-    for first, matrix, worded in presence(texts, table, model.features.size):
+def score(texts: list[str | None], model: Model, table: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language and score of each text, and the share of its n-grams that some landmark has."""
+    names, best, known = [], np.zeros(len(texts)), np.zeros(len(texts))
+    for first, matrix, worded, share in presence(texts, table, model.features.size):
         own = np.sqrt(np.maximum(matrix.sum(1, dtype=np.float64), 1))
         values = (matrix @ model.weights) / own[:, None] + model.bias
         at = values.argmax(1)
         found = np.clip((1 + values[np.arange(len(at)), at]) / 2, 0, 1)
         best[first : first + len(at)] = np.where(worded, found, 0.0)
+        known[first : first + len(at)] = share
         names += [model.languages[k] if w else UNKNOWN for k, w in zip(at, worded, strict=True)]
-    return names, best
+    return names, best, known
+
+
+def fit_sample(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """doc_id, text, lang: of each language about fit_rows documents at most, those whose doc_id hashes lowest, one row
+    for each doc_id (of several the least language, then text). Languages are few; their names and counts are looked at
+    by the driver. Where more than (SPARE - 1) / SPARE of a language's rows repeat a doc_id, fewer are found."""
+    able = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    counts = able.groupBy("lang").count().collect()
+    if not counts:
+        return able.limit(0)
+    share = F.lit(1.0)
+    for name, n in counts:
+        share = F.when(F.col("lang") == name, F.lit(min(1.0, SPARE * fit_rows / n))).otherwise(share)
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") * F.lit(2.0**-53)
+    ids = able.where("text IS NOT NULL").select("doc_id", "lang").where(place < share).distinct()  # about SPARE times what is kept
+    first = Window.partitionBy("lang").orderBy(place, "doc_id")
+    ids = cut(ids.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= fit_rows).select("doc_id").distinct(), "fit-ids")
+    rows = able.where("text IS NOT NULL").join(F.broadcast(ids), "doc_id")  # at most fit_rows a language
+    return cut(rows.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("m")).select("doc_id", "m.text", "m.lang"), "fit-rows")
 
 
 def fit(docs: DataFrame, landmarks: int = LANDMARKS, fit_rows: int = FIT_ROWS) -> Model:
@@ -140,18 +167,12 @@ def fit(docs: DataFrame, landmarks: int = LANDMARKS, fit_rows: int = FIT_ROWS) -
     At most fit_rows texts of each language are read; the driver gets their n-gram hashes (landmarks) and kernel rows.
     """
     spark = docs.sparkSession
-    able = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    languages = sorted(r[0] for r in able.select("lang").distinct().collect())
-    if not languages:
-        return Model([UNKNOWN], np.zeros(0, np.uint32), np.zeros((0, 1), np.float32), np.zeros(1))
+    chosen = fit_sample(docs, fit_rows)
     key = F.xxhash64("doc_id")
-    ids = None
-    for name in languages:
-        own = able.where(F.col("lang") == name).select("doc_id", key.alias("_key")).orderBy("_key", "doc_id").limit(fit_rows)
-        ids = own if ids is None else ids.unionByName(own)
-    ids = cut(ids.select("doc_id").distinct(), "fit-ids")
-    chosen = cut(able.join(F.broadcast(ids), "doc_id", "left_semi"), "fit-rows")  # at most fit_rows a language
     order = chosen.select("doc_id", "lang", key.alias("k")).toPandas().sort_values(["lang", "k", "doc_id"], kind="stable")
+    languages = sorted(order.lang.unique())
+    if not languages:
+        return Model([UNKNOWN], np.zeros(0, np.uint32), np.zeros((0, 1), np.float32), np.zeros(1))
     marks = order.groupby("lang", sort=True).head(landmarks)
     few = set(marks.doc_id.tolist())
 
@@ -162,22 +183,20 @@ def fit(docs: DataFrame, landmarks: int = LANDMARKS, fit_rows: int = FIT_ROWS) -
 
     found = chosen.select("doc_id", "text").mapInPandas(to_grams, "doc_id long, grams binary").toPandas().sort_values("doc_id", kind="stable")
     sets = [np.frombuffer(g, np.uint32) for g in found.grams]
-    features, seen = np.unique(np.concatenate(sets), return_counts=True)
-    if features.size > FEATURES:
-        features = np.sort(features[np.lexsort((features, -seen))[:FEATURES]])
+    features = np.unique(np.concatenate(sets))
     mark = np.zeros((len(sets), features.size), np.float32)
     for row, s in enumerate(sets):
         at = np.searchsorted(features, s).clip(max=features.size - 1)
         mark[row, at[features[at] == s]] = 1
     mark /= np.sqrt(np.maximum(mark.sum(1, keepdims=True), 1))
-    shipped = spark.sparkContext.broadcast((features, mark))  # at most FEATURES by landmarks a language
+    shipped = spark.sparkContext.broadcast((features, mark))  # n-grams by landmarks, of a fixed number of texts
 
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, rows = shipped.value
         table = Model([], names, rows, rows).table()
         for pdf in batches:
             parts = []
-            for _, matrix, _ in presence(pdf.text.tolist(), table, names.size):
+            for _, matrix, _, _ in presence(pdf.text.tolist(), table, names.size):
                 own = np.sqrt(np.maximum(matrix.sum(1, dtype=np.float64), 1))
                 parts.append((matrix @ rows.T) / own[:, None])
             values = np.concatenate(parts) if parts else np.empty((0, len(rows)))
@@ -209,7 +228,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score_texts = scored()
         for batch in batches:
-            names, best = score_texts(batch.column("text").to_pylist())
+            names, best, _ = score_texts(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(best)], [*batch.schema.names, "lang_pred", "score"])
 
     schema = docs.select("doc_id", "text").schema.add("lang_pred", "string").add("score", "double")
@@ -218,7 +237,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 def _scorer(docs: DataFrame, model: Model):
     """A function that in a task gives the one that scores texts."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES by languages
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # the landmarks' n-grams by languages
 
     def start():
         m = shipped.value
@@ -235,7 +254,8 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """The rows of docs in a language that was learned, with all their columns; rejected: no letter, or a low score.
+    """The rows of docs in a language that was learned, with all their columns; rejected: no letter, or less than
+    LEAST_KNOWN of the n-grams known, as in a language or script that no document is labelled with, or in gibberish.
 
     A row's columns go through the scoring step with it, so rows that repeat or lack a doc_id are each judged alone.
     """
@@ -244,7 +264,7 @@ def known_language(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score_texts = scored()
         for batch in batches:
-            names, best = score_texts(batch.column("text").to_pylist())
-            yield batch.filter(pa.array((np.array(names, object) != UNKNOWN) & (best >= LEAST_SCORE)))
+            names, _, known = score_texts(batch.column("text").to_pylist())
+            yield batch.filter(pa.array((np.array(names, object) != UNKNOWN) & (known >= LEAST_KNOWN)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import byte_bpe, language, near_dedup, norm_search, packing, sharding, tool_calls, toxicity, urls, weighted_sampling
 
@@ -48,8 +49,13 @@ def test_language(odd, none):
     assert ids(rows) == WANTED
     assert {r.doc_id: r.lang_pred for r in rows if r.doc_id in (2, 3, 6, 9)} == dict.fromkeys((2, 3, 6, 9), "und")
     assert all(r.lang_pred in ("en", "fr", "und") and 0 <= r.score <= 1 for r in rows)
-    kept = language.known_language(odd)
-    assert kept.columns == odd.columns and BIG in [r.doc_id for r in kept.collect()]
+    known = odd.where(f"doc_id IN (7, {BIG})")
+    more = odd
+    for k in range(20, 28):  # texts of 7 and BIG under ids that are fitted on: what they hold is known then
+        more = more.unionByName(known.withColumn("doc_id", F.col("doc_id") + k))
+    kept = language.known_language(more)
+    assert kept.columns == odd.columns and {1, 4, 7, 8, BIG} <= {r.doc_id for r in kept.collect()}
+    assert not {2, 3, 6, 9} & {r.doc_id for r in kept.collect()}
     assert language.identify(none).count() == 0 and language.known_language(none).count() == 0
 
 

@@ -225,6 +225,53 @@ def test_language_on_held_out_documents(docs):
     assert len(rows) > 20 and np.mean([r.lang == r.lang_pred for r in rows]) > 0.95
 
 
+def test_unknown_languages_and_gibberish_are_rejected(spark, docs, texts):
+    strange = ["你好世界这是一个测试文本", "Привет мир это проверка текста", "xqzvk jjwqx zzkqv wqxjz kqvxz", "asdf qwer zxcv poiu lkjh mnbv", "12 34"]
+    more = docs.unionByName(spark.createDataFrame([(50_000 + k, t) for k, t in enumerate(strange)], "doc_id long, text string"), allowMissingColumns=True)
+    assert {r.doc_id for r in language.known_language(more).collect()} == set(texts)
+
+
+def test_language_equals_kernel_ridge_regression_written_out(spark):
+    rng = random.Random(4)
+    letters = {"aa": "abcdefgh", "bb": "efghijkl", "cc": "ijklmnop"}
+    rows = [(k, " ".join("".join(rng.choice(letters[lang]) for _ in range(rng.randrange(2, 6))) for _ in range(12)), lang) for k in range(90) for lang in [rng.choice(sorted(letters))]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, landmarks=5)
+    used = {r.doc_id for r in language.fit_sample(df).collect()}
+    place = {r.doc_id: r.k for r in df.select("doc_id", F.xxhash64("doc_id").alias("k")).collect()}
+    fitted = sorted((r for r in rows if r[0] in used), key=lambda r: r[0])
+    marks = sorted(m for lang in letters for m in sorted((r for r in fitted if r[2] == lang), key=lambda r: place[r[0]])[:5])
+    mark_sets = [set(language.grams(m[1]).tolist()) for m in marks]
+    features = set().union(*mark_sets)
+
+    def kernel(text):
+        own = set(language.grams(text).tolist()) & features
+        return np.array([len(own & m) / np.sqrt(max(1, len(own)) * len(m)) for m in mark_sets])
+
+    size, turn = np.linalg.eigh(np.array([kernel(m[1]) for m in marks]))
+    phi = lambda text: kernel(text) @ turn[:, size > 1e-6 * size.max()] / np.sqrt(size[size > 1e-6 * size.max()])
+    x, y = np.array([phi(r[1]) for r in fitted]), np.array([[1.0 if r[2] == lang else -1.0 for lang in sorted(letters)] for r in fitted])
+    centred = x - x.mean(0)
+    w = np.linalg.solve(centred.T @ centred + language.RIDGE * len(x) * np.eye(x.shape[1]), centred.T @ (y - y.mean(0)))
+    for r in rows:
+        values = (phi(r[1]) - x.mean(0)) @ w + y.mean(0)
+        (name,), (score,), _ = language.score([r[1]], model, model.table())
+        assert name == sorted(letters)[values.argmax()] and abs(score - np.clip((1 + values.max()) / 2, 0, 1)) < 1e-3
+
+
+def test_fits_read_one_row_of_a_repeated_id(spark):
+    rows = [(0, f"text {k} of many", "en") for k in range(300)] + [(k, "ein anderer text", "de") for k in range(1, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.fit_sample(df, fit_rows=5).collect()
+    assert len({r.doc_id for r in got}) == len(got) <= 10
+    assert all(r.text == "text 0 of many" for r in got if r.doc_id == 0)
+    again = language.fit(df.repartition(7), fit_rows=5)
+    assert np.array_equal(again.weights, language.fit(df, fit_rows=5).weights)
+    labels = spark.createDataFrame([(0, 1, 1)] + [(k, 1, 0) for k in range(1, 40)], "doc_id long, quality int, toxic int")
+    chains = [toxicity.fit(x, labels) for x in (df, df.repartition(7))]
+    assert all(np.array_equal(a.weights, b.weights) and a.bias == b.bias for a, b in zip(*chains, strict=True))
+
+
 def test_toxicity_on_documents_it_was_not_fitted_on(spark):
     labels, big = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("labels", "documents"))
     away = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) == 0
@@ -243,6 +290,39 @@ def test_later_links_of_the_chain_use_earlier_ones():
     assert chain[1].earlier.size == 1 and chain[1].earlier[0] > 0
 
 
+def test_chain_equals_one_written_out(monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_RATIO", -1.0)
+    monkeypatch.setattr(toxicity, "LEAST_TEXTS", 1)
+    monkeypatch.setattr(toxicity, "RIDGE", 1e-2)
+    rng = np.random.default_rng(8)
+    n, width = 200, 6
+    x = (rng.random((n, width)) < 0.4).astype(float)
+    first = (x[:, 0] + x[:, 1] + rng.normal(0, 0.7, n) > 1).astype(int)
+    goals, fold = np.column_stack([first, ((first + x[:, 2] + rng.normal(0, 0.5, n)) > 1.2).astype(int)]), np.arange(n) % 5
+
+    def fitted(a, y):  # Newton steps; the bias is not ridged
+        a = np.column_stack([a, np.ones(len(a))])
+        w, keep = np.zeros(a.shape[1]), np.full(a.shape[1], toxicity.RIDGE)
+        keep[-1] = 0
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-a @ w))
+            w -= np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a / len(a) + np.diag(keep), a.T @ (p - y) / len(a) + keep * w)
+        return lambda b: 1 / (1 + np.exp(-np.column_stack([b, np.ones(len(b))]) @ w))
+
+    earlier, wanted = np.zeros((n, 0)), np.zeros((n, 0))
+    for k in range(2):
+        a, out = np.column_stack([x, earlier]), np.zeros(n)
+        for f in range(5):
+            out[fold == f] = fitted(a[fold != f], goals[fold != f, k])(a[fold == f])
+        wanted = np.column_stack([wanted, fitted(a, goals[:, k])(np.column_stack([x, wanted]))])
+        earlier = np.column_stack([earlier, out])
+    row, feature = np.nonzero(x)
+    got = np.zeros((n, 0))
+    for link in toxicity.fit_chain(["a", "b"], row, feature.astype(np.int64), goals, fold):
+        got = np.column_stack([got, toxicity._apply(link, n, row, feature.astype(np.int64), got)])
+    assert np.abs(got - wanted).max() < 5e-3
+
+
 def test_pipeline_stages_keep_columns_and_take_effect(spark, docs, texts):
     kept = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
