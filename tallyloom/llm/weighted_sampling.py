@@ -20,8 +20,6 @@ from .shared import cut
 SAMPLES, AT_ONCE = 32, 8
 #: Hexadecimal digits that a sample has in a fingerprint; 0 stands for a text without words.
 DIGITS = 4
-#: About so many doc_ids are put in order together; a table of the ranges that hold them has RANGES rows at most.
-RANGES = 4096
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
@@ -29,11 +27,8 @@ def neighbours(docs: DataFrame) -> DataFrame:
     the longest text of `previous`), for each doc_id that is not null."""
     sizes = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.coalesce(F.length("text"), F.lit(0))).alias("n"), F.count("*").alias("rows"))
     sizes = cut(sizes, "sizes")
-    low, high, _ = sizes.agg(F.min("doc_id"), F.max("doc_id"), F.lit(1)).first()
-    if low is None:
-        return sizes.select("doc_id", F.col("doc_id").alias("previous"), F.col("n").alias("wants"), "rows")
-    width = (high - low) // RANGES + 1
-    ranged = sizes.withColumn("range", F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)).cast("int"))
+    # ranges of doc_ids with about as many of them each, whatever the ids are: one for each of the shuffle's partitions
+    ranged = cut(sizes.repartitionByRange("doc_id").withColumn("range", F.spark_partition_id()), "ranged")
     firsts = ranged.groupBy("range").agg(F.min(F.struct("doc_id", "n")).alias("first"))
     after = firsts.select("range", F.lead("first").over(Window.orderBy("range")).alias("after"), F.min("first").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)).alias("least"))
     after = cut(after.select("range", F.coalesce("after", "least").alias("after")), "ranges")
