@@ -25,45 +25,75 @@ QUERY_EVERY = 100
 #: Norms of a bucket are within this ratio; rows of a block, of candidates and of queries.
 RATIO = 1.05
 BLOCK_ROWS, QUERY_ROWS = 4096, 2048
+#: A double below this is cut down to whole 1 / SCALE, one above it is whole; from LARGE on a vector's products are not
+#: taken as doubles, from GREAT on its squares say nothing.
+WHOLE, LARGE, GREAT = float(2**42), float(2**20), 1e150
 #: From this local cosine threshold on, rows are pruned by coordinates, by so many of the query's largest.
 HIGH_COSINE, FOCUS = 0.5, 8
 SCHEMA = "query_id long, vec_id long, score long"
 
 
 def whole_vectors(embeddings: DataFrame) -> DataFrame:
-    """vec_id, v (array of long: floor(1024 * x)), norm. Vectors that are null or empty or hold null or non-finite
-    components, and null vec_ids, are left out."""
+    """vec_id, v (array of double: floor(1024 * x) / 1024, which a double holds exactly), norm. Vectors that are null or
+    empty or hold null or non-finite components, and null vec_ids, are left out."""
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = embeddings.select("vec_id", F.col("embedding").cast("array<double>")).where("vec_id IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0").where(fine)
-    some = some.select(F.col("vec_id").cast("long"), F.transform("embedding", lambda x: F.floor(x * SCALE).cast("long")).alias("v"))
-    return some.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))))
+    floor = lambda x: F.when(F.abs(x) < WHOLE, F.floor(x * SCALE) / F.lit(float(SCALE))).otherwise(x)
+    some = some.select(F.col("vec_id").cast("long"), F.transform("embedding", floor).alias("v"))
+    return some.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)) * SCALE)
 
 
 def matrix(column: pd.Series, width: int) -> np.ndarray:
     """Rows of the same width; shorter vectors are filled up with 0."""
-    out = np.zeros((len(column), width), np.int64)
+    out = np.zeros((len(column), width))
     for k, v in enumerate(column):
         out[k, : len(v)] = v
     return out
 
 
+def _integers(x: np.ndarray) -> np.ndarray:
+    """Components times SCALE as integers of any size."""
+    return np.array([[int(y * SCALE) if abs(y) < WHOLE else int(y) * SCALE for y in row] for row in x.tolist()], object).reshape(x.shape)
+
+
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer inner products: as doubles where none can pass 2**53."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
-    return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64) if most < 2**53 else q @ c.T
+    """Exact integer inner products, those beyond 64 bits as the last number there: doubles where none can pass 2**53,
+    64-bit integers where none can pass 2**63, else integers of any size. Rows of great components go by themselves."""
+    parts = [[np.flatnonzero(large == side) for side in (False, True)] for large in ((np.abs(x) * SCALE >= LARGE).any(1) for x in (q, c))]
+    if parts[0][1].size or parts[1][1].size:
+        out = np.empty((len(q), len(c)), np.int64)
+        for a in parts[0]:
+            for b in parts[1]:
+                if a.size and b.size:
+                    out[np.ix_(a, b)] = _products(q[a], c[b])
+        return out
+    return _products(q, c)
+
+
+def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore", invalid="ignore"):
+        most = float(np.abs(q).max(initial=0) * SCALE) * float(np.abs(c).max(initial=0) * SCALE) * q.shape[1]
+    if most < 2**53:
+        return ((q * SCALE) @ (c * SCALE).T).astype(np.int64)
+    if most < 2**62:
+        return (q * SCALE).astype(np.int64) @ (c * SCALE).astype(np.int64).T
+    least, greatest = -(2**63), 2**63 - 1
+    return np.array([[min(max(int(x), least), greatest) for x in row] for row in _integers(q) @ _integers(c).T], np.int64).reshape(len(q), len(c))
 
 
 def best(query_id: np.ndarray, q: np.ndarray, theta: np.ndarray, vec_id: np.ndarray, c: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Of a block of candidates, for each query its k best of a score of theta or more."""
     out = []
-    q_norm, c_norm = np.sqrt((q.astype(np.float64) ** 2).sum(1)), np.sqrt((c.astype(np.float64) ** 2).sum(1))
+    with np.errstate(over="ignore"):
+        q_norm, c_norm = (np.sqrt((x**2).sum(1)) * SCALE for x in (q, c))
     order = np.argsort(-c_norm, kind="stable")
     vec_id, c, c_norm = vec_id[order], c[order], c_norm[order]
-    with np.errstate(divide="ignore", invalid="ignore"):
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
         local = np.where(q_norm * c_norm[0] > 0, theta / (q_norm * c_norm[0]), np.where(theta > 0, 2.0, -1.0))
+    local[np.isnan(local)] = -1.0  # lengths beyond a double leave it open
     slack = 1 + 1e-9
     live = np.flatnonzero(local <= slack)
-    high = local[live] >= HIGH_COSINE
+    high = (local[live] >= HIGH_COSINE) & (q_norm[live] < GREAT) & (c_norm[0] < GREAT)
 
     def keep(row: int, at: np.ndarray, score: np.ndarray) -> None:
         ok = (score >= theta[row]) & (vec_id[at] != query_id[row])
@@ -79,7 +109,8 @@ def best(query_id: np.ndarray, q: np.ndarray, theta: np.ndarray, vec_id: np.ndar
     for start in range(0, plain.size, 256):
         rows = plain[start : start + 256]
         # lengths fall: the rows that can reach a query's theta come first
-        reach = [int(np.searchsorted(-c_norm * q_norm[r] * slack, -theta[r], side="right")) if theta[r] > 0 else c_norm.size for r in rows]
+        with np.errstate(over="ignore", invalid="ignore"):
+            reach = [int(np.searchsorted(-c_norm * q_norm[r] * slack, -theta[r], side="right")) if theta[r] > 0 else c_norm.size for r in rows]
         if (longest := max(reach)) > 0:
             for r, n, score in zip(rows, reach, products(q[rows], c[:longest]), strict=True):
                 keep(r, np.arange(n), score[:n])
@@ -88,7 +119,7 @@ def best(query_id: np.ndarray, q: np.ndarray, theta: np.ndarray, vec_id: np.ndar
         if not n:
             continue
         focus = np.argsort(-np.abs(q[r]), kind="stable")[:FOCUS]
-        qf, cf = q[r, focus].astype(np.float64), c[:n, focus].astype(np.float64)
+        qf, cf = q[r, focus] * SCALE, c[:n, focus] * SCALE
         q_rest = np.sqrt(max(0.0, q_norm[r] ** 2 - (qf**2).sum()))
         c_rest = np.sqrt(np.maximum(0.0, c_norm[:n] ** 2 - (cf**2).sum(1)))
         at = np.flatnonzero(cf @ qf + q_rest * c_rest * slack + 1e-6 * abs(theta[r]) + 1 >= theta[r])
@@ -117,11 +148,12 @@ def top_products(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVE
 
     Shorter vectors count as filled up with 0. Rows that repeat a vec_id are candidates of their own, and as queries
     one (with the same vector; with different ones, each row asks and the best k of all answers are kept). Vectors
-    that take no part: see whole_vectors. Other columns are dropped. No rows give no rows.
+    that take no part: see whole_vectors. Scores are exact; one beyond the 64 bits of a long is the last long there, and such
+    scores are ties. Other columns are dropped. No rows give no rows.
     """
     spark = embeddings.sparkSession
     vectors = cut(whole_vectors(embeddings), "vectors")
-    group = F.when(F.col("norm") > 0, F.floor(F.log("norm") / float(np.log(RATIO)))).otherwise(F.lit(-1)).cast("int")
+    group = F.when(F.col("norm") > 0, F.floor(F.log(F.least("norm", F.lit(GREAT))) / float(np.log(RATIO)))).otherwise(F.lit(-1)).cast("int")
     vectors = vectors.withColumn("bucket", group)
     sizes = cut(vectors.groupBy("bucket").agg(F.count("*").alias("n")), "buckets")  # a row for each 5 % of length
     few = F.col("n") < BLOCK_ROWS // 2
@@ -150,6 +182,8 @@ def top_products(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVE
     probe = cut(_met(asked.withColumn("theta", F.lit(float("-inf"))), placed, asks.withColumn("block", F.explode(F.array(*(F.struct(F.lit(r.block.bucket).alias("bucket"), F.lit(r.block.part).alias("part")) for r in ahead)))), k), "probed")
     reached = _ranked(probe, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("theta"))
     bounded = asked.join(reached, asked.vec_id == reached.query_id, "left").select("ask", "vec_id", "v", "norm", F.coalesce("theta", F.lit(float("-inf"))).alias("theta"))
+    if n_queries > QUERY_ROWS:  # queries that need candidates as long as each other come together, so that blocks are left out
+        bounded = cut(bounded, "reached").repartitionByRange(-(-n_queries // QUERY_ROWS), F.col("theta") / F.col("norm"), "vec_id").withColumn("ask", F.spark_partition_id())
     bounded = cut(bounded, "bounded")
     # blocks that some query of the block of queries may still find something in
     need = bounded.groupBy("ask").agg(F.min(F.when(F.col("theta") > 0, F.col("theta") / F.col("norm")).otherwise(F.lit(0.0))).alias("need"))

@@ -1,7 +1,9 @@
 """Every operator on nulls, empty and long texts, repeated rows, clashing extra columns and empty tables."""
 
 import hashlib
+import random
 import zlib
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +130,37 @@ def test_norm_search(spark):
     assert {r.query_id for r in got} == {0, 100}
 
 
+def test_norm_search_is_exact_on_great_components(spark):
+    rng = random.Random(2)
+    size = [1.0, 3e6, 1e12, 1e14, 1e300, 1.7e308]
+    vectors = {k: [rng.choice((-1, 1)) * rng.random() * rng.choice(size) for _ in range(6)] for k in range(0, 1200, 20)} | {1: [0.0] * 6, 3: [1e300] + [0.0] * 5}
+    whole = {k: [(Fraction(x) * 1024).__floor__() for x in v] for k, v in vectors.items()}
+    score = lambda a, b: min(max(sum(x * y for x, y in zip(whole[a], whole[b], strict=True)), -(2**63)), 2**63 - 1)
+    wanted = {(q, r, c, score(q, c)) for q in vectors if q % 100 == 0 for r, c in enumerate(sorted((c for c in vectors if c != q), key=lambda c: (-score(q, c), c))[:5], 1)}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in norm_search.top_products(df, k=5).select("query_id", "rank", "vec_id", "score").collect()} == wanted
+
+
+def test_norm_search_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(norm_search, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(norm_search, "QUERY_ROWS", 4)
+    rng = random.Random(3)
+    vectors = {k: [rng.randrange(-900, 900) * rng.choice((1, 1, 5)) / 1024 for _ in range(8)] for k in range(0, 4000, 5)}
+    score = lambda a, b: sum(round(x * 1024) * round(y * 1024) for x, y in zip(vectors[a], vectors[b], strict=True))
+    wanted = {(q, r, c, score(q, c)) for q in vectors if q % 100 == 0 for r, c in enumerate(sorted((c for c in vectors if c != q), key=lambda c: (-score(q, c), c))[:10], 1)}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in norm_search.top_products(df).select("query_id", "rank", "vec_id", "score").collect()} == wanted
+
+
+def test_fingerprints_of_far_ids(spark):
+    far = [-(1 << 63), -5, 0, 7, 8, (1 << 63) - 1]
+    rows = {r.doc_id: r for r in weighted_sampling.fingerprints(spark.createDataFrame([(i, f"text number {i} of some") for i in far], "doc_id long, text string")).collect()}
+    for k, i in enumerate(far):
+        t, after = (f"text number {j} of some" for j in (i, far[k - 1]))
+        cut = len(t) // 3
+        assert rows[i].edited_sha256 == hashlib.sha256((t[: len(t) - cut] + after[:cut]).encode()).hexdigest()
+
+
 def test_urls(spark):
     rows = [(1, "http://A.NET/x", None), (2, "https://b.example.net/en/1?q", "<a href='//c.org/'>"), (3, None, None), (4, "no scheme", ""), (5, "https://x.example.com/de/", ""), (5, "https://x.org/fr", ""), (None, "http://net?x", "")]
     df = spark.createDataFrame([(*r, 1, "h") for r in rows], "page_id long, url string, html string, n int, host string")
