@@ -1,6 +1,7 @@
 """Every operator on nulls, empty and long texts, repeated rows, clashing extra columns and empty tables."""
 
 import hashlib
+import json
 import random
 import zlib
 from fractions import Fraction
@@ -172,13 +173,70 @@ def test_urls(spark):
     assert urls.judge_pages(df.where("false")).count() == 0
 
 
+FIXED = {
+    "search": {"query": ("string", True), "limit": ("integer", False), "after": ("string", False)},
+    "lookup": {"key": ("integer", True), "after": ("string", False)},
+    "send": {"text": ("string", True), "urgent": ("boolean", True), "after": ("string", False)},
+}
+
+
+def brute_levels(needs):
+    level = {}
+    while True:
+        new = {c: max((level[d] + 1 for d in ds), default=0) for c, ds in needs.items() if c not in level and all(d in level for d in ds)}
+        if not new:
+            return level
+        level |= new
+
+
+def test_levels_of_deep_chains_circles_and_several_dependencies(spark):
+    rng = random.Random(6)
+    needs = {f"c{k}": {f"c{k - 1}"} if k else set() for k in range(300)}
+    needs |= {f"r{k}": {f"r{rng.randrange(k)}" for _ in range(rng.choice((0, 1, 1, 2, 3)))} if k else set() for k in range(120)}
+    needs |= {"x0": {"x2"}, "x1": {"x0"}, "x2": {"x1"}, "x3": {"x2"}, "x4": {"x3", "c7"}, "x5": {"x5"}, "x6": {"c299", "r5"}, "x7": {"x6"}, "x8": {"x7", "x6"}}
+    calls = spark.createDataFrame([(1, c) for c in needs], "conv_id long, call_id string")
+    edges = spark.createDataFrame([(1, c, d) for c, ds in needs.items() for d in ds], "conv_id long, call_id string, needs string")
+    got = {r.call_id: r.level for r in tool_calls.levels(calls, edges).collect()}
+    assert got == brute_levels(needs) and got["x8"] == 302 and not {"x0", "x3", "x4", "x5"} & set(got)
+
+
+def test_nested_schemas_and_canonical_json_equal_brute_force(spark):
+    schema = {"t": {"a": ({"b": ({"c": ("integer", True)}, True), "d": ("string", False)}, True), "e": ("array", False), "f": ("number", False)}}
+    kinds = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict}
+
+    def wrong(value, wanted, path=""):
+        out = [f"unexpected {path}{k}" for k in value if k not in wanted]
+        for key, (kind, needed) in wanted.items():
+            named = "object" if isinstance(kind, dict) else kind
+            if key not in value:
+                out += [f"missing {path}{key}"] if needed else []
+            elif not isinstance(value[key], kinds[named]) or (isinstance(value[key], bool) and named != "boolean"):
+                out.append(f"{path}{key} is not {named}")
+            elif isinstance(kind, dict):
+                out += wrong(value[key], kind, f"{path}{key}.")
+        return sorted(out)
+
+    values = [
+        {"a": {"b": {"c": 1}}}, {"a": {"b": {"c": "x"}, "d": 2}, "f": 1.5}, {"a": {"b": [1]}, "e": [1, {"z": 1, "y": 2}]}, {"a": {}}, {}, {"a": None}, {"a": {"b": {"c": 2, "zz": 'q"\\ \n é 你'}}, "g": True},
+        {"f": "no", "a": {"d": "s", "b": {}}}, [1], "text", 7, {"e": {}, "a": {"b": {"c": -3}}, "f": 3},
+    ]
+    calls = spark.createDataFrame([(1, f"k{k}", k, "t", json.dumps(v, indent=1, ensure_ascii=k % 2 == 0)) for k, v in enumerate(values)], "conv_id long, call_id string, turn long, name string, arguments string")
+    results = spark.createDataFrame([(1, f"k{k}", 100 + k, 'whole "text"\n') for k in range(len(values))], "conv_id long, call_id string, turn long, content string")
+    for r in tool_calls.link(calls, results, schema).collect():
+        k = int(r.call_id[1:])
+        bad = wrong(values[k], schema["t"]) if isinstance(values[k], dict) else ["not an object"]
+        assert r.errors == "; ".join(bad) and r.status == ("invalid arguments" if bad else "linked")
+        whole = {"arguments": values[k], "call_id": r.call_id, "content": 'whole "text"\n', "level": 0, "name": "t", "result_turn": 100 + k, "turn": k}
+        assert r.json == json.dumps(whole, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
 def test_tool_calls(spark):
     arg = '{"query": "a", "after": "$%s"}'
     calls = [(1, "a", 1, "search", '{ "query" : "x" }'), (1, "b", 2, "search", arg % "a"), (1, "c", 0, "search", arg % "b"), (1, "a", 5, "send", "{}"), (1, "d", 6, "search", arg % "e"), (1, "e", 7, "search", arg % "d"), (1, "f", 8, "search", arg % "zz"), (1, "g", 9, "lookup", '{"key": "no"}'), (1, "h", 10, "send", "{"), (None, "q", 1, "x", None), (2, "n", 1, None, None)]
     results = [(1, "a", 3, "ok"), (1, "a", 4, "late"), (1, "o", 2, "orphan"), (1, None, 2, "nameless")]
     c = spark.createDataFrame([(*r, "t") for r in calls], "conv_id long, call_id string, turn long, name string, arguments string, text string")
     r = spark.createDataFrame(results, "conv_id long, call_id string, turn long, content string")
-    rows = tool_calls.link(c, r).collect()
+    rows = tool_calls.link(c, r, FIXED).collect()
     got = sorted(((x.call_id or "", x.status, x.level) for x in rows), key=str)
     assert got == sorted([("a", "linked", 0), ("a", "duplicate call", None), ("b", "no result", 1), ("c", "no result", 2), ("d", "circle", None), ("e", "circle", None), ("f", "missing dependency", 0), ("g", "invalid arguments", 0), ("h", "invalid arguments", 0), ("o", "no call", None), ("", "no identifier", None), ("q", "no identifier", None), ("n", "invalid arguments", 0)], key=str)
     (a,) = [x for x in rows if x.call_id == "a" and x.status == "linked"]
