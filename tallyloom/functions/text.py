@@ -57,6 +57,21 @@ def social_handle(html: Column) -> Column:
     return F.nullif(F.btrim(F.regexp_extract(html, SOCIAL_PATTERN, 1), F.lit("/@ ")), F.lit(""))
 
 
+def store_profile(html: Column, website: Column, require_signal: bool = False) -> Column:
+    """title (else the website), address (text of the address element), handle, store_type of a home page.
+
+    Online: one of the shop markers; or, unless a signal is required, no address. Offline stores have no handle.
+    """
+    low, address = F.lower(html), F.nullif(squash(F.regexp_replace(F.regexp_extract(html, r"(?is)<address[^>]*>(.*?)</address>", 1), "<[^>]+>", " ")), F.lit(""))
+    online = F.lit(False)
+    for m in SHOP_MARKERS:
+        online = online | F.contains(low, F.lit(m))
+    if not require_signal:
+        online = online | address.isNull()
+    title = F.coalesce(F.nullif(title_of(html), F.lit("")), website)
+    return F.struct(title.alias("title"), address.alias("address"), F.when(online, social_handle(html)).alias("handle"), F.when(online, "online").otherwise("offline").alias("store_type"))
+
+
 def squash(text: Column) -> Column:
     return F.btrim(F.regexp_replace(text, r"\s+", " "), F.lit(" "))
 
@@ -135,10 +150,6 @@ def hits(text: Column, pattern: str) -> Column:
     return F.aggregate(pairs, empty, step)
 
 
-def first_part(text: Column, size: int) -> Column:
-    return F.substring(text, 1, size)
-
-
 def returns_section(text: Column, start: str, content: str, stop: str, buffer_stop: str, gap: int = 900, tail: int = 120, cap: int = 4000, least: int = 80) -> Column:
     """The returns discussion inside a legal text: from its heading through hits that follow closely and are not parted
     by a boundary, plus a short tail up to the next boundary; null where nothing of substance is found."""

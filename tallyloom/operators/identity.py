@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import geocode_score, house_number, zip_code
 from ..functions.urls import clean_optional, domain_key
 
 
@@ -73,3 +74,13 @@ def size_lanes(stores: DataFrame, products: DataFrame, threshold: int) -> DataFr
     """domain, products (of its largest website), lane."""
     counts = stores.join(products.select(F.col("store_id").alias("id"), "product_id"), "id", "left").groupBy("website").agg(F.count("product_id").alias("n"))
     return counts.groupBy(domain_key(F.col("website")).alias("domain")).agg(F.max("n").alias("products")).withColumn("lane", F.when(F.col("products") >= threshold, "large").otherwise("small"))
+
+
+def geocode_pick(candidates: DataFrame, trusted: int = 2) -> DataFrame:
+    """For each address of candidates (address, provider, found, ...) one that was found: without a zip in the address the
+    first provider's; else the first provider's with a score of `trusted`, or where there is none the best score, the
+    earlier on a tie."""
+    rows = candidates.where("found IS NOT NULL")
+    zip_, score = zip_code(F.col("address")), geocode_score(zip_code(F.col("address")), house_number(F.col("address")), F.col("found"))
+    rows = rows.withColumn("_sure", zip_.isNull() | (score >= trusted)).withColumn("_score", F.when(F.col("_sure"), 0).otherwise(-score))
+    return first_by(rows, ["address"], F.when(F.col("_sure"), 0).otherwise(1), F.col("_score"), F.col("provider"), *(F.col(c) for c in sorted(set(candidates.columns) - {"address", "provider", "found"}))).drop("_sure", "_score")

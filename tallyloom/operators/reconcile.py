@@ -53,13 +53,31 @@ def upsert_products(current: DataFrame, incoming: DataFrame, ordinal: str = "ord
     return merge_frames(current, last_of(incoming, ["store_id", "product_id"], ordinal).drop(ordinal), ["store_id", "product_id"], overwrite)
 
 
-def upsert_store(current: DataFrame, incoming: DataFrame) -> DataFrame:
-    """By domain and address (null equals null), the row of least id; inserts get ids behind the greatest."""
-    rules = {"store_name": "overwrite", "store_type": "overwrite", "website": "overwrite", "handle": "coalesce", "lat": "coalesce"}
+def numbered(rows: DataFrame, start: DataFrame, name: str, spread: Column, *order: Column) -> DataFrame:
+    """rows with `name`: numbers behind the one value of start (a row and column), in order of the first three hex digits
+    of spread's md5, then `order`. Numbers come from counts of these 4,096 ranges, so no task sorts all rows."""
+    rows = rows.withColumn("_range", F.substring(F.md5(spread), 1, 3))
+    counts = rows.groupBy("_range").agg(F.count("*").alias("_n"))
+    base = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_base")).crossJoin(start.toDF("_start"))
+    ranked = rows.withColumn("_k", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    return ranked.join(base, "_range").withColumn(name, F.coalesce("_start", F.lit(0)) + F.col("_base") + F.col("_k")).drop("_range", "_k", "_base", "_start")
+
+
+def upsert_store(current: DataFrame, incoming: DataFrame, seen_at: Column | None = None) -> DataFrame:
+    """By domain and address (null equals null), the row of least id; inserts get ids behind the greatest.
+
+    Name, type, raw and website are overwritten; handle, lat, long, policy and policy_url only by what is not null. With
+    seen_at, every row that came in is `scraped` and has it as last_seen. Columns that current lacks are dropped.
+    """
+    rules = dict.fromkeys(("store_name", "store_type", "raw", "website"), "overwrite") | dict.fromkeys(("handle", "lat", "long", "policy", "policy_url"), "coalesce")
+    if seen_at is not None:
+        incoming = incoming.withColumn("scraped", F.lit(True)).withColumn("last_seen", seen_at)
+        rules |= {"scraped": "overwrite", "last_seen": "overwrite"}
     first = Window.partitionBy("domain", "address").orderBy("id")
     ranked = current.withColumn("_rank", F.row_number().over(first))
     merged = merge_frames(ranked.where("_rank = 1").drop("_rank"), incoming, ["domain", "address"], rules, null_safe=("address",))
-    return merged.unionByName(ranked.where("_rank > 1").drop("_rank"))
+    new = numbered(merged.where("id IS NULL").drop("id"), current.agg(F.max("id")), "id", F.col("domain"), F.col("domain"), F.col("address"))
+    return merged.where("id IS NOT NULL").unionByName(new).unionByName(ranked.where("_rank > 1").drop("_rank"))
 
 
 def catalog_diff(production: DataFrame, scraped: DataFrame, keys: list[str]) -> DataFrame:
@@ -98,24 +116,33 @@ def refresh_metadata(products: DataFrame, scraped: DataFrame, keys: list[str], c
     return merge_frames(products, scraped.select(*keys, *columns), keys, {c: "overwrite" for c in columns}, inserts=False)
 
 
-def completeness(pages: DataFrame, cap: int = 100, streaming: bool = False) -> DataFrame:
-    """domain, end_page, reason, complete of landed pages (domain, page, http_status, n_products: null if the key is
-    missing, n_new).
-
-    The earliest page that ends the walk decides: failed (an error on page 1), error (later; with streaming 400, 404
-    and 410 there end the catalog), missing key, empty, repeated page (not with streaming), else the cap or the budget.
-    """
+def stops(pages: DataFrame, streaming: bool = False) -> DataFrame:
+    """domain, first (page, stop: the earliest page that ends the walk, and why), last (page): what completeness is told
+    from. Least firsts and greatest lasts of parts of the pages are those of all."""
     error = F.col("http_status") >= 400
     gone = F.col("http_status").isin(*END_STATUSES) & F.lit(streaming)
     stop = (
         F.when(error & (F.col("page") == 1), "failed").when(error & gone, "end of catalog").when(error, "error").when(F.col("n_products").isNull(), "missing key")
         .when(F.col("n_products") == 0, "empty").when((F.col("n_new") == 0) & ~F.lit(streaming), "repeated page")
     )
-    ends = pages.withColumn("stop", stop).groupBy("domain").agg(F.min(F.when(F.col("stop").isNotNull(), F.struct("page", "stop"))).alias("first"), F.max("page").alias("last"))
+    return pages.withColumn("stop", stop).groupBy("domain").agg(F.min(F.when(F.col("stop").isNotNull(), F.struct("page", "stop"))).alias("first"), F.max("page").alias("last"))
+
+
+def verdicts_of_stops(ends: DataFrame, cap: int = 100) -> DataFrame:
     reason = F.coalesce(F.col("first.stop"), F.when(F.col("last") >= cap, "cap").otherwise("budget"))
     return ends.select("domain", F.coalesce("first.page", "last").alias("end_page"), reason.alias("reason"), reason.isin("empty", "repeated page", "end of catalog").alias("complete"))
 
 
+def completeness(pages: DataFrame, cap: int = 100, streaming: bool = False) -> DataFrame:
+    """domain, end_page, reason, complete of landed pages (domain, page, http_status, n_products: null if the key is
+    missing, n_new).
+
+    The earliest page that ends the walk decides: failed (an error on page 1), error (later; with streaming 400, 404
+    and 410 there end the catalog), missing key, empty, repeated page (not with streaming), else the cap or the budget.
+    """
+    return verdicts_of_stops(stops(pages, streaming), cap)
+
+
 def mark_status(runs: DataFrame, updates: DataFrame) -> DataFrame:
     """Run rows (run_id, website, status, attempts, error) after status updates (run_id, website, status, error).
 

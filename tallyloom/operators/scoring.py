@@ -33,23 +33,69 @@ def gallery_rule(products: DataFrame, verdicts: DataFrame, keys: list[str], cap:
     return rows.select(*keys, images.alias("images"), images.isNotNull().alias("kept"))
 
 
+def verdict_join(products: DataFrame, verdicts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, verdicts: for each image of products (keys, images), in order, its url and what verdicts (url, code, prob) say
+    of it (null: none). A product without images has an empty list."""
+    each = products.select(*keys, F.posexplode_outer("images").alias("pos", "url"))
+    said = each.join(verdicts.select("url", "code", "prob", F.lit(True).alias("judged")), "url", "left")
+    row = F.when(F.col("pos").isNotNull(), F.struct("pos", "url", F.coalesce("judged", F.lit(False)).alias("judged"), "code", "prob"))
+    return said.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("verdicts"))
+
+
 def product_score(images: DataFrame, prompts: DataFrame, scale: float = 100.0) -> DataFrame:
     """vec_id, best_positive, best_negative (labels), score of images (vec_id, embedding) against prompts (label,
-    embedding, positive), a handful, sent to every task. score is 1 / (1 + exp(scale * (negative - positive cosine)))."""
+    embedding, positive), a handful, which every row gets as one array. score is 1 / (1 + exp(scale * (negative - positive
+    cosine))). Images are scored in their row, without a shuffle."""
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, z: s + z)
     norm = lambda a: F.sqrt(dot(a, a))
-    known = prompts.select("label", "positive", F.col("embedding").alias("prompt"), norm(F.col("embedding")).alias("prompt_norm"))
-    pairs = images.select("vec_id", "embedding", norm(F.col("embedding")).alias("norm")).withColumn("_one", F.lit(1)).join(F.broadcast(known.withColumn("_one", F.lit(1))), "_one")
-    pairs = pairs.select("vec_id", "label", "positive", F.round(dot(F.col("embedding"), F.col("prompt")) / (F.col("norm") * F.col("prompt_norm")), 9).alias("cosine"))
-    best = lambda sign: F.max(F.when(F.col("positive") == sign, F.struct("cosine", "label")))
-    rows = pairs.groupBy("vec_id").agg(best(True).alias("p"), best(False).alias("n"))
+    known = prompts.select(F.struct("label", "positive", "embedding", norm(F.col("embedding")).alias("norm")).alias("p")).agg(F.collect_list("p").alias("prompts"))
+    rows = images.select("vec_id", "embedding", norm(F.col("embedding")).alias("norm")).crossJoin(F.broadcast(known))  # one row
+    cosine = lambda p: F.round(dot(F.col("embedding"), p["embedding"]) / (F.col("norm") * p["norm"]), 9)
+    rows = rows.select("vec_id", F.transform("prompts", lambda p: F.struct(p["positive"].alias("positive"), cosine(p).alias("cosine"), p["label"].alias("label"))).alias("all"))
+    best = lambda sign: F.array_max(F.transform(F.filter("all", lambda x: x["positive"] == sign), lambda x: F.struct(x["cosine"].alias("cosine"), x["label"].alias("label"))))
+    rows = rows.select("vec_id", best(True).alias("p"), best(False).alias("n"))
     return rows.select("vec_id", F.col("p.label").alias("best_positive"), F.col("n.label").alias("best_negative"), F.round(1 / (1 + F.exp(scale * (F.col("n.cosine") - F.col("p.cosine")))), 6).alias("score"))
 
 
+def ranked_counts(rows: DataFrame, value: str, *keys: str) -> DataFrame:
+    """keys, value, before, upto, n: of each different value how many rows come before it, up to it, and in all.
+
+    Values are counted first; counts are summed by ranges of values, so that neither one key nor one sort takes all.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("k"))
+    # ranges by the value's place between the key's least and greatest
+    ends = counts.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    counts = counts.join(ends, list(keys)) if keys else counts.crossJoin(ends)
+    width = F.col("_high") - F.col("_low")
+    counts = counts.withColumn("_range", F.when(width > 0, F.floor((F.col(value) - F.col("_low")) / width * 1023)).otherwise(0)).drop("_low", "_high")
+    sums = counts.groupBy(*keys, "_range").agg(F.sum("k").alias("_k"))
+    own = Window.partitionBy(*keys).orderBy("_range")  # 1,024 ranges of a key at most
+    sums = sums.select(*keys, "_range", (F.sum("_k").over(own) - F.col("_k")).alias("_base"), F.sum("_k").over(Window.partitionBy(*keys)).alias("n"))
+    inside = Window.partitionBy(*keys, "_range").orderBy(value)
+    rows = counts.join(sums, [*keys, "_range"]).withColumn("upto", F.col("_base") + F.sum("k").over(inside))
+    return rows.select(*keys, value, (F.col("upto") - F.col("k")).alias("before"), "upto", "n", "k")
+
+
 def distribution(scores: DataFrame, column: str) -> DataFrame:
-    """n, least, p10, p25, median, mean, p75, p90, most: exact percentiles, linear between ranks."""
-    p = lambda q: F.round(F.percentile(column, q), 6)
-    return scores.agg(F.count(column).alias("n"), F.min(column).alias("least"), p(0.1).alias("p10"), p(0.25).alias("p25"), p(0.5).alias("median"), F.round(F.avg(column), 6).alias("mean"), p(0.75).alias("p75"), p(0.9).alias("p90"), F.max(column).alias("most"))
+    """n, least, p10, p25, median, mean, p75, p90, most: exact percentiles, linear between ranks, read off the ranks of
+    counted values."""
+    ranked = ranked_counts(scores, column)
+    names = {"p10": 0.1, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9}
+    at = lambda place: F.max(F.when((F.col("before") <= place) & (place < F.col("upto")), F.col(column)))
+    spot = {name: F.lit(q) * (F.col("n") - 1) for name, q in names.items()}
+    low = [at(F.floor(x)).alias(f"{name}_low") for name, x in spot.items()]
+    high = [at(F.ceil(x)).alias(f"{name}_high") for name, x in spot.items()]
+    sums = ranked.agg(F.max("n").alias("n"), F.min(column).alias("least"), F.max(column).alias("most"), (F.sum(F.col(column) * F.col("k")) / F.max("n")).alias("mean"), *low, *high)
+    part = {name: x - F.floor(x) for name, x in spot.items()}
+    between = lambda name: F.round(F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low")) * part[name], 6).alias(name)
+    return sums.select(F.coalesce("n", F.lit(0)).alias("n"), "least", between("p10"), between("p25"), between("median"), F.round("mean", 6).alias("mean"), between("p75"), between("p90"), "most")
+
+
+def drop_stats(verdicts: DataFrame, key: str, value: str) -> DataFrame:
+    """key, n, least, median (the upper one), most of a value."""
+    ranked = ranked_counts(verdicts.where(F.col(key).isNotNull()), value, key)
+    middle = F.min(F.when(F.col("upto") > F.floor(F.col("n") / 2), F.col(value)))
+    return ranked.groupBy(key, "n").agg(F.min(value).alias("least"), middle.alias("median"), F.max(value).alias("most"))
 
 
 def threshold_sweep(scores: DataFrame, thresholds: list[float], score: str, label: str) -> DataFrame:
@@ -76,7 +122,26 @@ def retry_resolution(urls: DataFrame, attempts: DataFrame) -> DataFrame:
     return rows.select("url", passed.alias("passed"), F.when(~passed, F.coalesce("reason", F.lit("chunk_timeout"))).alias("reason"))
 
 
-def upper_median(column: str) -> Column:
-    """The value at rank n div 2 of the sorted values."""
-    values = F.sort_array(F.collect_list(column))
-    return F.try_element_at(values, F.floor(F.size(values) / 2).cast("int") + 1)
+def budget_chunks(products: DataFrame, store: str, order: str, most_products: int, most_urls: int, most_images: int | None = None) -> DataFrame:
+    """store, order column, chunk: consecutive products of a store in chunks of at most so many products and different
+    image urls (of the first `most_images` of each product; blanks don't count; a product is never cut).
+
+    A store's products stream through one task in order; of a store nothing but the open chunk's urls is held.
+    """
+
+    def run(batches):
+        now, chunk, n, seen = None, 0, 0, set()
+        for pdf in batches:
+            out = []
+            for key, images in zip(pdf[store], pdf["images"], strict=True):
+                urls = {u.strip() for u in (images if images is not None else [])[:most_images] if u and u.strip()}
+                if key != now:
+                    now, chunk, n, seen = key, 0, 0, set()
+                elif n >= most_products or len(seen | urls) > most_urls:
+                    chunk, n, seen = chunk + 1, 0, set()
+                n, seen = n + 1, seen | urls
+                out.append(chunk)
+            yield pdf[[store, order]].assign(chunk=out)
+
+    rows = products.select(store, order, "images").repartition(store).sortWithinPartitions(store, order)
+    return rows.mapInPandas(run, rows.select(store, order).schema.add("chunk", "long"))

@@ -81,6 +81,8 @@ def oracle(names: tuple[str, ...], body: str) -> str:
     given = ", ".join(f"{n} AS ({views[n]})" for n in needed(names))
     if not given:
         return body
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {given}, {body[15:]}"
     return f"WITH {given}, {body[5:]}" if body.upper().startswith("WITH ") else f"WITH {given} {body}"
 
 

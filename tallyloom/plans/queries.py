@@ -22,9 +22,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 #: The vocabulary that the synthetic names and texts have.
-SIGNALS = r"\b(?:the|and|of|to|with|from|this|are)\b"
+# (Without word boundaries, on which the two engines' regular expressions differ beyond ASCII.)
+SIGNALS = r"the|and|of|to|with|from|this|are|que|der|los"
 NAV = r"(?i)license"
-SHIP, RETURN = r"(?i)\bto\b|\bof\b", r"(?i)\bthe\b"
+SHIP, RETURN = r"(?i)to|of|en", r"(?i)the|de"
 CATEGORIES, GUARD, BEAUTY = "ring|plate|widget|rod", "large", "PROMO"
 
 
@@ -149,72 +150,75 @@ def _(v):
     return v.pages.select("page_id", T.visible_text(F.col("html")).alias("text"))
 
 
-@query("classify_store", "SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS title, nullif(regexp_extract(html, '(?i)instagram\\.com/([A-Za-z0-9_.-]+)', 1), '') AS handle, CASE WHEN contains(lower(html), '/cart') OR contains(lower(html), '/checkout') OR contains(lower(html), 'add-to-cart') OR contains(lower(html), 'products') OR NOT contains(lower(html), '<address') THEN 'online' ELSE 'offline' END AS store_type FROM pages")
+TITLE_SQL = "trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))"
+ADDRESS_SQL = "nullif(trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<address[^>]*>(.*?)</address>', 1), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')), '')"
+
+
+@query("classify_store", f"""SELECT page_id, title, address, CASE WHEN online THEN handle END AS handle, CASE WHEN online THEN 'online' ELSE 'offline' END AS store_type, CASE WHEN signal THEN 'online' ELSE 'offline' END AS strict_type
+FROM (SELECT *, signal OR address IS NULL AS online FROM (SELECT page_id, coalesce(nullif({TITLE_SQL}, ''), url) AS title, {ADDRESS_SQL} AS address, nullif(trim(regexp_extract(html, '(?i)instagram\\.com/([A-Za-z0-9_.-]+)', 1), '/@ '), '') AS handle,
+  contains(lower(html), '/cart') OR contains(lower(html), '/checkout') OR contains(lower(html), 'add-to-cart') OR contains(lower(html), 'products') AS signal
+  FROM (SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN concat('<address><b>', page_id, '</b> Main St</address><a href="https://instagram.com/p', page_id, '/">', html) WHEN page_id % 5 = 0 THEN replace(html, '<title>', '<p>') ELSE html END AS html FROM pages)))""")
 def _(v):
-    low = F.lower("html")
-    online = F.lit(False)
-    for m in T.SHOP_MARKERS:
-        online = online | F.contains(low, F.lit(m))
-    online = online | ~F.contains(low, F.lit("<address"))
-    return v.pages.select("page_id", T.title_of(F.col("html")).alias("title"), F.when(online, T.social_handle(F.col("html"))).alias("handle"), F.when(online, "online").otherwise("offline").alias("store_type"))
+    # the given pages have no addresses or handles: every third gets both, some others lose their title
+    html = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("<address><b>"), "page_id", F.lit('</b> Main St</address><a href="https://instagram.com/p'), "page_id", F.lit('/">'), "html")).when(F.col("page_id") % 5 == 0, F.replace("html", F.lit("<title>"), F.lit("<p>"))).otherwise(F.col("html"))
+    rows = v.pages.select("page_id", "url", html.alias("html"))
+    return rows.select("page_id", T.store_profile(F.col("html"), F.col("url")).alias("p"), T.store_profile(F.col("html"), F.col("url"), True)["store_type"].alias("strict_type")).select("page_id", "p.*", "strict_type")
 
 
 QUERIES["social_handle"] = lambda spark, sf_dir: Views(spark, sf_dir).pages.select("page_id", T.social_handle(F.col("html")).alias("handle"))
 ORACLES["social_handle"] = "SELECT page_id, nullif(trim(regexp_extract(html, '(?i)instagram\\.com/([A-Za-z0-9_.-]+)', 1), '/@ '), '') AS handle FROM pages"
 
-EN = "(SELECT * FROM documents WHERE lang = 'en') AS d"
 COUNT_SQL = "len(list_distinct(list_transform(regexp_extract_all(text, '" + SIGNALS + "'), lambda x: lower(x))))"
 LOOKS_SQL = f"({COUNT_SQL} >= 2 OR ({COUNT_SQL} = 1 AND length(text) <= 800 AND NOT regexp_matches(text, '{NAV}')))"
 LEGAL_SQL = "(NOT regexp_matches(regexp_replace(ltrim(text), '^[A-Z][A-Z &]+:\\s*', ''), '" + T.POLICY_LEAD + "') AND regexp_matches(substr(regexp_replace(ltrim(text), '^[A-Z][A-Z &]+:\\s*', ''), 1, 200), '" + T.EXCLUDED_PAGE_WORDS + "'))"
 
 
-def _en(v):
-    return v.documents.where("lang = 'en'")
-
-
-@query("signal_count", f"SELECT doc_id, CAST({COUNT_SQL} AS INTEGER) AS n FROM {EN}")
+@query("signal_count", f"SELECT doc_id, CAST({COUNT_SQL} AS INTEGER) AS n FROM documents")
 def _(v):
-    return _en(v).select("doc_id", T.signal_count(F.col("text"), SIGNALS).alias("n"))
+    return v.documents.select("doc_id", T.signal_count(F.col("text"), SIGNALS).alias("n"))
 
 
-@query("looks_like_policy", f"SELECT doc_id, {LOOKS_SQL} AS yes FROM {EN}")
+@query("looks_like_policy", f"SELECT doc_id, {LOOKS_SQL} AS yes FROM documents")
 def _(v):
-    return _en(v).select("doc_id", T.looks_like_policy(F.col("text"), SIGNALS, NAV).alias("yes"))
+    return v.documents.select("doc_id", T.looks_like_policy(F.col("text"), SIGNALS, NAV).alias("yes"))
 
 
-@query("legal_page", f"SELECT doc_id, {LEGAL_SQL} AS yes FROM {EN}")
+@query("legal_page", f"SELECT doc_id, {LEGAL_SQL} AS yes FROM documents")
 def _(v):
-    return _en(v).select("doc_id", T.legal_page(F.col("text")).alias("yes"))
+    return v.documents.select("doc_id", T.legal_page(F.col("text")).alias("yes"))
 
 
 SCORE_SQL = f"CASE WHEN {COUNT_SQL} < 2 THEN 0.0 ELSE {COUNT_SQL} / greatest(1.0, length(text) / 1000.0) * CASE WHEN regexp_matches(substr(text, 1, 400), '{NAV}') THEN 0.1 ELSE 1.0 END * (1.0 + least(len(regexp_extract_all(text, '{SHIP}')), 12) / 2.0) END"
 
 
-@query("candidate_score", f"SELECT doc_id, round(CAST({SCORE_SQL} AS DOUBLE), 6) AS score FROM {EN}")
+@query("candidate_score", f"SELECT doc_id, round(CAST({SCORE_SQL} AS DOUBLE), 6) AS score FROM documents")
 def _(v):
-    return _en(v).select("doc_id", F.round(T.candidate_score(F.col("text"), SIGNALS, NAV, SHIP).cast("double"), 6).alias("score"))
+    return v.documents.select("doc_id", F.round(T.candidate_score(F.col("text"), SIGNALS, NAV, SHIP).cast("double"), 6).alias("score"))
 
 
-@query("policy_weak", f"SELECT doc_id, CASE WHEN trim(text) = '' OR {LEGAL_SQL} OR NOT {LOOKS_SQL} THEN true WHEN length(text) <= 800 OR {COUNT_SQL} / (length(text) / 1000.0) >= 2.0 THEN false ELSE regexp_matches(substr(text, 1, 400), '{NAV}') END AS weak FROM {EN}")
+WEAK_SQL = f"CASE WHEN trim(text) = '' OR {LEGAL_SQL} OR NOT {LOOKS_SQL} THEN true WHEN length(text) <= 800 OR {COUNT_SQL} / (length(text) / 1000.0) >= 2.0 THEN false ELSE regexp_matches(substr(text, 1, 400), '{NAV}') END"
+
+
+@query("policy_weak", f"SELECT doc_id, {WEAK_SQL} AS weak FROM documents")
 def _(v):
-    return _en(v).select("doc_id", T.policy_weak(F.col("text"), SIGNALS, NAV).alias("weak"))
+    return v.documents.select("doc_id", T.policy_weak(F.col("text"), SIGNALS, NAV).alias("weak"))
 
 
 @query("category_text", f"""SELECT doc_id, md5(CASE WHEN len(b) <= 1 THEN t ELSE coalesce(nullif(array_to_string(list_filter(b, lambda x: len(regexp_extract_all(x, '{SHIP}')) >= 2 AND len(regexp_extract_all(x, '{SHIP}')) >= len(regexp_extract_all(x, '{RETURN}'))), chr(10) || chr(10)), ''), t) END) AS digest
-FROM (SELECT doc_id, t, list_filter(list_transform(string_split(t, chr(10) || chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13) || chr(12))), lambda x: x <> '') AS b FROM (SELECT doc_id, replace(text, chr(10), chr(10) || chr(10)) AS t FROM {EN}))""")
+FROM (SELECT doc_id, t, list_filter(list_transform(string_split(t, chr(10) || chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13) || chr(12))), lambda x: x <> '') AS b FROM (SELECT doc_id, replace(text, chr(10), chr(10) || chr(10)) AS t FROM documents))""")
 def _(v):
     t = F.regexp_replace("text", r"\n", "\n\n")
-    return _en(v).select("doc_id", F.md5(T.category_text(t, "shipping", SHIP, RETURN)).alias("digest"))
+    return v.documents.select("doc_id", F.md5(T.category_text(t, "shipping", SHIP, RETURN)).alias("digest"))
 
 
 @query("legal_returns_section")
 def _(v):
-    return _en(v).select("doc_id", T.returns_section(F.col("text"), r"(?i)\bthat\b", r"(?i)\bthe\b", r"(?i)\bwith\b", r"(?i)\bwith\b|\bfrom\b").alias("section"))
+    return v.documents.select("doc_id", T.returns_section(F.col("text"), r"(?i)that|que|ein", r"(?i)the|de", r"(?i)with|avec|mit", r"(?i)with|from|avec|mit").alias("section"))
 
 
 @query("shipping_window")
 def _(v):
-    return _en(v).select("doc_id", T.shipping_window(F.col("text"), r"(?i)\bfrom\b", r"(?i)license", SHIP, RETURN).alias("part"))
+    return v.documents.select("doc_id", T.shipping_window(F.col("text"), r"(?i)from|que|ein", r"(?i)license", SHIP, RETURN).alias("part"))
 
 
 @query("geocode_score", "SELECT c_custkey, provider, CASE WHEN found IS NULL THEN 0 ELSE CASE WHEN (c_custkey + provider) % 90 = c_custkey % 90 THEN 2 ELSE 0 END + 1 END AS score FROM geocode_candidates", ("geocode_candidates",))
@@ -223,12 +227,11 @@ def _(v):
     return v.geocode_candidates.select("c_custkey", "provider", T.geocode_score(T.zip_code(a), T.house_number(a), F.col("found")).alias("score"))
 
 
-@query("geocode_pick", "SELECT address, provider, lat FROM (SELECT *, row_number() OVER (PARTITION BY address ORDER BY CASE WHEN s >= 2 THEN 0 ELSE 1 END, CASE WHEN s >= 2 THEN 0 ELSE -s END, provider, c_custkey) AS rn FROM (SELECT *, CASE WHEN (c_custkey + provider) % 90 = c_custkey % 90 THEN 2 ELSE 0 END + 1 AS s FROM geocode_candidates WHERE found IS NOT NULL)) WHERE rn = 1", ("geocode_candidates",))
+@query("geocode_pick", """SELECT address, provider, lat FROM (SELECT *, row_number() OVER (PARTITION BY address ORDER BY CASE WHEN sure THEN 0 ELSE 1 END, CASE WHEN sure THEN 0 ELSE -s END, provider, c_custkey) AS rn
+FROM (SELECT *, plain OR s >= 2 AS sure FROM (SELECT c_custkey % 5 = 0 AS plain, c_custkey, provider, lat, found, CASE WHEN c_custkey % 5 = 0 THEN split_part(address, ',', 1) ELSE address END AS address, CASE WHEN (c_custkey + provider) % 90 = c_custkey % 90 THEN 2 ELSE 0 END + 1 AS s FROM geocode_candidates WHERE found IS NOT NULL))) WHERE rn = 1""", ("geocode_candidates",))
 def _(v):
-    a = F.col("address")
-    s = v.geocode_candidates.where("found IS NOT NULL").withColumn("s", T.geocode_score(T.zip_code(a), T.house_number(a), F.col("found")))
-    trusted = F.col("s") >= 2
-    return I.first_by(s, ["address"], F.when(trusted, 0).otherwise(1), F.when(trusted, 0).otherwise(-F.col("s")), F.col("provider"), F.col("c_custkey")).select("address", "provider", "lat")
+    address = F.when(F.col("c_custkey") % 5 == 0, F.split_part("address", F.lit(","), F.lit(1))).otherwise(F.col("address"))
+    return I.geocode_pick(v.geocode_candidates.withColumn("address", address)).select("address", "provider", "lat")
 
 
 # --- stores and seeds --------------------------------------------------------------------------------------------
@@ -327,7 +330,7 @@ def _(v):
     plan = I.branch_assign(branches, existing)
     primary = plan.where("pos = 0 AND id IS NOT NULL").select("domain", F.col("id").alias("primary_id"))
     moves = plan.where("action = 'stale'").join(primary, "domain").select(F.col("id").alias("store_id"), "primary_id")
-    return v.products.join(F.broadcast(moves), "store_id", "left").select(F.coalesce("primary_id", "store_id").alias("store_id"), "product_id").distinct()
+    return v.products.join(moves, "store_id", "left").select(F.coalesce("primary_id", "store_id").alias("store_id"), "product_id").distinct()
 
 
 @query("size_lanes", f"SELECT domain, max(n) AS products, CASE WHEN max(n) >= 2070 THEN 'large' ELSE 'small' END AS lane FROM (SELECT {dom('website')} AS domain, website, count(product_id) AS n FROM stores LEFT JOIN products ON id = store_id GROUP BY ALL) GROUP BY domain", ("stores", "products"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,11 +12,12 @@ from ..operators import identity as I
 from ..operators import policies as P
 from ..operators import reconcile as R
 from ..operators import rules as Q
+from ..operators import runs as X
 from ..operators import scoring as S
 from ..sources import seeds as A
 from ..sources.scratch import scratch_path
 from ..streaming import jobs as J
-from .queries import COUNT_SQL, EN, NAV, SCORE_SQL, SHIP, SIGNALS, STORES, _en, query
+from .queries import BRANCHES, COUNT_SQL, LEGAL_SQL, LOOKS_SQL, NAV, RETURN, SCORE_SQL, SHIP, SHOP_PICKED, SIGNALS, STORES, WEAK_SQL, _shop_seeds, query
 from .queries_catalog import ITEMS, V, catalog_pages
 
 IV = ("image_verdicts",)
@@ -34,21 +34,21 @@ def _(v):
 
 
 GALLERY = f"g AS (SELECT store_id, product_id, count(*) FILTER (code IS NULL) AS good, bool_or(code IS NOT NULL AND {DROP}) AS drops FROM image_verdicts WHERE i < 2 GROUP BY ALL), gi AS (SELECT store_id, product_id, string_agg(url, ' ' ORDER BY i) FILTER (code IS NULL OR i >= 2) AS trimmed, string_agg(url, ' ' ORDER BY i) AS whole FROM image_verdicts GROUP BY ALL)"
-for _name in ("gallery_rule", "verdict_join"):
+@query("gallery_rule", f"WITH {GALLERY} SELECT p.store_id, p.product_id, CASE WHEN good > 0 THEN trimmed WHEN NOT drops THEN whole END AS images, CASE WHEN good > 0 THEN true WHEN NOT drops THEN true ELSE false END AS kept FROM products p LEFT JOIN g ON p.store_id = g.store_id AND p.product_id = g.product_id LEFT JOIN gi ON p.store_id = gi.store_id AND p.product_id = gi.product_id", ("products", "image_verdicts"))
+def _(v):
+    return S.gallery_rule(v.products.select("store_id", "product_id", "images"), v.image_verdicts, ["store_id", "product_id"], cap=2).withColumn("images", F.array_join("images", " "))
+
 
-    @query(_name, f"WITH {GALLERY} SELECT p.store_id, p.product_id, CASE WHEN good > 0 THEN trimmed WHEN NOT drops THEN whole END AS images, CASE WHEN good > 0 THEN true WHEN NOT drops THEN true ELSE false END AS kept FROM products p LEFT JOIN g ON p.store_id = g.store_id AND p.product_id = g.product_id LEFT JOIN gi ON p.store_id = gi.store_id AND p.product_id = gi.product_id", ("products", "image_verdicts"))
-    def _(v):
-        return S.gallery_rule(v.products.select("store_id", "product_id", "images"), v.image_verdicts, ["store_id", "product_id"], cap=2).withColumn("images", F.array_join("images", " "))
+@query("verdict_join", "WITH e AS (SELECT store_id, product_id, unnest(images) AS url, generate_subscripts(images, 1) AS pos FROM products), j AS (SELECT e.*, CASE WHEN w.url IS NULL THEN 'none' ELSE coalesce(w.code, 'pass') END AS said FROM e LEFT JOIN (SELECT url, code FROM image_verdicts WHERE i < 2) w ON e.url = w.url), g AS (SELECT store_id, product_id, string_agg(concat(url, '=', said), ' ' ORDER BY pos) AS verdicts FROM j GROUP BY ALL) SELECT p.store_id, p.product_id, coalesce(verdicts, '') AS verdicts FROM products p LEFT JOIN g ON p.store_id = g.store_id AND p.product_id = g.product_id", ("products", "image_verdicts"))
+def _(v):
+    rows = S.verdict_join(v.products.select("store_id", "product_id", "images"), v.image_verdicts.where("i < 2"), ["store_id", "product_id"])
+    said = F.transform("verdicts", lambda x: F.concat_ws("=", x["url"], F.when(~x["judged"], "none").otherwise(F.coalesce(x["code"], F.lit("pass")))))
+    return rows.select("store_id", "product_id", F.array_join(said, " ").alias("verdicts"))
 
 
 @query("drop_stats", f"SELECT code, n, least, s[n // 2 + 1] AS median, most FROM (SELECT code, count(*) AS n, min(prob) AS least, max(prob) AS most, list_sort(list(prob)) AS s FROM image_verdicts WHERE code IS NOT NULL GROUP BY code)", IV)
 def _(v):
-    # the upper median by rank over pre-aggregated counts of each probability: no list of a code's rows is gathered
-    counts = v.image_verdicts.where("code IS NOT NULL").groupBy("code", "prob").agg(F.count("*").alias("k"))
-    own = Window.partitionBy("code").orderBy("prob")
-    ranked = counts.withColumn("upto", F.sum("k").over(own.rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.sum("k").over(Window.partitionBy("code")))
-    at = F.min(F.when(F.col("upto") > F.floor(F.col("n") / 2), F.col("prob")))
-    return ranked.groupBy("code", "n").agg(F.min("prob").alias("least"), at.alias("median"), F.max("prob").alias("most"))
+    return S.drop_stats(v.image_verdicts, "code", "prob")
 
 
 @query("host_counts", "SELECT host, count(DISTINCT url) AS urls FROM (SELECT regexp_extract(url, '://([^/?#]*)', 1) AS host, url FROM image_verdicts) GROUP BY host ORDER BY urls DESC, host LIMIT 5", IV)
@@ -76,6 +76,14 @@ def _(v):
     return S.distribution(v.image_metrics, "prob")
 
 
+@query("image_folders", "SELECT concat('label=', label) AS label, count(DISTINCT label) AS files FROM embeddings GROUP BY label")
+def _(v):
+    # a folder for each label, in it a file of its vectors' names
+    path = scratch_path(v.spark, "images")
+    v.embeddings.select("label", F.col("vec_id").cast("string").alias("value")).repartition("label").write.partitionBy("label").text(path)
+    return A.labelled_images(v.spark, path, ("txt",)).groupBy("label").agg(F.count("*").alias("files"))
+
+
 @query("threshold_sweep", "WITH t AS (SELECT unnest([0.3, 0.5, 0.7, 0.9]) AS threshold), c AS (SELECT threshold, count(*) FILTER (image_id % 3 > 0 AND prob >= threshold) AS tp, count(*) FILTER (image_id % 3 > 0 AND prob < threshold) AS fn, count(*) FILTER (image_id % 3 = 0 AND prob >= threshold) AS fp FROM image_metrics, t GROUP BY threshold), m AS (SELECT *, CASE WHEN tp + fp = 0 THEN 1.0 ELSE tp / (tp + fp) END AS p, CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS r FROM c), f AS (SELECT *, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1 FROM m) SELECT CAST(threshold AS DOUBLE) AS threshold, tp, fn, fp, round(p, 6) AS precision, round(r, 6) AS recall, f1, row_number() OVER (ORDER BY f1 DESC, threshold) = 1 AS best FROM f", ("image_metrics",))
 def _(v):
     return S.threshold_sweep(v.image_metrics.withColumn("product", F.col("image_id") % 3 > 0), [0.3, 0.5, 0.7, 0.9], "prob", "product")
@@ -124,11 +132,13 @@ def _(v):
     return S.retry_resolution(iv.select("url"), first.unionByName(again))
 
 
-@query("filter_products", "SELECT p.store_id, p.product_id FROM products p JOIN image_verdicts w ON p.store_id = w.store_id AND p.product_id = w.product_id AND w.i = 0 WHERE pid IN (SELECT vec_id FROM embeddings) AND (code IS NULL OR code IN ('timeout', 'fetch_error'))", ("products", "image_verdicts"))
+@query("filter_products", """WITH gone AS (SELECT p.store_id, p.product_id, p.pid FROM products p JOIN image_verdicts w ON p.store_id = w.store_id AND p.product_id = w.product_id AND w.i = 0 WHERE len(images) > 0 AND pid IN (SELECT vec_id FROM embeddings) AND code IS NOT NULL AND code NOT IN ('timeout', 'fetch_error')),
+stay AS (SELECT store_id, product_id, pid FROM products p WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.store_id = p.store_id AND g.product_id = p.product_id))
+SELECT 'product' AS what, store_id, product_id FROM stay UNION ALL SELECT 'embedding', NULL, CAST(vec_id AS VARCHAR) FROM embeddings WHERE vec_id NOT IN (SELECT pid FROM gone) OR vec_id IN (SELECT pid FROM stay)""", ("products", "image_verdicts"))
 def _(v):
-    rows = v.products.join(v.embeddings.select(F.col("vec_id").alias("pid")), "pid", "left_semi").select("store_id", "product_id")
-    judged = S.lead_image_rule(v.image_verdicts, ["store_id", "product_id"], lead=1).where("keep")
-    return rows.join(judged, ["store_id", "product_id"], "left_semi")
+    found = X.filter_saved(v.products.select("store_id", "product_id", "pid", "images"), v.embeddings.select(F.col("vec_id").alias("pid")), v.image_verdicts, ["store_id", "product_id"], "pid")
+    left = found.embeddings.select(F.lit("embedding").alias("what"), F.lit(None).cast("long").alias("store_id"), F.col("pid").cast("string").alias("product_id"))
+    return found.products.select(F.lit("product").alias("what"), "store_id", "product_id").unionByName(left)
 
 
 @query("filter_summary", f"SELECT CASE WHEN code IS NULL OR code IN ('timeout', 'fetch_error') THEN 'kept' ELSE 'deleted' END AS action, coalesce(code, 'pass') AS reason, count(*) AS n FROM image_verdicts WHERE i = 0 GROUP BY ALL", IV)
@@ -226,23 +236,15 @@ def _(v):
     return unseen.withColumn("_k", F.row_number().over(at)).where("_k <= 5").orderBy("store_id", "pid").limit(300).select("store_id", "product_id")
 
 
-def _chunks(most_products: int, most_images: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        chunk, n, seen, out = 0, 0, 0, []
-        for images in pdf.sort_values("pid").n_images:
-            if n and (n >= most_products or seen + images > most_images):
-                chunk, n, seen = chunk + 1, 0, 0
-            n, seen = n + 1, seen + images
-            out.append(chunk)
-        return pdf.sort_values("pid").assign(chunk=out)[["store_id", "product_id", "chunk"]]
-
-    return run
-
-
-@query("budget_chunks")
+@query("budget_chunks", """WITH RECURSIVE p AS (SELECT store_id, pid, row_number() OVER (PARTITION BY store_id ORDER BY pid) AS rn, CAST(n_images AS BIGINT) AS own, n_images <= 2 AS common FROM products),
+w AS (SELECT store_id, pid, rn, 0 AS chunk, 1 AS n, own AS seen, common FROM p WHERE rn = 1
+  UNION ALL SELECT p.store_id, p.pid, p.rn, CASE WHEN full_ THEN w.chunk + 1 ELSE w.chunk END, CASE WHEN full_ THEN 1 ELSE w.n + 1 END, CASE WHEN full_ THEN p.own ELSE w.seen + p.own END, CASE WHEN full_ THEN p.common ELSE w.common OR p.common END
+  FROM (SELECT w.*, q.own AS q_own, w.n >= 40 OR w.seen + q.own + CAST(w.common OR q.common AS INTEGER) > 60 AS full_ FROM w JOIN p q ON q.store_id = w.store_id AND q.rn = w.rn + 1) w JOIN p ON p.store_id = w.store_id AND p.rn = w.rn + 1)
+SELECT store_id, pid, CAST(chunk AS BIGINT) AS chunk FROM w""", PR)
 def _(v):
-    rows = v.products.select("store_id", "product_id", "pid", F.col("n_images").cast("long"))
-    return rows.groupBy("store_id").applyInPandas(_chunks(40, 60), "store_id long, product_id string, chunk long")
+    # every product also shows a common image, a blank and its first image again; three images of each count
+    images = F.concat("images", F.array(F.lit("https://cdn.example.com/common.jpg"), F.lit(" ")), F.slice("images", 1, 1))
+    return S.budget_chunks(v.products.select("store_id", "pid", images.alias("images")), "store_id", "pid", 40, 60, 3)
 
 
 @query("result_export", "SELECT status, count(*) AS n FROM runs GROUP BY status", RN)
@@ -253,10 +255,10 @@ def _(v):
     return v.spark.read.schema("website string, status string").json(path).groupBy("status").agg(F.count("*").alias("n"))
 
 
-@query("review_list", "SELECT store_id AS id, array_to_string(images, ' ') AS images FROM products WHERE pid % 100 = 1 AND store_id % 2 = 0", PR)
+@query("review_list", "SELECT store_id AS id, array_to_string(images, ' ') AS images FROM products WHERE store_id % 2 = 0", PR)
 def _(v):
     path = scratch_path(v.spark, "review")
-    rows = v.products.where("pid % 100 = 1").select(F.when(F.col("store_id") % 2 == 0, F.col("store_id").cast("string")).otherwise("no id").alias("id"), F.translate(F.to_json("images"), "\t\n", "  ").alias("images"))
+    rows = v.products.select(F.when(F.col("store_id") % 2 == 0, F.col("store_id").cast("string")).otherwise("no id").alias("id"), F.translate(F.to_json("images"), "\t\n", "  ").alias("images"))
     rows.write.csv(path, sep="\t", quote="\x01", escape="\x01")
     back = v.spark.read.schema("id string, images string").csv(path, sep="\t", quote="\x01", escape="\x01")
     return A.review_rows(back).select("id", F.array_join("images", " ").alias("images"))
@@ -265,27 +267,46 @@ def _(v):
 # --- branches and runs, composed ---------------------------------------------------------------------------------
 
 
-@query("rebuild_branches", f"WITH {STORES} SELECT domain, min(id) AS id, count(*) AS branches FROM st WHERE shop_no % 3 = 0 GROUP BY domain", ("stores",))
+@query("rebuild_branches", f"""WITH {STORES}, seed AS (SELECT domain, min(concat('Seed ', store_name)) FILTER (id % 4 <> 0) AS name, list_sort(list(DISTINCT coalesce(address, 'Main'))) AS addresses FROM st WHERE shop_no % 3 = 0 GROUP BY domain UNION ALL SELECT concat('new', shop_no, '.example.org'), 'New', ['A', 'B'] FROM st WHERE id % 40 = 1),
+b AS (SELECT domain, name, CAST(k - 1 AS INTEGER) AS pos, addresses[k] AS address FROM (SELECT *, unnest(range(1, len(addresses) + 1)) AS k FROM seed)), e AS (SELECT domain, id, address, store_name, row_number() OVER (PARTITION BY domain, address ORDER BY id) AS rk FROM st WHERE domain IN (SELECT domain FROM seed)),
+m AS (SELECT coalesce(b.domain, e.domain) AS domain, b.pos, b.address, e.id FROM b FULL JOIN e ON b.domain = e.domain AND b.address IS NOT DISTINCT FROM e.address AND e.rk = 1),
+fb AS (SELECT domain, pos, address, row_number() OVER (PARTITION BY domain ORDER BY pos) AS rk FROM m WHERE id IS NULL), fe AS (SELECT domain, id, row_number() OVER (PARTITION BY domain ORDER BY id) AS rk FROM m WHERE pos IS NULL),
+a AS (SELECT domain, pos, address, id, 'keep' AS action FROM m WHERE pos IS NOT NULL AND id IS NOT NULL UNION ALL SELECT coalesce(fb.domain, fe.domain), fb.pos, fb.address, fe.id, CASE WHEN fb.pos IS NULL THEN 'stale' WHEN fe.id IS NULL THEN 'insert' ELSE 'reuse' END FROM fb FULL JOIN fe ON fb.domain = fe.domain AND fb.rk = fe.rk),
+nm AS (SELECT domain, (array_agg(store_name ORDER BY CASE WHEN address IS NULL THEN 1 ELSE 0 END, id))[1] AS own FROM st GROUP BY domain)
+SELECT a.domain, pos, address, id, action, coalesce(seed.name, own) AS store_name FROM a LEFT JOIN seed ON a.domain = seed.domain LEFT JOIN nm ON a.domain = nm.domain""", ("stores",))
 def _(v):
     st = v.stores.withColumn("domain", U.domain_key(F.col("website")))
-    seeds = st.where("shop_no % 3 = 0").groupBy("domain").agg(F.min("website").alias("store_url"), F.array_sort(F.collect_set(F.coalesce("address", F.lit("Main")))).alias("addresses"))
-    plan = I.branch_assign(I.branch_fanout(seeds).select("domain", "pos", "address"), st.join(seeds.select("domain"), "domain", "left_semi").select("domain", "id", "address"))
-    return plan.where("pos IS NOT NULL").groupBy("domain").agg(F.min("id").alias("id"), F.count("*").alias("branches"))
+    seeds = st.where("shop_no % 3 = 0").groupBy("domain").agg(F.min("website").alias("store_url"), F.min(F.when(F.col("id") % 4 != 0, F.concat(F.lit("Seed "), "store_name"))).alias("store_name"), F.array_sort(F.collect_set(F.coalesce("address", F.lit("Main")))).alias("addresses"))
+    new = st.where("id % 40 = 1").select(F.concat(F.lit("new"), "shop_no", F.lit(".example.org")).alias("domain"), F.lit("http://new").alias("store_url"), F.lit("New").alias("store_name"), F.array(F.lit("A"), F.lit("B")).alias("addresses"))
+    return X.rebuild_branches(seeds.unionByName(new), st.select("domain", "id", "address", "store_name"), include_missing=True)
 
 
-@query("finalize_run", "SELECT s.shop_no, s.product_id, s.price_cents FROM scrape s LEFT JOIN shop_products p ON p.shop_no = s.shop_no AND p.product_id = s.product_id WHERE NOT (p.product_id IS NULL AND s.price_cents % 2 = 0) AND s.n_images > 0 UNION ALL SELECT p.shop_no, p.product_id, p.price_cents FROM shop_products p LEFT JOIN scrape s ON p.shop_no = s.shop_no AND p.product_id = s.product_id WHERE s.product_id IS NULL OR s.n_images = 0", ("scrape", "shop_products"))
+@query("finalize_run", """WITH sg AS (SELECT CASE WHEN shop_no % 4 = 0 THEN 'old' ELSE 'now' END AS run_id, concat('https://shop', shop_no, '.example.com') AS website, * FROM scrape),
+fit AS (SELECT s.* FROM sg s LEFT JOIN shop_products p ON p.shop_no = s.shop_no AND p.product_id = s.product_id WHERE s.run_id = 'now' AND NOT (p.product_id IS NULL AND s.price_cents % 2 = 0) AND s.n_images > 0)
+SELECT 'product' AS what, CAST(coalesce(p.shop_no, f.shop_no) AS VARCHAR) AS a, coalesce(p.product_id, f.product_id) AS b, concat_ws('|', CAST(coalesce(f.price_cents, p.price_cents) AS VARCHAR), CASE WHEN p.product_id IS NOT NULL THEN concat('up-', p.pid) END, CASE WHEN f.product_id IS NULL THEN 'probs' END) AS c FROM shop_products p FULL JOIN fit f ON p.shop_no = f.shop_no AND p.product_id = f.product_id
+UNION ALL SELECT 'run', 'now', website, 'completed' FROM (SELECT DISTINCT website FROM sg WHERE run_id = 'now') UNION ALL SELECT 'run', 'old', website, 'scraped' FROM (SELECT DISTINCT website FROM sg WHERE run_id = 'old')
+UNION ALL SELECT 'staged', run_id, product_id, website FROM sg WHERE run_id = 'old'""", ("scrape", "shop_products"))
 def _(v):
     k = ["shop_no", "product_id"]
-    rows = v.scrape.join(v.shop_products.select(*k, F.lit(True).alias("known")), k, "left")
-    fit = rows.where(~(F.col("known").isNull() & (F.col("price_cents") % 2 == 0)) & (F.col("n_images") > 0)).select(*k, "price_cents")
-    return R.merge_frames(v.shop_products.select(*k, "price_cents"), fit, k, {"price_cents": "overwrite"})
+    images = F.expr("transform(slice(array(0, 1, 2), 1, n_images), i -> concat(product_id, '-', i))")
+    staging = v.scrape.select(F.when(F.col("shop_no") % 4 == 0, "old").otherwise("now").alias("run_id"), F.concat(F.lit("https://shop"), "shop_no", F.lit(".example.com")).alias("website"), *k, "price_cents", (F.col("price_cents") % 2 == 0).alias("unavailable"), images.alias("images"))
+    products = v.shop_products.select(*k, "price_cents", "unavailable", images.alias("images"), F.array(F.concat(F.lit("up-"), "pid")).alias("uploaded"), F.lit("probs").alias("gender_probs"))
+    runs = staging.select("run_id", "website", F.lit("scraped").alias("status"), F.lit(1).alias("attempts"), F.lit(None).cast("string").alias("error")).distinct()
+    found = X.finalise_stores(products, staging, runs, k, "now")
+    rows = found.products.select(F.lit("product").alias("what"), F.col("shop_no").cast("string").alias("a"), F.col("product_id").alias("b"), F.concat_ws("|", F.col("price_cents").cast("string"), F.try_element_at("uploaded", F.lit(1)), "gender_probs").alias("c"))
+    rows = rows.unionByName(found.runs.select(F.lit("run").alias("what"), F.col("run_id").alias("a"), F.col("website").alias("b"), F.col("status").alias("c")))
+    return rows.unionByName(found.staging.select(F.lit("staged").alias("what"), F.col("run_id").alias("a"), F.col("product_id").alias("b"), F.col("website").alias("c")))
 
 
-@query("coords_backfill", "SELECT id, CASE WHEN id % 9 = 0 THEN 'override' WHEN address IS NOT NULL THEN address WHEN id % 3 = 0 THEN concat('Seed ', id) END AS address, CASE WHEN id % 2 = 0 THEN id / 10 ELSE lat END AS lat FROM stores", ("stores",))
+@query("coords_backfill", f"""WITH {STORES}, {SHOP_PICKED}, f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY id) AS rn FROM st) WHERE rn = 1 AND address IS NULL), n AS (SELECT f.id, spk.addresses[1] AS given FROM f JOIN spk ON f.domain = spk.domain WHERE len(spk.addresses) > 0),
+g AS (SELECT * FROM (SELECT address, lat, row_number() OVER (PARTITION BY address ORDER BY CASE WHEN (c_custkey + provider) % 90 = c_custkey % 90 THEN 0 ELSE 1 END, provider, c_custkey) AS rn FROM geocode_candidates WHERE found IS NOT NULL) WHERE rn = 1),
+a AS (SELECT st.id, st.lat, CASE WHEN st.id % 9 = 0 THEN concat(st.id % 200, ' Main St, ', 10000 + st.id % 90) WHEN st.id % 7 = 0 THEN 'Forced' ELSE coalesce(st.address, given) END AS address FROM st LEFT JOIN n ON st.id = n.id)
+SELECT a.id, a.address, coalesce(g.lat, a.lat) AS lat FROM a LEFT JOIN g ON a.address = g.address""", ("stores", "geocode_candidates"))
 def _(v):
     i = F.col("id")
-    found = F.when(i % 2 == 0, i / 10)
-    return v.stores.select("id", F.coalesce(F.when(i % 9 == 0, "override"), "address", F.when(i % 3 == 0, F.concat(F.lit("Seed "), i))).alias("address"), F.coalesce(found, "lat").alias("lat"))
+    overrides = v.stores.where("id % 9 = 0").select("id", F.concat(i % 200, F.lit(" Main St, "), 10000 + i % 90).alias("address"))
+    forced = v.stores.where("id % 7 = 0").select("id", F.lit("Forced").alias("address"))
+    return X.backfill_address(v.stores.select("id", "website", "address", "lat"), overrides, I.dedupe_domain(_shop_seeds(v)), v.geocode_candidates, forced).select("id", "address", "lat")
 
 
 @query("backfill_candidates", "SELECT store_id, product_id FROM products WHERE n_images > 0 AND pid % 4 = 0 ORDER BY last_seen DESC, store_id, pid LIMIT 100", PR)
@@ -303,25 +324,38 @@ def _(v):
     return P.policy_links(v.pages, WANTED, UNWANTED)
 
 
+def _home_links(v):
+    """Each site's pages, in order of page_id, as one home page's links."""
+    links = P.policy_links(v.pages, WANTED, UNWANTED).join(v.pages.select("page_id", U.normalize_url(F.col("url")).alias("site")), "page_id")
+    return links.select("site", (F.col("ord") + F.col("page_id") * 1000).alias("ord"), "url", "label")
+
+
 @query("policy_candidates")
 def _(v):
     sites = v.pages.select(U.normalize_url(F.col("url")).alias("site")).distinct()
-    links = P.policy_links(v.pages, WANTED, UNWANTED).join(v.pages.select("page_id", U.normalize_url(F.col("url")).alias("site")), "page_id").select("site", "ord", "url")
-    return P.candidates(sites, links)
+    return P.candidates(sites, _home_links(v), {"returns": "(?i)la|de", "shipping": "(?i)the|of"}, "(?i)o|de")
+
+
+@query("policy_landed", f"SELECT DISTINCT site, category, url, text FROM (SELECT regexp_extract(url, '^([^:]+://[^/?#]*)', 1) AS site, unnest(['returns', 'shipping']) AS category, rtrim(split_part(url, '#', 1), '/') AS url, length(html) AS text FROM pages)")
+def _(v):
+    # every page is a candidate of its site, by its own address
+    pages = v.pages.select(F.rtrim(F.substring_index("url", "#", 1), F.lit("/")).alias("url"), F.length("html").cast("bigint").alias("text"), U.normalize_url(F.col("url")).alias("site"), F.col("page_id").alias("ord"))
+    each = pages.select("site", F.explode(F.array(F.lit("returns"), F.lit("shipping"))).alias("category"), "ord", "url")
+    return P.landed(each, pages).select("site", "category", "url", "text").distinct()
 
 
 @query("content_block")
 def _(v):
-    blocks = P.content_blocks(v.pages).withColumn("score", T.candidate_score(F.col("text"), SIGNALS, NAV))
-    return I.first_by(blocks, ["page_id"], F.desc("score"), F.col("pos")).select("page_id", "pos", "text")
+    return P.content_text(v.pages, SIGNALS, NAV)
 
 
-ACCEPTED = f"(SELECT source, doc_id, round(CAST({SCORE_SQL} AS DOUBLE), 6) AS score, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM {EN} WHERE {COUNT_SQL} >= 5)"
+WORDS = P.Vocabulary(SIGNALS, NAV, SHIP, RETURN, section=r"(?i)that|que|ein", stop=r"(?i)with|avec|mit", edge=r"(?i)with|from|avec|mit", anchor=r"(?i)from|que|ein", chrome=r"(?i)license")
+ACCEPTED = f"(SELECT source, doc_id, round(CAST({SCORE_SQL} AS DOUBLE), 6) AS score, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents WHERE {COUNT_SQL} >= 5)"
 BEST = f"SELECT source, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) AS b FROM {ACCEPTED} WHERE k <= 3) WHERE b = 1"
 
 
 def _best(v):
-    d = _en(v).select("source", "doc_id", "text", F.col("doc_id").alias("ord"), F.round(T.candidate_score(F.col("text"), SIGNALS, NAV, SHIP).cast("double"), 6).alias("score"), (T.signal_count(F.col("text"), SIGNALS) >= 5).alias("accepted"))
+    d = v.documents.select("source", "doc_id", "text", F.col("doc_id").alias("ord"), F.round(T.candidate_score(F.col("text"), SIGNALS, NAV, SHIP).cast("double"), 6).alias("score"), (T.signal_count(F.col("text"), SIGNALS) >= 5).alias("accepted"))
     return P.best_page(d, ["source"])
 
 
@@ -330,20 +364,38 @@ def _(v):
     return _best(v).select("source", "doc_id", "score")
 
 
-@query("recapture_policies", f"WITH b AS ({BEST}) SELECT DISTINCT d.source, CASE WHEN b.doc_id IS NOT NULL THEN 'write' ELSE 'leave' END AS action FROM documents d LEFT JOIN b ON d.source = b.source")
+@query("recapture_policies", f"""WITH b AS ({BEST}), kept AS (SELECT source, text AS policy FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS k FROM documents) WHERE k = 1), w AS (SELECT source, policy, (SELECT coalesce({WEAK_SQL}, true) FROM (SELECT policy AS text)) AS weak FROM kept)
+SELECT w.source, CASE WHEN f.text IS NOT NULL THEN CASE WHEN weak THEN 'write' ELSE 'refresh' END WHEN weak THEN 'clear' ELSE 'leave' END AS action, md5(CASE WHEN f.text IS NOT NULL THEN f.text WHEN NOT weak THEN policy END) AS policy FROM w LEFT JOIN (SELECT b.source, d.text FROM b JOIN documents d ON b.doc_id = d.doc_id WHERE b.doc_id % 2 = 0) f ON w.source = f.source""")
+def _(v):
+    # a source's last text is what is stored; what was found counts for every other best page
+    stored = v.documents.groupBy("source").agg(F.max_by("text", "doc_id").alias("policy"))
+    found = _best(v).where("doc_id % 2 = 0").select("source", "text")
+    return P.recapture(stored, found, "source", WORDS, clear_unfixable=True).select("source", "action", F.md5("policy").alias("policy"))
+
+
+def _capture(v):
+    """Sites of a few documents each: one in four is a home page, one in four a legal page, the others are candidates."""
+    d = v.documents.select(F.concat_ws("-", "source", F.pmod(F.xxhash64("doc_id"), F.lit(997)).cast("string")).alias("site"), F.col("doc_id").alias("ord"), F.concat(F.lit("https://x/"), "doc_id").alias("url"), "text")
+    kind = F.col("ord") % 4
+    pages = d.where(kind < 2).withColumn("category", F.explode(F.array(*map(F.lit, P.CATEGORIES))))
+    homes = I.first_by(d.where(kind == 2), ["site"], F.col("ord")).select("site", "url", "text")
+    return P.capture(d.select("site").distinct(), pages, homes, d.where(kind == 3), WORDS)
+
+
+@query("capture_policies")
 def _(v):
-    return v.documents.select("source").distinct().join(_best(v).select("source", "doc_id"), "source", "left").select("source", F.when(F.col("doc_id").isNotNull(), "write").otherwise("leave").alias("action"))
+    return _capture(v)
 
 
-@query("capture_policies", f"WITH b AS ({BEST}) SELECT b.source, substr(d.text, 1, 4000) AS text FROM b JOIN documents d ON b.doc_id = d.doc_id")
+@query("best_policy_text", f"WITH b AS ({BEST}) SELECT b.source, md5(d.text) AS digest FROM b JOIN documents d ON b.doc_id = d.doc_id")
 def _(v):
-    return _best(v).select("source", F.substring("text", 1, 4000).alias("text"))
+    return _best(v).select("source", F.md5("text").alias("digest"))
 
 
 @query("rate_merge")
 def _(v):
     rate = F.concat(F.lit("Standard shipping to you $"), (F.col("doc_id") % 9).cast("string"), F.lit(".50 and Express $12.00 or free over $50+."))
-    texts = _en(v).select(F.col("source").alias("key"), F.col("doc_id").alias("ord"), F.concat(F.left("text", F.lit(200)), F.lit(" "), rate).alias("text"))
+    texts = v.documents.select(F.col("source").alias("key"), F.col("doc_id").alias("ord"), F.concat("text", F.lit(" "), rate).alias("text"))
     chosen = texts.groupBy("key").agg(F.min(F.struct("ord", "text"))["text"].alias("text"))
     return P.rate_merge(chosen, texts)
 
@@ -372,29 +424,25 @@ def _(v):
 
 @query("stream_completeness", f"WITH {ITEMS} SELECT concat('shop', shop_no, '.example.com') AS domain, shop_no % 5 IN (0, 4) AS complete FROM lastp", V)
 def _(v):
-    landed, path = _landed(v, "landed"), scratch_path(v.spark, "pages")
-    J.run(landed, scratch_path(v.spark, "progress"), lambda rows, batch: rows.write.mode("overwrite").parquet(f"{path}/batch={batch}"))
-    pages = v.spark.read.parquet(path).drop("batch", "landed")
-    return R.completeness(C.page_counts(pages), streaming=True).select("domain", "complete")
+    return J.completeness(v.spark, _landed(v, "landed"), scratch_path(v.spark, "state"), scratch_path(v.spark, "progress")).select("domain", "complete")
 
 
 HB = ("heartbeats",)
 
 
-@query("idle_sessions", "WITH g AS (SELECT store, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY store ORDER BY ts) < INTERVAL 24 HOUR THEN 0 ELSE 1 END AS fresh FROM heartbeats), s AS (SELECT *, sum(fresh) OVER (PARTITION BY store ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT store, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) + 86400000000 AS end_us, count(*) AS beats FROM s GROUP BY store, k", HB)
+@query("idle_sessions", "WITH g AS (SELECT store, ts, kind, CASE WHEN ts - lag(ts) OVER (PARTITION BY store ORDER BY ts) < INTERVAL 24 HOUR THEN 0 ELSE 1 END AS fresh FROM heartbeats), s AS (SELECT *, sum(fresh) OVER (PARTITION BY store ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT store, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) + 86400000000 AS end_us, count(*) AS beats, CASE WHEN bool_or(kind = 'purchase') THEN 'finished' WHEN epoch_us(max(ts)) - epoch_us(min(ts)) > 200000000000 THEN 'over limit' ELSE 'stalled' END AS verdict FROM s GROUP BY store, k", HB)
 def _(v):
-    rows = J.idle_sessions(v.heartbeats, "24 hours")
-    return rows.select("store", F.unix_micros("start").alias("first_us"), F.unix_micros("end").alias("end_us"), "beats")
+    rows = J.idle_sessions(v.heartbeats, "24 hours", terminal=("purchase",), hard_seconds=200_000)
+    return rows.select("store", F.unix_micros("start").alias("first_us"), F.unix_micros("end").alias("end_us"), "beats", "verdict")
 
 
-@query("live_monitor", "SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start_us, kind, count(*) AS n FROM heartbeats GROUP BY ALL", HB)
+@query("live_monitor", "WITH c AS (SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start_us, kind, count(*) AS n, max(ts) AS latest FROM heartbeats GROUP BY ALL) SELECT start_us, kind, n, n - coalesce(lag(n) OVER (PARTITION BY kind ORDER BY start_us), 0) AS delta, coalesce(latest > lag(latest) OVER (PARTITION BY kind ORDER BY start_us), true) AS fresh FROM c", HB)
 def _(v):
-    return J.live_counts(v.heartbeats, "1 hour").select(F.unix_micros("start").alias("start_us"), "kind", "n")
+    return J.live_deltas(J.live_counts(v.heartbeats, "1 hour")).select(F.unix_micros("start").alias("start_us"), "kind", "n", "delta", "fresh")
 
 
 @query("two_phase", f"WITH {ITEMS} SELECT domain, count(*) AS n FROM it WHERE n <> 0 AND n_images >= 2 GROUP BY domain", V)
 def _(v):
-    stage = scratch_path(v.spark, "staging")
-    J.run(_landed(v, "landed"), scratch_path(v.spark, "phase1"), lambda rows, batch: C.extract_catalog(rows).write.mode("overwrite").parquet(f"{stage}/batch={batch}"))
-    staged = C.first_seen_products(v.spark.read.parquet(stage).drop("batch"))
-    return staged.where(~Q.image_poor(F.col("images"))).groupBy("domain").agg(F.count("*").alias("n"))
+    poor = lambda rows: rows.where(~Q.image_poor(F.col("images")))
+    saved = J.two_phase(v.spark, _landed(v, "landed"), scratch_path(v.spark, "staging"), scratch_path(v.spark, "saved"), scratch_path(v.spark, "progress"), "r1", poor)
+    return C.first_seen_products(saved).groupBy("domain").agg(F.count("*").alias("n"))

@@ -9,6 +9,8 @@ from ..functions import urls as U
 from ..operators import catalog as C
 from ..operators import reconcile as R
 from ..operators import rules as Q
+from ..operators import runs as X
+from ..sources.scratch import scratch_path
 from .queries import BEAUTY, CATEGORIES, GUARD, STORES, dom, query
 
 PAGE = 250
@@ -121,10 +123,10 @@ WORD = "(?i)\\b(?:{})\\b"
 
 
 def _named(v):
-    return v.products.select("store_id", "product_id", "item_name", "product_type", "images", "brand", F.concat(F.lit("https://x.example.com/products/"), F.replace("item_name", F.lit(" "), F.lit("-"))).alias("url"), F.replace("item_name", F.lit(" "), F.lit("-")).alias("handle"))
+    return v.products.select("store_id", "pid", "product_id", "item_name", "product_type", "images", "brand", F.concat(F.lit("https://x.example.com/products/"), F.replace("item_name", F.lit(" "), F.lit("-"))).alias("url"), F.replace("item_name", F.lit(" "), F.lit("-")).alias("handle"))
 
 
-NAMED = "nm AS (SELECT store_id, product_id, item_name, product_type, images, n_images, brand, concat('https://x.example.com/products/', replace(item_name, ' ', '-')) AS url, replace(item_name, ' ', '-') AS handle FROM products)"
+NAMED = "nm AS (SELECT store_id, pid, product_id, item_name, product_type, images, n_images, brand, concat('https://x.example.com/products/', replace(item_name, ' ', '-')) AS url, replace(item_name, ' ', '-') AS handle FROM products)"
 KIDS = "(" + " OR ".join(f"contains(replace(lower(concat_ws(' ', item_name, url, handle)), 'babydoll', ' '), '{k}')" for k in Q.KIDS_PARTS) + ")"
 EXCLUDED = f"(regexp_matches(product_type, '{WORD.format(BEAUTY)}') OR {KIDS} OR regexp_matches(concat_ws(' ', item_name, url, handle, product_type), '{WORD.format(CATEGORIES)}'))"
 CLEAR = f"(CASE WHEN regexp_matches(concat_ws(' ', item_name, product_type), '{WORD.format(Q.HARD_DELETE)}') THEN true WHEN regexp_matches(concat_ws(' ', item_name, product_type), '{WORD.format(GUARD)}') THEN false WHEN regexp_matches(product_type, '{WORD.format(BEAUTY)}') THEN true ELSE regexp_matches(regexp_replace(concat_ws(' ', item_name, url, handle, product_type), '{WORD.format(Q.COLLISION_WORDS)}', ' ', 'g'), '{WORD.format(CATEGORIES)}') END)"
@@ -216,7 +218,10 @@ def _(v):
 
 @query("mark_removed", f"WITH {PLAN}, g AS (SELECT df.shop_no, df.product_id FROM df JOIN pl ON df.shop_no = pl.shop_no WHERE kind = 'missing' AND reason = 'flag') SELECT p.shop_no, p.product_id, p.unavailable OR g.product_id IS NOT NULL AS unavailable, g.product_id IS NOT NULL AND NOT p.unavailable AS newly_unavailable FROM shop_products p LEFT JOIN g ON p.shop_no = g.shop_no AND p.product_id = g.product_id", D)
 def _(v):
-    diff = R.catalog_diff(v.shop_products, v.scrape, K)
+    # written once: both the plan and the marking read it
+    path = scratch_path(v.spark, "diff")
+    R.catalog_diff(v.shop_products, v.scrape, K).write.parquet(path)
+    diff = v.spark.read.parquet(path)
     return R.mark_removed(v.shop_products.select(*K, "unavailable"), diff, R.removal_plan(diff, v.scrape_state, "shop_no"), K).select(*K, "unavailable", "newly_unavailable")
 
 
@@ -252,11 +257,15 @@ def _(v):
     return R.merge_frames(cur.select(*keys, "price_cents", "n_images"), R.last_of(inc, keys, "ord").select(*keys, "price_cents", "n_images"), keys, {"price_cents": "overwrite", "n_images": "overwrite"})
 
 
-@query("upsert_store", f"WITH {STORES}, c AS (SELECT domain, address, id, website, store_name, lat FROM st WHERE shop_no % 3 <> 0), inc AS (SELECT domain, address, min(concat('New ', store_name)) AS store_name, max(CASE WHEN id % 2 = 0 THEN 1.5 END) AS lat, min(website) AS website FROM st WHERE id % 3 <> 1 GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY domain, address ORDER BY id) AS rn FROM c) SELECT coalesce(r.domain, i.domain) AS domain, coalesce(r.address, i.address) AS address, r.id, CASE WHEN i.domain IS NOT NULL THEN i.store_name ELSE r.store_name END AS store_name, coalesce(i.lat, r.lat) AS lat FROM (SELECT * FROM r WHERE rn = 1) r FULL JOIN inc i ON r.domain = i.domain AND r.address IS NOT DISTINCT FROM i.address UNION ALL SELECT domain, address, id, store_name, lat FROM r WHERE rn > 1", ("stores",))
+@query("upsert_store", f"""WITH {STORES}, c AS (SELECT domain, address, id, website, store_name, lat FROM st WHERE shop_no % 3 <> 0), inc AS (SELECT domain, address, min(concat('New ', store_name)) AS store_name, max(CASE WHEN id % 2 = 0 THEN 1.5 END) AS lat, min(website) AS website FROM st WHERE id % 3 <> 1 GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY domain, address ORDER BY id) AS rn FROM c),
+m AS (SELECT coalesce(r.domain, i.domain) AS domain, coalesce(r.address, i.address) AS address, r.id, CASE WHEN i.domain IS NOT NULL THEN i.store_name ELSE r.store_name END AS store_name, coalesce(i.lat, r.lat) AS lat, i.domain IS NOT NULL AS scraped FROM (SELECT * FROM r WHERE rn = 1) r FULL JOIN inc i ON r.domain = i.domain AND r.address IS NOT DISTINCT FROM i.address),
+n AS (SELECT domain, address, (SELECT max(id) FROM c) + row_number() OVER (ORDER BY substr(md5(domain), 1, 3), domain, address NULLS FIRST) AS id, store_name, lat, scraped FROM m WHERE id IS NULL)
+SELECT * FROM m WHERE id IS NOT NULL UNION ALL SELECT * FROM n UNION ALL SELECT domain, address, id, store_name, lat, false FROM r WHERE rn > 1""", ("stores",))
 def _(v):
     st = v.stores.withColumn("domain", U.domain_key(F.col("website")))
     inc = st.where("id % 3 <> 1").groupBy("domain", "address").agg(F.min(F.concat(F.lit("New "), "store_name")).alias("store_name"), F.max(F.when(F.col("id") % 2 == 0, 1.5)).alias("lat"), F.min("website").alias("website"))
-    return R.upsert_store(st.where("shop_no % 3 <> 0").select("domain", "address", "id", "website", "store_name", "lat"), inc).select("domain", "address", "id", "store_name", "lat")
+    current = st.where("shop_no % 3 <> 0").select("domain", "address", "id", "website", "store_name", "lat", F.lit(False).alias("scraped"))
+    return R.upsert_store(current, inc, F.lit("2026-01-01")).select("domain", "address", "id", "store_name", "lat", "scraped")
 
 
 @query("image_state", "SELECT s.shop_no, s.product_id, p.n_images AS known FROM scrape s LEFT JOIN shop_products p ON p.shop_no = s.shop_no AND p.product_id = s.product_id", ("scrape", "shop_products"))
@@ -264,10 +273,14 @@ def _(v):
     return v.scrape.join(v.shop_products.select(*K, F.col("n_images").alias("known")), K, "left").select(*K, "known")
 
 
-@query("skip_new_unavailable", "SELECT s.shop_no, s.product_id FROM scrape s LEFT JOIN shop_products p ON p.shop_no = s.shop_no AND p.product_id = s.product_id WHERE NOT (p.product_id IS NULL AND s.price_cents % 2 = 0) AND s.n_images > 0", ("scrape", "shop_products"))
+def _scraped(v):
+    return v.scrape.withColumn("unavailable", F.col("price_cents") % 2 == 0).withColumn("images", F.expr("transform(slice(array(0, 1, 2), 1, n_images), i -> concat(product_id, '-', i))"))
+
+
+@query("skip_new_unavailable", "SELECT 'keep' AS what, s.shop_no, s.product_id FROM scrape s LEFT JOIN shop_products p ON p.shop_no = s.shop_no AND p.product_id = s.product_id WHERE NOT (p.product_id IS NULL AND s.price_cents % 2 = 0) AND s.n_images > 0 UNION ALL SELECT 'delete', s.shop_no, s.product_id FROM scrape s JOIN shop_products p ON p.shop_no = s.shop_no AND p.product_id = s.product_id WHERE s.n_images = 0", ("scrape", "shop_products"))
 def _(v):
-    rows = v.scrape.join(v.shop_products.select(*K, F.lit(True).alias("known")), K, "left")
-    return rows.where(~(F.col("known").isNull() & (F.col("price_cents") % 2 == 0)) & (F.col("n_images") > 0)).select(*K)
+    keep, delete = X.skip_new_unavailable(_scraped(v), v.shop_products, K)
+    return keep.select(F.lit("keep").alias("what"), *K).unionByName(delete.select(F.lit("delete").alias("what"), *K))
 
 
 @query("needs_enrichment", "SELECT store_id, product_id FROM products WHERE n_images > 0 AND (pid % 6 = 0 OR pid % 5 = 1)", P)
@@ -314,14 +327,20 @@ def _(v):
     return v.stores.withColumn("domain", U.domain_key(F.col("website"))).join(found, "domain", "left").select("id", "policy")
 
 
-@query("prune_stores", "SELECT id, shop_no % 10 = 7 AS pruned FROM stores", ("stores",))
+@query("prune_stores", "WITH d AS (SELECT * FROM stores WHERE shop_no % 10 = 7), g AS (SELECT count(DISTINCT shop_no) > 25 AS refused FROM d) SELECT 'store' AS what, id, 1 AS n FROM stores, g WHERE refused OR shop_no % 10 <> 7 UNION ALL SELECT 'products', store_id, count(*) FROM products, g WHERE refused OR shop_no % 10 <> 7 GROUP BY store_id UNION ALL SELECT CASE WHEN refused THEN 'refused' ELSE 'report' END, (SELECT count(*) FROM d), (SELECT count(*) FROM products WHERE shop_no % 10 = 7) FROM g", ("stores", "products"))
 def _(v):
-    return R.prune(v.stores, v.stores.where("shop_no % 10 <> 7"), "shop_no", most=1 << 40).select("id", "pruned")
+    found = X.prune_stores(v.stores, v.products, v.stores.where("shop_no % 10 <> 7"), "shop_no")
+    rows = found.stores.select(F.lit("store").alias("what"), "id", F.lit(1).cast("long").alias("n"))
+    rows = rows.unionByName(found.products.groupBy(F.col("store_id").alias("id")).agg(F.count("*").alias("n")).withColumn("what", F.lit("products")))
+    return rows.unionByName(found.report.select(F.when(F.col("refused"), "refused").otherwise("report").alias("what"), F.col("stores").alias("id"), F.col("products").alias("n")))
 
 
-@query("prune_nonfashion", f"WITH {NAMED} SELECT store_id, product_id FROM nm WHERE NOT {CLEAR}", P)
+@query("prune_nonfashion", f"""WITH {NAMED}, gone AS (SELECT store_id, pid FROM nm WHERE {CLEAR} ORDER BY store_id, pid LIMIT 500), stay AS (SELECT nm.store_id, nm.pid FROM nm ANTI JOIN gone ON nm.store_id = gone.store_id AND nm.pid = gone.pid)
+SELECT 'product' AS what, store_id, pid FROM stay UNION ALL SELECT 'embedding', NULL, vec_id FROM embeddings WHERE vec_id NOT IN (SELECT pid FROM gone) OR vec_id IN (SELECT pid FROM stay) UNION ALL SELECT 'sample', store_id, pid FROM (SELECT * FROM gone ORDER BY store_id, pid LIMIT 40)""", P)
 def _(v):
-    return _named(v).where(~_clear()).select("store_id", "product_id")
+    found = X.remove_products(_named(v), v.embeddings.select(F.col("vec_id").alias("pid")), _clear(), "pid", "store_id", "pid", limit=500)
+    rows = found.products.select(F.lit("product").alias("what"), "store_id", "pid").unionByName(found.embeddings.select(F.lit("embedding").alias("what"), F.lit(None).cast("long").alias("store_id"), "pid"))
+    return rows.unionByName(found.samples.select(F.lit("sample").alias("what"), "store_id", "pid"))
 
 
 @query("schema_conform", "SELECT s_suppkey AS id, CAST(NULL AS VARCHAR) AS policy, 'online' AS kind, s_name FROM supplier")

@@ -11,6 +11,7 @@ from ..operators.identity import seed_addresses
 # Cells that mark a header row.
 HEADER_CELLS = ("url", "store url", "store name", "name", "store address", "address", "source_id", "notes")
 URL_NAMES, NAME_NAMES, ADDRESS_NAMES = ("url", "store url"), ("store name", "name"), ("store address", "address")
+IMAGE_ENDINGS = ("jpg", "jpeg", "png", "webp")
 # End of fixed values.
 
 
@@ -59,3 +60,11 @@ def url_list(rows: DataFrame, first: int | None = None) -> DataFrame:
 def review_rows(rows: DataFrame) -> DataFrame:
     """id, images of review lines (id, images as JSON text): bad ids are skipped."""
     return rows.select(F.col("id").try_cast("bigint").alias("id"), F.from_json("images", "array<string>").alias("images")).where("id IS NOT NULL")
+
+
+def labelled_images(spark: SparkSession, path: str, endings: tuple[str, ...] = IMAGE_ENDINGS) -> DataFrame:
+    """path, label of the files below a folder that end as images do: the label is the name of the folder they lie in.
+    Nothing is decoded, and contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    kept = files.where(F.lower(F.substring_index("path", ".", -1)).isin(*endings))
+    return kept.select("path", F.element_at(F.split("path", "/"), -2).alias("label"))

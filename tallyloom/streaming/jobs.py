@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,25 +23,59 @@ def run(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], No
     query.awaitTermination()
 
 
-def ingest(spark: SparkSession, pages: DataFrame, state: str, checkpoint: str, columns: list[str]) -> DataFrame:
-    """Pages extracted and upserted into a state as they arrive; a replayed batch writes the same version again.
+def _versions(spark: SparkSession, state: str) -> list[int]:
+    """Whole versions in a state folder, in order."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(state)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(path)]
+    return sorted(int(n) for n in names if n.isdigit() and fs.exists(sc._jvm.org.apache.hadoop.fs.Path(f"{state}/{n}/_SUCCESS")))
 
-    Each batch writes a version of its own, folder state/<batch>, from the version before it.
+
+def versioned(spark: SparkSession, stream: DataFrame, state: str, checkpoint: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> DataFrame | None:
+    """The state after all that has arrived: merge(state or None, rows) for every micro-batch, then stop.
+
+    Each batch writes a version of its own, folder state/<batch>, from the greatest version before it; so a batch that is
+    replayed writes the same again, and a job that is started anew goes on from what the folder holds. A state may take
+    several streams' folders only if their checkpoints differ and are run one after the other from the first batch on.
     """
-    last = {"id": None}
 
-    def upsert(rows: DataFrame, batch: int) -> None:
-        new = C.extract_catalog(rows).withColumn("ord", F.col("page") * 100_000 + F.col("pos")).select("domain", "product_id", "ord", *columns)
-        keys = ["domain", "product_id"]
+    def batch(rows: DataFrame, number: int) -> None:
+        before = [k for k in _versions(spark, state) if k < number]
+        old = spark.read.parquet(f"{state}/{before[-1]}") if before else None
+        merge(old, rows).write.mode("overwrite").parquet(f"{state}/{number}")
+
+    run(stream, checkpoint, batch)
+    last = _versions(spark, state)
+    return spark.read.parquet(f"{state}/{last[-1]}") if last else None
+
+
+def ingest(spark: SparkSession, pages: DataFrame, state: str, checkpoint: str, columns: list[str]) -> DataFrame | None:
+    """Pages extracted and upserted into a state as they arrive (see versioned); nothing ever arrived: None."""
+    keys = ["domain", "product_id"]
+
+    def upsert(old: DataFrame | None, rows: DataFrame) -> DataFrame:
+        new = C.extract_catalog(rows).withColumn("ord", F.col("page") * 100_000 + F.col("pos")).select(*keys, "ord", *columns)
         new = R.last_of(new, keys, "ord").drop("ord")
-        if last["id"] is not None:
-            old = spark.read.schema(new.schema).parquet(f"{state}/{last['id']}")
-            new = R.merge_frames(old, new, keys, {c: "overwrite" for c in columns})
-        new.write.mode("overwrite").parquet(f"{state}/{batch}")
-        last["id"] = batch
+        return new if old is None else R.merge_frames(old, new, keys, {c: "overwrite" for c in columns})
 
-    run(pages, checkpoint, upsert)
-    return spark.read.parquet(f"{state}/{last['id']}")
+    return versioned(spark, pages, state, checkpoint, upsert)
+
+
+def completeness(spark: SparkSession, pages: DataFrame, state: str, checkpoint: str, cap: int = 100) -> DataFrame | None:
+    """domain, end_page, reason, complete as pages arrive, in any order: the state of a domain is its earliest page that
+    ends the walk and its last one, so it stays small and batches may be replayed; a catalog has ended once its end page is
+    there."""
+
+    def merge(old: DataFrame | None, rows: DataFrame) -> DataFrame:
+        new = R.stops(C.page_counts(rows), streaming=True)
+        both = new if old is None else old.unionByName(new)
+        return both.groupBy("domain").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+    found = versioned(spark, pages, state, checkpoint, merge)
+    return None if found is None else R.verdicts_of_stops(found, cap)
 
 
 def first_seen(pages: DataFrame) -> DataFrame:
@@ -51,16 +85,48 @@ def first_seen(pages: DataFrame) -> DataFrame:
     return rows.dropDuplicatesWithinWatermark(["domain", "product_id"])
 
 
-def idle_sessions(beats: DataFrame, idle: str, watermark: str | None = None) -> DataFrame:
-    """store, start, end, beats: runs of heartbeats without a gap of `idle`; works on streams with a watermark."""
+def idle_sessions(beats: DataFrame, idle: str, watermark: str | None = None, terminal: tuple[str, ...] = (), hard_seconds: int | None = None) -> DataFrame:
+    """store, start, end, beats, verdict: runs of heartbeats (store, ts, kind) without a gap of `idle`; works on streams
+    with a watermark.
+
+    finished: a terminal kind is in the run. over limit: the run's beats lie further apart than hard_seconds. stalled:
+    it went idle without either.
+    """
     rows = beats.withWatermark("ts", watermark) if watermark else beats
-    return rows.groupBy("store", F.session_window("ts", idle).alias("s")).agg(F.count("*").alias("beats")).select("store", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "beats")
+    ended = F.max(F.col("kind").isin(*terminal) if terminal else F.lit(False))
+    rows = rows.groupBy("store", F.session_window("ts", idle).alias("s")).agg(F.count("*").alias("beats"), ended.alias("ended"), (F.unix_micros(F.max(F.col("ts").cast("timestamp"))) - F.unix_micros(F.min(F.col("ts").cast("timestamp")))).alias("length"))
+    verdict = F.when(F.col("ended"), "finished").when(F.col("length") > (hard_seconds or 1 << 40) * 1_000_000, "over limit").otherwise("stalled")
+    return rows.select("store", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "beats", verdict.alias("verdict"))
 
 
 def live_counts(beats: DataFrame, width: str, watermark: str | None = None) -> DataFrame:
-    """start, kind, n: counts in tumbling windows."""
+    """start, kind, n, latest (the last ts): counts in tumbling windows."""
     rows = beats.withWatermark("ts", watermark) if watermark else beats
-    return rows.groupBy(F.window("ts", width).alias("w"), "kind").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "kind", "n")
+    return rows.groupBy(F.window("ts", width).alias("w"), "kind").agg(F.count("*").alias("n"), F.max("ts").alias("latest")).select(F.col("w.start").alias("start"), "kind", "n", "latest")
+
+
+def live_deltas(counts: DataFrame) -> DataFrame:
+    """live_counts with `delta`, how many more than in the kind's window before (in the first, all), and `fresh`, whether
+    the kind was seen later than before. For tables, as a stream has no window before."""
+    before = Window.partitionBy("kind").orderBy("start")  # a row for each window
+    return counts.withColumn("delta", F.col("n") - F.coalesce(F.lag("n").over(before), F.lit(0))).withColumn("fresh", F.coalesce(F.col("latest") > F.lag("latest").over(before), F.lit(True)))
+
+
+def two_phase(spark: SparkSession, pages: DataFrame, staging: str, saved: str, progress: str, run_id: str, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Phase 1 stages the products of pages for a run; phase 2 takes what is staged for it, saves what `keep` leaves, and
+    clears it. Both resume by run id: their checkpoints are named after it, and a batch that comes again writes the same
+    folder. What this run has saved, as a table."""
+    stage = f"{staging}/run={run_id}"
+    run(pages, f"{progress}/{run_id}/phase1", lambda rows, batch: C.extract_catalog(rows).write.mode("overwrite").parquet(f"{stage}/batch={batch}"))
+    schema = C.extract_catalog(spark.createDataFrame([], pages.schema)).schema
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(stage)
+    fs = where.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.exists(where):
+        staged = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(stage)
+        run(staged, f"{progress}/{run_id}/phase2", lambda rows, batch: keep(rows).write.mode("overwrite").parquet(f"{saved}/run={run_id}/batch={batch}"))
+        fs.delete(where, True)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{saved}/run={run_id}")
 
 
 def collected(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
 from tallyloom.operators import policies as P
-from tallyloom.plans.queries_audit import _chunks
+from tallyloom.operators import scoring as S
 
 
 def test_rate_merge(spark):
@@ -36,9 +36,8 @@ def test_shipping_window(spark):
     assert [r[0] for r in df.select(part).collect()] == ["Free shipping! Shop now. Shipping rates: ground shipping, flat rate, customs and carrier notes.", None]
 
 
-def test_budget_chunks_fill_in_order():
-    import pandas as pd
-
-    rows = pd.DataFrame({"store_id": 1, "product_id": [str(k) for k in range(12)], "pid": range(12), "n_images": [5] * 12})
-    assert _chunks(40, 20)(rows).chunk.tolist() == [0] * 4 + [1] * 4 + [2] * 4
-    assert _chunks(40, 60)(rows).chunk.tolist() == [0] * 12
+def test_budget_chunks_fill_in_order(spark):
+    rows = spark.createDataFrame([(1, k, [f"{k}-{j}" for j in range(5)]) for k in range(12)], "store_id long, pid long, images array<string>")
+    chunks = lambda most: [r.chunk for r in S.budget_chunks(rows, "store_id", "pid", 40, most).orderBy("pid").collect()]
+    assert chunks(20) == [0] * 4 + [1] * 4 + [2] * 4
+    assert chunks(60) == [0] * 12

@@ -11,6 +11,8 @@ SF = "/root/testdata/sf0.001"
 NAMES = [
     "extract_catalog", "visible_text", "policy_weak", "category_text", "dedupe_domain", "branch_assign", "sync_branches", "catalog_diff", "removal_plan", "mark_removed", "upsert_products",
     "upsert_store", "completeness", "excluded_category", "clear_nonfashion", "quality_gate", "gallery_rule", "lead_image_rule", "product_score", "threshold_sweep", "stream_ingest", "idle_sessions", "best_policy_page",
+    "verdict_join", "finalize_run", "rebuild_branches", "prune_stores", "recapture_policies", "budget_chunks", "filter_products", "live_monitor", "two_phase", "stream_completeness",
+    "geocode_pick", "classify_store", "coords_backfill", "score_distribution", "drop_stats", "image_folders",
 ]
 
 
