@@ -1,9 +1,12 @@
 """Lexical retrieval packing: documents that share rare words share training sequences.
 
-Documents are taken in shards as they stream through a task, so nothing is shuffled. Each shard gets a BM25 inverted
-index; a seed document's window of 2048 tokens is filled greedily with its best unused neighbours, and what the last
-one has left over seeds the next window. Windows are always full; a shard's last, open window is cut into sequences of
-powers of two. So there is no padding at all.
+A first pass over all documents counts in how many of them each word occurs (by 18 bits of a hash) and how long they are,
+and gives each document a place: its word of least weighted hash, the same for documents that hold it, longer words being
+chosen more often. Documents are brought together by place (places held by many are split) and taken in shards as they
+stream through a task. Each shard gets a BM25 inverted index with the corpus' statistics; a seed document's window of
+2048 tokens is filled greedily with its best unused neighbours, by all its words, and what the last one has left over
+seeds the next window. Windows are always full; a shard's last, open window is cut into sequences of powers of two. So
+there is no padding at all.
 """
 
 from __future__ import annotations
@@ -20,20 +23,28 @@ from itertools import count, islice
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .shared import cut
+
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LENGTH = 2048
 END = 1
 #: A shard is closed at so many documents or characters; an index never holds more (but for one longer text).
 SHARD_DOCS, SHARD_CHARS = 2048, 8_000_000
-#: Okapi constants, and how many of a seed's strongest words are looked up.
+#: Okapi constants.
 K1, B = 1.2, 0.75
-QUERY_WORDS = 16
+#: A word that more than this share of a shard's documents hold is scored in a column, not by postings.
+DENSE = 1 / 16
+#: Documents are counted by word in so many bits of its hash: a table of fixed size, whatever the corpus.
+SLOT_BITS = 18
+#: Words of fewer characters take a document's place so many times less often.
+LONG_WORD, SHORT_WEIGHT = 4, 0.02
 CACHE_RUNS = 600_000
 MARKS = ",."
 BLOCK_CHARS = 1 << 20
@@ -59,10 +70,11 @@ class Encoder:
         self.numbers: dict[str, int] = defaultdict(count().__next__)
         self.start, self.size, self.word, self.flat = (np.empty(0, np.int64),) * 3 + (np.empty(0, "<u4"),)
 
-    def number(self, text: str) -> np.ndarray:
-        """The numbers of the lower-cased text's runs."""
-        get = self.numbers.__getitem__
-        return np.concatenate([np.fromiter(map(get, block.lower().split()), np.int64) for block in text_blocks(text)])
+    def number(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of the lower-cased runs of each text; each different run is looked up once."""
+        sizes, at, runs = split_runs(texts)
+        numbers = np.fromiter(map(self.numbers.__getitem__, runs), np.int64, len(runs))[at]
+        return np.split(numbers, np.cumsum(sizes)[:-1]) if texts else []
 
     def learn(self) -> None:
         """Encode the runs numbered since the last call. A word and one mark behind it are two pieces, encoded once
@@ -106,6 +118,21 @@ class Encoder:
         return np.concatenate([np.array(self.tokenizer.encode(b, add_special_tokens=False).ids, "<u4") for b in text_blocks(text)])
 
 
+def split_runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Number of runs of each lower-cased text, parted by white space; which one each is; the different ones."""
+    lists = pc.ascii_split_whitespace(pa.array([t.lower().strip() for t in texts], pa.string()))
+    sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    coded = pc.dictionary_encode(lists.flatten())
+    at, runs = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+    if "" in runs:  # what an empty text is split into
+        empty = runs.index("")
+        gone = at == empty
+        sizes = sizes - np.bincount(np.repeat(np.arange(sizes.size), sizes)[gone], minlength=sizes.size)
+        at = at[~gone]
+        runs[empty] = "."  # of no text
+    return sizes, at, runs
+
+
 def text_blocks(text: str) -> Iterator[str]:
     """The text cut at white space into parts of about BLOCK_CHARS; no token spans white space."""
     start = 0
@@ -136,7 +163,8 @@ def encode_shard(texts: list[str], own: Encoder) -> tuple[list[np.ndarray], list
     if len(own.numbers) > CACHE_RUNS:
         own.clear()
     usual = [not UNUSUAL.search(t) for t in texts]
-    numbers = [own.number(t) if ok else None for t, ok in zip(texts, usual, strict=True)]
+    found = iter(own.number([t for t, ok in zip(texts, usual, strict=True) if ok]))
+    numbers = [next(found) if ok else None for ok in usual]
     own.learn()
     end, ids, words = np.array([END], "<u4"), [], []
     for text, runs in zip(texts, numbers, strict=True):
@@ -145,39 +173,53 @@ def encode_shard(texts: list[str], own: Encoder) -> tuple[list[np.ndarray], list
     return ids, words
 
 
+class Statistics:
+    """Of the whole corpus: the inverse document frequency of each slot of words, and the mean number of words."""
+
+    def __init__(self, docs: int, words: int, held: np.ndarray) -> None:
+        self.idf = np.log(1 + (np.maximum(docs - held, 0) + 0.5) / (held + 0.5))
+        self.mean = max(1.0, words / max(1, docs))
+
+    @staticmethod
+    def slot(word: np.ndarray) -> np.ndarray:
+        return word & ((1 << SLOT_BITS) - 1)
+
+
 class Index:
     """A BM25 inverted index: for each word the documents that hold it and their scores for it."""
 
-    def __init__(self, words: list[np.ndarray]) -> None:
+    def __init__(self, words: list[np.ndarray], corpus: Statistics) -> None:
         n = len(words)
         sizes = np.array([w.size for w in words], np.int64)
         key = np.concatenate([*words, np.empty(0, np.int64)]) * n + np.repeat(np.arange(n), sizes)
         key.sort()
         new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if key.size else np.empty(0, np.int64)
         count = np.diff(np.append(new, key.size))
-        word, self.doc = key[new] // n, key[new] % n
+        word, doc = key[new] // n, key[new] % n
+        idf = corpus.idf[corpus.slot(word)]
+        score = idf * count * (K1 + 1) / (count + K1 * (1 - B + B * sizes[doc] / corpus.mean))
         word = np.cumsum(np.append(0, word[1:] != word[:-1])) if word.size else word  # numbered in order
         held = np.bincount(word)
-        self.end = np.cumsum(held)
-        idf = np.log(1 + (n - held + 0.5) / (held + 0.5))
-        self.score = idf[word] * count * (K1 + 1) / (count + K1 * (1 - B + B * sizes[self.doc] / max(1.0, sizes.mean())))
-        # each document's strongest words that some other document holds too
-        shared = np.flatnonzero(held[word] > 1)
-        order = shared[np.lexsort((word[shared], -self.score[shared], self.doc[shared]))]
-        owner = self.doc[order]
-        rank = np.arange(order.size) - np.searchsorted(owner, owner)
-        order = order[rank < QUERY_WORDS]
-        self.query_word, self.query_end = word[order], np.cumsum(np.bincount(self.doc[order], minlength=n))
-        self.held, self.n = held, n
+        self.n, many = n, held > n * DENSE
+        # words that many hold have a column each, the others postings; words of a single document find nothing
+        column = np.cumsum(many) - 1
+        own = many[word]
+        self.columns = np.zeros((n, int(many.sum())), np.float32)
+        self.columns[doc[own], column[word[own]]] = score[own]
+        shared = (held[word] > 1) & ~own
+        word, self.doc, self.score = word[shared], doc[shared], score[shared].astype(np.float32)
+        held = np.where((held > 1) & ~many, held, 0)
+        self.end, self.held = np.cumsum(held), held
+        by_doc = np.argsort(self.doc, kind="stable")
+        self.query_word, self.query_end = word[by_doc], np.cumsum(np.bincount(self.doc, minlength=n))
 
     def neighbours(self, doc: int, unused: np.ndarray) -> list[int]:
-        """Unused documents that share a strong word with doc, best first, ties to the earlier one."""
+        """Unused documents that share a word with doc, best first, ties to the earlier one."""
         first = self.query_end[doc - 1] if doc else 0
         words = self.query_word[first : self.query_end[doc]]
-        if not words.size:
-            return []
-        at = np.concatenate([np.arange(self.end[w] - self.held[w], self.end[w]) for w in words])
-        score = np.bincount(self.doc[at], self.score[at], self.n)
+        held = self.held[words]
+        at = np.repeat(self.end[words] - np.cumsum(held), held) + np.arange(held.sum())
+        score = np.bincount(self.doc[at], self.score[at], self.n) + self.columns @ (self.columns[doc] > 0).astype(np.float32)
         score[~unused] = 0
         found = np.flatnonzero(score)
         return found[np.argsort(-score[found], kind="stable")].tolist()
@@ -228,6 +270,71 @@ def pack(sizes: list[int], index: Index) -> list[tuple[int, int, int, int, int]]
 
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PLACED = "doc_id long, text string, place long, slots array<int>, held array<long>, docs long, words long"
+
+
+def places(texts: list[str], held: np.ndarray) -> tuple[list[int], int]:
+    """A place (a 32-bit number) for each text, and their number of words; each text's different words are added to held."""
+    sizes, at, runs = split_runs(texts)
+    word = word_hashes(runs)
+    if texts:
+        slots = [np.unique(x) for x in np.split(Statistics.slot(word)[at], np.cumsum(sizes)[:-1])]
+        held += np.bincount(np.concatenate(slots), minlength=held.size)
+    mixed = (word.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    unit = ((mixed >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    weight = np.array([1.0 if len(r) >= LONG_WORD else SHORT_WEIGHT for r in runs])
+    order = np.lexsort((word, -np.log(unit) / weight))
+    rank = np.empty(order.size, np.int64)
+    rank[order] = np.arange(order.size)
+    found = np.zeros(len(texts), np.int64)
+    some = np.flatnonzero(sizes)
+    if some.size:
+        found[some] = word[order[np.minimum.reduceat(rank[at], (np.cumsum(sizes) - sizes)[some])]]
+    return found.tolist(), int(sizes.sum())
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents with their places, then one row of what the task has counted."""
+    held, docs, words = np.zeros(1 << SLOT_BITS, np.int64), 0, 0
+    names = [c.split()[0] for c in PLACED.split(", ")]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+    for batch in batches:
+        texts, found, start, size = [t or "" for t in batch.column("text").to_pylist()], [], 0, 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size >= 4 * BLOCK_CHARS or k + 1 == len(texts):
+                own, n = places(texts[start : k + 1], held)
+                found, words, start, size = found + own, words + n, k + 1, 0
+        docs += len(texts)
+        empty = [pa.nulls(len(texts), t) for t in types[3:]]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text").cast(pa.string()), pa.array(found, pa.int64()), *empty], names)
+    some = np.flatnonzero(held)
+    last = [None, None, None, some.tolist(), held[some].tolist(), docs, words]
+    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(last, types, strict=True)], names)
+
+
+def placed(docs: DataFrame) -> tuple[DataFrame, Statistics]:
+    """doc_id, text, place of every row of docs, and the corpus' statistics, of 2**SLOT_BITS counts."""
+    rows = cut(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_placed, PLACED), "placed")
+    counted = rows.where("docs IS NOT NULL")
+    n, words = counted.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    by_slot = counted.select(F.explode(F.arrays_zip("slots", "held")).alias("x")).groupBy("x.slots").agg(F.sum("x.held").alias("n"))
+    held = np.zeros(1 << SLOT_BITS, np.int64)
+    found = by_slot.toPandas()  # a row for each slot at most
+    held[found.slots.to_numpy(np.int64)] = found.n.to_numpy(np.int64)
+    return rows.where("docs IS NULL").select("doc_id", "text", "place"), Statistics(n, words, held)
+
+
+def together(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text, place) with those of a place side by side: dealt by ranges of place and a hash of doc_id that
+    hold about as many rows each, so that a place held by many is split; sorted within each partition."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("place", F.shiftleft("place", 24) + F.pmod(F.xxhash64("doc_id"), F.lit(1 << 24)))
+    bounds = rows.agg(F.percentile_approx("place", [k / parts for k in range(1, parts)], F.lit(20 * parts))).first()[0] if parts > 1 else None
+    bounds = sorted(set(bounds or []))  # a number for each partition
+    at = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("place"))) if bounds else F.lit(0)
+    return rows.withColumn("part", at).repartition(parts, "part").sortWithinPartitions("part", "place", "doc_id").select("doc_id", "text")
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -235,18 +342,20 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     A document's tokens are the ids of its text (null: none) and END. Every token is in exactly one piece; a sequence
     has 2048 tokens, or at the end of a shard a power of two. sequence_id is the task's partition times 2**32 plus a
-    number within it, so it is the same for each run over the same files. Rows are packed each by itself, so doc_ids
-    may repeat or be null. Other columns are dropped. No rows give no rows.
+    number within it. Rows are packed each by itself, so doc_ids may repeat or be null. Other columns are dropped. No rows
+    give no rows.
     """
+    rows, corpus = placed(docs)
+    shipped = docs.sparkSession.sparkContext.broadcast(corpus)  # 2**SLOT_BITS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(vocabulary)
+        own, known = encoder(vocabulary), shipped.value
         base = TaskContext.get().partitionId() << 32
 
         def close(ids: list[int | None], texts: list[str]) -> pa.RecordBatch:
             nonlocal base
             tokens, words = encode_shard(texts, own)
-            pieces = pack([t.size for t in tokens], Index(words))
+            pieces = pack([t.size for t in tokens], Index(words, known))
             crc = [zlib.crc32(tokens[d][s : s + n].tobytes()) for d, s, n, _, _ in pieces]
             doc, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
             size = np.array([t.size for t in tokens], np.int64)[doc]
@@ -266,4 +375,4 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         if ids:
             yield close(ids, texts)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
+    return together(rows).mapInArrow(run, SCHEMA)

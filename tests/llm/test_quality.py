@@ -64,8 +64,9 @@ def test_packing_ids_equal_the_tokenizer(docs, texts):
 def test_neighbours_are_the_best_bm25_scores():
     rng = np.random.default_rng(5)
     words = [rng.integers(0, 60, rng.integers(1, 12)) for _ in range(40)]
-    index, n = packing.Index(words), len(words)
-    held, mean = Counter(w for own in words for w in set(own.tolist())), np.mean([w.size for w in words])
+    n, held = len(words), Counter(w for own in words for w in set(own.tolist()))
+    mean = np.mean([w.size for w in words])
+    index = packing.Index(words, packing.Statistics(n, sum(w.size for w in words), np.bincount([w for own in words for w in set(own.tolist())], minlength=1 << packing.SLOT_BITS)))
 
     def score(q, d):
         total = 0.0
@@ -81,6 +82,47 @@ def test_neighbours_are_the_best_bm25_scores():
     assert scores == sorted(scores, reverse=True) and set(got) == {d for d in range(1, n) if score(0, d) > 0}
 
 
+def test_windows_are_filled_greedily_by_the_seeds_scores():
+    rng = np.random.default_rng(9)
+    words = [rng.choice(400, rng.integers(3, 40), p=np.arange(1, 401)[::-1] ** 2.0 / (np.arange(1, 401) ** 2.0).sum()) for _ in range(60)]
+    sizes = rng.integers(20, 1500, 60).tolist()
+    held = np.bincount([w for own in words for w in set(own.tolist())], minlength=1 << packing.SLOT_BITS)
+    corpus = packing.Statistics(60, sum(w.size for w in words), held)
+    got = packing.pack(sizes, packing.Index(words, corpus))
+
+    def score(q, d):
+        total = 0.0
+        for w in set(words[q].tolist()) & set(words[d].tolist()):
+            tf = (words[d] == w).sum()
+            total += np.log(1 + (60 - held[w] + 0.5) / (held[w] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * words[d].size / corpus.mean))
+        return total
+
+    # written out: the order in which documents are taken
+    order, unused, filled, seed = [], list(range(60)), 0, None
+    while unused:
+        near = [] if seed is None else sorted((d for d in unused if score(seed, d) > 0), key=lambda d: (-round(score(seed, d), 4), d))
+        doc = near[0] if near else unused[0]
+        seed = doc if not near else seed
+        unused.remove(doc)
+        order.append(doc)
+        if filled + sizes[doc] >= packing.LENGTH:
+            seed = doc
+        filled = (filled + sizes[doc]) % packing.LENGTH
+        seed = seed if filled else None
+    assert list(dict.fromkeys(d for d, *_ in got)) == order
+
+
+def test_corpus_statistics_and_places(spark, docs, texts):
+    rows, corpus = packing.placed(docs.repartition(5))
+    runs = {d: t.lower().split() for d, t in texts.items()}
+    held = Counter(s for r in runs.values() for s in {int(x) & ((1 << packing.SLOT_BITS) - 1) for x in packing.word_hashes(r)})
+    wanted = packing.Statistics(len(texts), sum(map(len, runs.values())), np.bincount(list(held.elements()), minlength=1 << packing.SLOT_BITS))
+    assert corpus.mean == wanted.mean and np.array_equal(corpus.idf, wanted.idf)
+    place = {r.doc_id: r.place for r in rows.collect()}
+    assert set(place) == set(texts) and all(place[d] in packing.word_hashes(r) for d, r in runs.items() if r)
+    assert {r.doc_id: r.place for r in packing.placed(docs)[0].collect()} == place
+
+
 def shingles(text):
     w = text.lower().split()
     return Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter()
