@@ -45,7 +45,9 @@ DENSE = 1 / 16
 SLOT_BITS = 18
 #: Words of fewer characters take a document's place so many times less often.
 LONG_WORD, SHORT_WEIGHT = 4, 0.02
-CACHE_RUNS = 600_000
+CACHE_RUNS = 400_000
+#: The nearest documents that are put in order first; a window seldom takes more.
+NEAREST = 64
 MARKS = ",."
 BLOCK_CHARS = 1 << 20
 #: The vocabulary's own way to part a lower-cased text before merging.
@@ -213,7 +215,7 @@ class Index:
         by_doc = np.argsort(self.doc, kind="stable")
         self.query_word, self.query_end = word[by_doc], np.cumsum(np.bincount(self.doc, minlength=n))
 
-    def neighbours(self, doc: int, unused: np.ndarray) -> list[int]:
+    def neighbours(self, doc: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a word with doc, best first, ties to the earlier one."""
         first = self.query_end[doc - 1] if doc else 0
         words = self.query_word[first : self.query_end[doc]]
@@ -222,7 +224,11 @@ class Index:
         score = np.bincount(self.doc[at], self.score[at], self.n) + self.columns @ (self.columns[doc] > 0).astype(np.float32)
         score[~unused] = 0
         found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")].tolist()
+        near = found if found.size <= NEAREST else found[score[found] >= np.partition(score[found], -NEAREST)[-NEAREST]]
+        yield from near[np.argsort(-score[near], kind="stable")].tolist()
+        if near.size < found.size:
+            rest = np.setdiff1d(found, near, assume_unique=True)
+            yield from rest[np.argsort(-score[rest], kind="stable")].tolist()
 
 
 def pack(sizes: list[int], index: Index) -> list[tuple[int, int, int, int, int]]:
@@ -230,14 +236,11 @@ def pack(sizes: list[int], index: Index) -> list[tuple[int, int, int, int, int]]
     n, out = len(sizes), []
     unused = np.ones(n, bool)
     sequence, filled, fresh = 0, 0, 0
-    seed, queue = None, []
+    seed, queue = None, iter(())
     while True:
         # the next document: a neighbour of the window's seed, or else a new seed
-        while queue and not unused[queue[-1]]:
-            queue.pop()
-        if queue:
-            doc = queue.pop()
-        else:
+        doc = next((d for d in queue if unused[d]), None)
+        if doc is None:
             while fresh < n and not unused[fresh]:
                 fresh += 1
             if fresh == n:
@@ -250,9 +253,9 @@ def pack(sizes: list[int], index: Index) -> list[tuple[int, int, int, int, int]]
             out.append((doc, start, length, sequence, filled))
             start, filled = start + length, filled + length
             if filled == LENGTH:
-                sequence, filled, seed, queue = sequence + 1, 0, None, []
+                sequence, filled, seed, queue = sequence + 1, 0, None, iter(())
         if filled and seed is None:
-            seed, queue = doc, index.neighbours(doc, unused)[::-1]
+            seed, queue = doc, index.neighbours(doc, unused)
     if filled:  # the open window, in powers of two
         last = [p for p in out if p[3] == sequence]
         out = out[: len(out) - len(last)]
@@ -303,10 +306,11 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, found, start, size = [t or "" for t in batch.column("text").to_pylist()], [], 0, 0
         for k, text in enumerate(texts):
             size += len(text)
-            if size >= 4 * BLOCK_CHARS or k + 1 == len(texts):
+            if size >= BLOCK_CHARS or k + 1 == len(texts):
                 own, n = places(texts[start : k + 1], held)
                 found, words, start, size = found + own, words + n, k + 1, 0
         docs += len(texts)
+        pa.default_memory_pool().release_unused()  # executors are small
         empty = [pa.nulls(len(texts), t) for t in types[3:]]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text").cast(pa.string()), pa.array(found, pa.int64()), *empty], names)
     some = np.flatnonzero(held)
@@ -361,6 +365,7 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             size = np.array([t.size for t in tokens], np.int64)[doc]
             out = [pa.array([ids[d] for d in doc], pa.int64()), start, length, np.array(crc, np.int64), size, sequence + base, offset]
             base += int(sequence.max()) + 1
+            pa.default_memory_pool().release_unused()
             return pa.RecordBatch.from_arrays([pa.array(x) if isinstance(x, np.ndarray) else x for x in out], [c.split()[0] for c in SCHEMA.split(", ")])
 
         ids, texts, size = [], [], 0

@@ -77,7 +77,7 @@ def test_neighbours_are_the_best_bm25_scores():
 
     unused = np.ones(n, bool)
     unused[0] = False
-    got = index.neighbours(0, unused)
+    got = list(index.neighbours(0, unused))
     scores = [score(0, d) for d in got]
     assert scores == sorted(scores, reverse=True) and set(got) == {d for d in range(1, n) if score(0, d) > 0}
 
