@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, in_slices
 
 ORDERS = (1, 2, 3, 4)
 HASH_BITS = 24
@@ -91,8 +91,9 @@ class Model:
     bias: np.ndarray
 
     def table(self) -> np.ndarray:
-        at = np.full(1 << HASH_BITS, NONE, np.int32)
-        at[self.features] = np.arange(self.features.size, dtype=np.int32)
+        small = self.features.size < 1 << 15
+        at = np.full(1 << HASH_BITS, NONE, np.int16 if small else np.int32)
+        at[self.features] = np.arange(self.features.size)
         return at
 
 
@@ -227,7 +228,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score_texts = scored()
-        for batch in batches:
+        for batch in in_slices(batches):
             names, best, _ = score_texts(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(best)], [*batch.schema.names, "lang_pred", "score"])
 
@@ -263,7 +264,7 @@ def known_language(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score_texts = scored()
-        for batch in batches:
+        for batch in in_slices(batches):
             names, _, known = score_texts(batch.column("text").to_pylist())
             yield batch.filter(pa.array((np.array(names, object) != UNKNOWN) & (known >= LEAST_KNOWN)))
 

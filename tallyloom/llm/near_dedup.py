@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, in_slices
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -177,7 +177,7 @@ def blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 
 def _to_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
-    for batch in batches:
+    for batch in in_slices(batches):
         texts, parts, sketches = batch.column("text").to_pylist(), [], []
         shingles = np.zeros(len(texts), np.int64)
         for start, end in blocks(texts):
@@ -214,7 +214,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (a, b, text): a null b says that the text is a's (of several, if its id repeats), the rows of its partners b
     follow."""
     shingler, owns, last = Shingler(), [], (None, None)
-    for batch in batches:
+    for batch in in_slices(batches):
         a, b, texts = (batch.column(c).to_pylist() for c in ("a", "b", "text"))
         found = []
         for start, sets in _split_sets(shingler, texts):
@@ -231,7 +231,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """node, elements, counts: shingle sets as bytes."""
     shingler = Shingler()
-    for batch in batches:
+    for batch in in_slices(batches):
         for start, sets in _split_sets(shingler, batch.column("text").to_pylist()):
             bytes_ = [pa.array([x[k].astype(t).tobytes() for x in sets], pa.binary()) for k, t in ((0, "<u8"), (1, "<u4"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, len(sets)), *bytes_], ["node", "elements", "counts"])
@@ -247,7 +247,7 @@ def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """a, b of the rows whose sketches are near."""
-    for batch in batches:
+    for batch in in_slices(batches):
         near = pa.array(_near(_sketches(batch.column("sketch_a")), _sketches(batch.column("sketch_b"))))
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], ["a", "b"])
 
@@ -263,7 +263,7 @@ def _middles_of(sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[np.ndarray, ...]]:
     """The columns and the sketches of whole buckets; rows come sorted by the first column (or two)."""
     kept = None
-    for batch in batches:
+    for batch in in_slices(batches):
         if batch.num_rows:
             new = (*(batch.column(c).to_numpy(zero_copy_only=False) for c in names), _sketches(batch.column("sketch")))
             kept = new if kept is None else tuple(np.concatenate(x) for x in zip(kept, new, strict=True))

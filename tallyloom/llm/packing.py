@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .shared import cut
+from .shared import cut, give_back, in_slices
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LENGTH = 2048
@@ -45,7 +45,7 @@ DENSE = 1 / 16
 SLOT_BITS = 18
 #: Words of fewer characters take a document's place so many times less often.
 LONG_WORD, SHORT_WEIGHT = 4, 0.02
-CACHE_RUNS = 400_000
+CACHE_RUNS = 300_000
 #: The nearest documents that are put in order first; a window seldom takes more.
 NEAREST = 64
 MARKS = ",."
@@ -302,7 +302,7 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, docs, words = np.zeros(1 << SLOT_BITS, np.int64), 0, 0
     names = [c.split()[0] for c in PLACED.split(", ")]
     types = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
-    for batch in batches:
+    for batch in in_slices(batches):
         texts, found, start, size = [t or "" for t in batch.column("text").to_pylist()], [], 0, 0
         for k, text in enumerate(texts):
             size += len(text)
@@ -310,7 +310,6 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own, n = places(texts[start : k + 1], held)
                 found, words, start, size = found + own, words + n, k + 1, 0
         docs += len(texts)
-        pa.default_memory_pool().release_unused()  # executors are small
         empty = [pa.nulls(len(texts), t) for t in types[3:]]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text").cast(pa.string()), pa.array(found, pa.int64()), *empty], names)
     some = np.flatnonzero(held)
@@ -365,11 +364,11 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             size = np.array([t.size for t in tokens], np.int64)[doc]
             out = [pa.array([ids[d] for d in doc], pa.int64()), start, length, np.array(crc, np.int64), size, sequence + base, offset]
             base += int(sequence.max()) + 1
-            pa.default_memory_pool().release_unused()
+            give_back()
             return pa.RecordBatch.from_arrays([pa.array(x) if isinstance(x, np.ndarray) else x for x in out], [c.split()[0] for c in SCHEMA.split(", ")])
 
         ids, texts, size = [], [], 0
-        for batch in batches:
+        for batch in in_slices(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids.append(doc_id)
                 texts.append(text or "")

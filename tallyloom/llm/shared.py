@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -13,10 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where it is unset (tests), a local one."""
+    """The folder that the cluster names in spark.checkpoint.dir; where it is unset, a local one, if Spark runs on this
+    machine alone (tests)."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = f"file://{tempfile.mkdtemp(prefix='spark-scratch-')}"
         sc.setCheckpointDir(named)
     return named
@@ -32,3 +39,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def give_back() -> None:
+    """Hand memory that this process has freed back to the system: Python workers live on between stages, and executors
+    are small."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows, which are Python objects no longer than they are worked on."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+        del batch
+        give_back()

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, in_slices
 
 #: Fixed order of the categories, and how labels (quality, toxic) give them.
 CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
@@ -266,7 +266,7 @@ def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain, features = start()
-        for batch in batches:
+        for batch in in_slices(batches):
             p = score(batch.column("text").to_pylist(), chain, features)
             columns = [batch.column("doc_id")]
             for k, link in enumerate(chain):
@@ -283,7 +283,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain, features = start()
-        for batch in batches:
+        for batch in in_slices(batches):
             yield batch.filter(pa.array(score(batch.column("text").to_pylist(), chain, features)[:, at] < chain[at].threshold))
 
     return docs.mapInArrow(run, docs.schema)
