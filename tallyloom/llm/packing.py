@@ -54,7 +54,9 @@ BLOCK_CHARS = 1 << 20
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Where the vocabulary's normaliser could differ from lower() and split(): its special tokens, control characters and
 #: everything beyond Latin.
-UNUSUAL = re.compile("<\\||[\x00-\x08\x0e-\x1f\x7f-\xa0ɐ-\U0010ffff]")
+UNUSUAL = r"<\||[\x00-\x08\x0e-\x1f\x7f-\x{a0}\x{250}-\x{10ffff}]"
+#: So many runs are encoded in one string.
+RUNS_AT_ONCE = 64
 
 
 class Encoder:
@@ -75,7 +77,7 @@ class Encoder:
     def number(self, texts: list[str]) -> list[np.ndarray]:
         """The numbers of the lower-cased runs of each text; each different run is looked up once."""
         sizes, at, runs = split_runs(texts)
-        numbers = np.fromiter(map(self.numbers.__getitem__, runs), np.int64, len(runs))[at]
+        numbers = np.fromiter(map(self.numbers.__getitem__, runs.to_pylist()), np.int64, len(runs))[at]
         return np.split(numbers, np.cumsum(sizes)[:-1]) if texts else []
 
     def learn(self) -> None:
@@ -90,14 +92,15 @@ class Encoder:
             return
         base = self.flat.size
         self.start, self.size = (np.append(x, np.zeros(len(new), np.int64)) for x in (self.start, self.size))
-        self.word = np.append(self.word, word_hashes(new))
+        self.word = np.append(self.word, word_hashes(pa.array(new, pa.string())))
         plain = np.ones(len(new), bool)
         plain[[k - old for k, _, _ in marked]] = False
         at = np.flatnonzero(plain)
         if at.size:
             runs = [new[k] for k in at]
             pieces = np.array([1 if r.isalpha() else len(PIECE.findall(r)) for r in runs], np.int64)
-            ids = np.concatenate([np.array(self.tokenizer.encode(" ".join(runs[k : k + 4096]), add_special_tokens=False).ids, "<u4") for k in range(0, len(runs), 4096)])
+            parts = [" ".join(runs[k : k + RUNS_AT_ONCE]) for k in range(0, len(runs), RUNS_AT_ONCE)]
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)])
             ends = np.flatnonzero(self.ends[ids])[np.cumsum(pieces) - 1] + 1
             start = np.append(0, ends[:-1])
             self.start[old + at], self.size[old + at] = start + base, ends - start
@@ -120,18 +123,18 @@ class Encoder:
         return np.concatenate([np.array(self.tokenizer.encode(b, add_special_tokens=False).ids, "<u4") for b in text_blocks(text)])
 
 
-def split_runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def split_runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Number of runs of each lower-cased text, parted by white space; which one each is; the different ones."""
     lists = pc.ascii_split_whitespace(pa.array([t.lower().strip() for t in texts], pa.string()))
     sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
     coded = pc.dictionary_encode(lists.flatten())
-    at, runs = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-    if "" in runs:  # what an empty text is split into
-        empty = runs.index("")
+    at, runs = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    empty = pc.index(runs, "").as_py()
+    if empty >= 0:  # what an empty text is split into
         gone = at == empty
         sizes = sizes - np.bincount(np.repeat(np.arange(sizes.size), sizes)[gone], minlength=sizes.size)
         at = at[~gone]
-        runs[empty] = "."  # of no text
+        runs = pc.if_else(pc.equal(runs, ""), ".", runs)  # of no text
     return sizes, at, runs
 
 
@@ -146,9 +149,24 @@ def text_blocks(text: str) -> Iterator[str]:
     yield text[start:]
 
 
-def word_hashes(runs: list[str]) -> np.ndarray:
-    """32-bit hashes of runs without punctuation at either end."""
-    return np.fromiter((zlib.crc32((r.strip(string.punctuation) or r).encode("utf-8", "surrogatepass")) for r in runs), np.int64, len(runs))
+def word_hashes(runs: pa.Array) -> np.ndarray:
+    """32-bit hashes of runs without punctuation at either end: polynomials of their bytes, mixed."""
+    words = pc.utf8_trim(runs, string.punctuation)
+    words = pc.if_else(pc.equal(words, ""), runs, words)
+    if not len(words):
+        return np.empty(0, np.int64)
+    end = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = np.append(0, end[:-1])
+    letters = np.frombuffer(pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "")[0].as_buffer(), np.uint8)
+    power = np.cumprod(np.full(int((end - start).max()), 0x9E3779B97F4A7C15, np.uint64))
+    term = (letters + np.uint64(1)) * power[np.arange(letters.size) - np.repeat(start, end - start)]
+    total = np.cumsum(np.append(np.uint64(0), term))
+    return (mix(total[end] - total[start]) >> np.uint64(32)).astype(np.int64)
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
 
 
 @cache
@@ -164,14 +182,14 @@ def encode_shard(texts: list[str], own: Encoder) -> tuple[list[np.ndarray], list
     """
     if len(own.numbers) > CACHE_RUNS:
         own.clear()
-    usual = [not UNUSUAL.search(t) for t in texts]
+    usual = pc.invert(pc.match_substring_regex(pa.array(texts, pa.string()), UNUSUAL)).to_pylist()
     found = iter(own.number([t for t, ok in zip(texts, usual, strict=True) if ok]))
     numbers = [next(found) if ok else None for ok in usual]
     own.learn()
     end, ids, words = np.array([END], "<u4"), [], []
     for text, runs in zip(texts, numbers, strict=True):
         ids.append(np.append(own.whole(text) if runs is None else own.ids(runs), end))
-        words.append(word_hashes(text.lower().split()) if runs is None else own.word[runs])
+        words.append(word_hashes(pa.array(text.lower().split(), pa.string())) if runs is None else own.word[runs])
     return ids, words
 
 
@@ -283,10 +301,8 @@ def places(texts: list[str], held: np.ndarray) -> tuple[list[int], int]:
     if texts:
         slots = [np.unique(x) for x in np.split(Statistics.slot(word)[at], np.cumsum(sizes)[:-1])]
         held += np.bincount(np.concatenate(slots), minlength=held.size)
-    mixed = (word.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    unit = ((mixed >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
-    weight = np.array([1.0 if len(r) >= LONG_WORD else SHORT_WEIGHT for r in runs])
+    unit = ((mix(word.astype(np.uint64) + np.uint64(1)) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    weight = np.where(pc.utf8_length(runs).to_numpy(zero_copy_only=False) >= LONG_WORD, 1.0, SHORT_WEIGHT)
     order = np.lexsort((word, -np.log(unit) / weight))
     rank = np.empty(order.size, np.int64)
     rank[order] = np.arange(order.size)

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,11 +116,11 @@ def test_windows_are_filled_greedily_by_the_seeds_scores():
 def test_corpus_statistics_and_places(spark, docs, texts):
     rows, corpus = packing.placed(docs.repartition(5))
     runs = {d: t.lower().split() for d, t in texts.items()}
-    held = Counter(s for r in runs.values() for s in {int(x) & ((1 << packing.SLOT_BITS) - 1) for x in packing.word_hashes(r)})
+    held = Counter(s for r in runs.values() for s in {int(x) & ((1 << packing.SLOT_BITS) - 1) for x in packing.word_hashes(pa.array(r, pa.string()))})
     wanted = packing.Statistics(len(texts), sum(map(len, runs.values())), np.bincount(list(held.elements()), minlength=1 << packing.SLOT_BITS))
     assert corpus.mean == wanted.mean and np.array_equal(corpus.idf, wanted.idf)
     place = {r.doc_id: r.place for r in rows.collect()}
-    assert set(place) == set(texts) and all(place[d] in packing.word_hashes(r) for d, r in runs.items() if r)
+    assert set(place) == set(texts) and all(place[d] in packing.word_hashes(pa.array(r, pa.string())) for d, r in runs.items() if r)
     assert {r.doc_id: r.place for r in packing.placed(docs)[0].collect()} == place
 
 
