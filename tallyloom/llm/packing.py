@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.normalizers import Sequence
 
 from .shared import cut, give_back, in_slices
 
@@ -65,6 +66,8 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer.from_file(path)  # for usual runs in lower case, which the normaliser leaves as they are
+        self.plain.normalizer = Sequence([])
         self.ends: np.ndarray = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that end a piece
         self.ends[[k for token, k in self.tokenizer.get_vocab(False).items() if token.endswith("</w>")]] = True
         self.clear()
@@ -100,7 +103,7 @@ class Encoder:
             runs = [new[k] for k in at]
             pieces = np.array([1 if r.isalpha() else len(PIECE.findall(r)) for r in runs], np.int64)
             parts = [" ".join(runs[k : k + RUNS_AT_ONCE]) for k in range(0, len(runs), RUNS_AT_ONCE)]
-            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)])
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.plain.encode_batch_fast(parts, add_special_tokens=False)])
             ends = np.flatnonzero(self.ends[ids])[np.cumsum(pieces) - 1] + 1
             start = np.append(0, ends[:-1])
             self.start[old + at], self.size[old + at] = start + base, ends - start
@@ -299,8 +302,11 @@ def places(texts: list[str], held: np.ndarray) -> tuple[list[int], int]:
     sizes, at, runs = split_runs(texts)
     word = word_hashes(runs)
     if texts:
-        slots = [np.unique(x) for x in np.split(Statistics.slot(word)[at], np.cumsum(sizes)[:-1])]
-        held += np.bincount(np.concatenate(slots), minlength=held.size)
+        slots, which = np.unique(Statistics.slot(word), return_inverse=True)
+        key = np.repeat(np.arange(sizes.size), sizes) * slots.size + which[at]
+        key.sort()
+        key = key[np.append(True, key[1:] != key[:-1])] if key.size else key  # a slot once for each text that holds it
+        held[slots] += np.bincount(key % max(1, slots.size), minlength=slots.size)
     unit = ((mix(word.astype(np.uint64) + np.uint64(1)) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
     weight = np.where(pc.utf8_length(runs).to_numpy(zero_copy_only=False) >= LONG_WORD, 1.0, SHORT_WEIGHT)
     order = np.lexsort((word, -np.log(unit) / weight))
