@@ -364,7 +364,7 @@ def together(rows: DataFrame) -> DataFrame:
     bounds = counted.agg(F.percentile_approx("place", [k / parts for k in range(1, parts)], F.lit(20 * parts))).first()[0] if parts > 1 else None
     bounds = sorted(set(bounds or []))  # a number for each partition
     at = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("place"))) if bounds else F.lit(0)
-    return rows.withColumn("part", at).repartition(parts, "part").sortWithinPartitions("part", "place", "doc_id").select("doc_id", "text")
+    return rows.withColumn("part", at).repartitionById(parts, "part").sortWithinPartitions("part", "place", "doc_id").select("doc_id", "text")
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
