@@ -53,7 +53,7 @@ def matrix(column: pd.Series, width: int) -> np.ndarray:
 
 def _integers(x: np.ndarray) -> np.ndarray:
     """Components times SCALE as integers of any size."""
-    return np.array([[int(y * SCALE) if abs(y) < WHOLE else int(y) * SCALE for y in row] for row in x.tolist()], object).reshape(x.shape)
+    return np.array([[int(y * SCALE) if abs(y) < GREAT else int(y) * SCALE for y in row] for row in x.tolist()], object).reshape(x.shape)
 
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, language, near_dedup, norm_search, packing, sharding, tool_calls, toxicity, urls, weighted_sampling
+from . import byte_bpe, decontamination, fill_middle, hard_negatives, language, near_dedup, norm_search, packing, sharding, tool_calls, toxicity, urls, weighted_sampling
 from .shared import table
 
 
@@ -51,6 +51,18 @@ def op10_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_rank_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_classifier_chain": op1_classifier_chain,
@@ -63,12 +75,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_norm_buckets": op8_norm_buckets,
         "op9_dart_minhash": op9_dart_minhash,
         "op10_language_kernel": op10_language_kernel,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_positional_index": op12_positional_index,
+        "op13_rank_index": op13_rank_index,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op2_host_trust": urls.ORACLE_SQL, "op4_tool_calls": tool_calls.ORACLE_SQL, "op8_norm_buckets": norm_search.ORACLE_SQL}
+    found = {
+        "op2_host_trust": urls.ORACLE_SQL,
+        "op4_tool_calls": tool_calls.ORACLE_SQL,
+        "op8_norm_buckets": norm_search.ORACLE_SQL,
+        "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+        "op12_positional_index": decontamination.ORACLE_SQL,
+        "op13_rank_index": fill_middle.ORACLE_SQL,
+    }
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
