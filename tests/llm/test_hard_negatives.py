@@ -86,7 +86,7 @@ def test_bounds_leave_candidates_out(spread):
     cloud = floor(np.vstack([rng.normal(size=(3000, 16)), centre + 0.5 * rng.normal(size=(200, 16))]))
     candidates = pd.DataFrame({"vec_id": np.arange(len(cloud)), "label": rng.integers(0, 3, len(cloud)), "v": list(cloud), "norm": np.sqrt((cloud**2).sum(1)) * 1024})
     group = pd.DataFrame({"row": np.arange(40), "vec_id": 10_000 + np.arange(40), "label": 0, "v": list(anchors), "norm": 1.0, "grp": "g", "bucket": 0})
-    group = h._planted(group)
+    group = h._planted(group).sort_values("place", ignore_index=True)
     scores = np.array([[int(x) for x in r] for r in (np.stack(group.v) * 1024) @ (cloud * 1024).T])
     block = h.Block(candidates, 16)
     found = h.positives_of(group, block, 5)
