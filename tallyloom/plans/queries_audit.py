@@ -17,6 +17,7 @@ from ..operators import scoring as S
 from ..sources import seeds as A
 from ..sources.scratch import scratch_path
 from ..streaming import jobs as J
+from ..streaming import stateful as W
 from .queries import BRANCHES, COUNT_SQL, LEGAL_SQL, LOOKS_SQL, NAV, RETURN, SCORE_SQL, SHIP, SHOP_PICKED, SIGNALS, STORES, WEAK_SQL, _shop_seeds, query
 from .queries_catalog import ITEMS, V, catalog_pages
 
@@ -422,23 +423,56 @@ def _(v):
     return J.collected(rows, scratch_path(v.spark, "first"), scratch_path(v.spark, "progress"))
 
 
-@query("stream_completeness", f"WITH {ITEMS} SELECT concat('shop', shop_no, '.example.com') AS domain, shop_no % 5 IN (0, 4) AS complete FROM lastp", V)
+_WALK = "CASE shop_no % 5 WHEN 0 THEN 'empty' WHEN 1 THEN 'budget' WHEN 2 THEN 'missing key' WHEN 3 THEN 'error' ELSE 'end of catalog' END"
+
+
+@query("stream_completeness", f"WITH {ITEMS} SELECT concat('shop', shop_no, '.example.com') AS domain, any_value(lp) + 1 AS page, any_value({_WALK}) AS reason, any_value(shop_no % 5 IN (0, 4)) AS complete, count(DISTINCT n) FILTER (n <> 0) AS products FROM it JOIN lastp USING (shop_no) GROUP BY shop_no", V)
 def _(v):
-    return J.completeness(v.spark, _landed(v, "landed"), scratch_path(v.spark, "state"), scratch_path(v.spark, "progress")).select("domain", "complete")
+    W.with_state_store(v.spark)
+    path = scratch_path(v.spark, "landed")
+    pages = catalog_pages(v).withColumn("landed", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page")))
+    pages.repartition(6, "domain").write.parquet(path)
+    # a page of another store, a day later: with it the time of the stream goes on
+    clock = v.spark.range(1).select(F.lit("clock").alias("domain"), F.lit(1).alias("page"), F.lit(200).alias("http_status"), F.lit("{}").alias("body"), F.timestamp_seconds(F.lit(1_700_086_400)).alias("landed"))
+    clock.select(*pages.columns).write.mode("append").parquet(path)
+    events = W.walked_pages(J.arrivals(v.spark, path, pages.schema))
+    rows = J.collected(events, scratch_path(v.spark, "walks"), scratch_path(v.spark, "progress"))
+    return rows.where("kind = 'end' AND domain <> 'clock'").select("domain", F.col("page").cast("long").alias("page"), "reason", "complete", "products")
 
 
 HB = ("heartbeats",)
 
 
-@query("idle_sessions", "WITH g AS (SELECT store, ts, kind, CASE WHEN ts - lag(ts) OVER (PARTITION BY store ORDER BY ts) < INTERVAL 24 HOUR THEN 0 ELSE 1 END AS fresh FROM heartbeats), s AS (SELECT *, sum(fresh) OVER (PARTITION BY store ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT store, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) + 86400000000 AS end_us, count(*) AS beats, CASE WHEN bool_or(kind = 'purchase') THEN 'finished' WHEN epoch_us(max(ts)) - epoch_us(min(ts)) > 200000000000 THEN 'over limit' ELSE 'stalled' END AS verdict FROM s GROUP BY store, k", HB)
+def _landed_beats(v):
+    """The heartbeats as they land, a quarter of their time after the other, and one long after the rest; and how much
+    later than others a beat may come."""
+    path = scratch_path(v.spark, "beats")
+    beats = v.heartbeats.where("ts IS NOT NULL").select(F.col("store").cast("string").alias("store"), F.col("ts").cast("timestamp").alias("ts"), "kind")
+    first, last = beats.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
+    step = ((last or 0) - (first or 0)) // 4 + 1
+    for k in range(4):
+        beats.where(F.floor((F.unix_seconds("ts") - F.lit(first or 0)) / step) == k).write.mode("append").parquet(path)
+    v.spark.range(1).select(F.lit("clock").alias("store"), F.timestamp_seconds(F.lit((last or 0) + 100 * 86_400)).alias("ts"), F.lit("clock").alias("kind")).write.mode("append").parquet(path)
+    return J.arrivals(v.spark, path, beats.schema, 16), f"{step + 1} seconds"
+
+
+@query("idle_sessions", """WITH b AS (SELECT CAST(store AS VARCHAR) AS store, epoch_us(ts) // 1000 AS ms, kind FROM heartbeats WHERE ts IS NOT NULL AND store IS NOT NULL),
+g AS (SELECT *, CASE WHEN ms - lag(ms) OVER (PARTITION BY store ORDER BY ms) < 86400000 THEN 0 ELSE 1 END AS fresh FROM b), s AS (SELECT *, sum(fresh) OVER (PARTITION BY store ORDER BY ms ROWS UNBOUNDED PRECEDING) AS k FROM g),
+x AS (SELECT store, k, min(ms) AS start_ms, min(ms) + 200000000 AS over, max(ms) + 86400000 AS silent, min(ms) FILTER (kind = 'purchase') AS done FROM s GROUP BY store, k),
+y AS (SELECT *, CASE WHEN done <= over THEN 'finished' WHEN silent > over THEN 'over limit' ELSE 'stalled' END AS verdict FROM x), z AS (SELECT *, CASE verdict WHEN 'finished' THEN done WHEN 'over limit' THEN over ELSE silent END AS at_ms FROM y)
+SELECT z.store, start_ms, at_ms, verdict, count(*) AS beats FROM z JOIN s ON z.store = s.store AND z.k = s.k AND s.ms <= at_ms GROUP BY z.store, start_ms, at_ms, verdict""", HB)
 def _(v):
-    rows = J.idle_sessions(v.heartbeats, "24 hours", terminal=("purchase",), hard_seconds=200_000)
-    return rows.select("store", F.unix_micros("start").alias("first_us"), F.unix_micros("end").alias("end_us"), "beats", "verdict")
+    W.with_state_store(v.spark)
+    stream, late = _landed_beats(v)
+    told = W.watchdog(stream, 86_400, 200_000, ("purchase",), late)
+    return J.collected(told, scratch_path(v.spark, "verdicts"), scratch_path(v.spark, "progress")).where("store <> 'clock'")
 
 
 @query("live_monitor", "WITH c AS (SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start_us, kind, count(*) AS n, max(ts) AS latest FROM heartbeats GROUP BY ALL) SELECT start_us, kind, n, n - coalesce(lag(n) OVER (PARTITION BY kind ORDER BY start_us), 0) AS delta, coalesce(latest > lag(latest) OVER (PARTITION BY kind ORDER BY start_us), true) AS fresh FROM c", HB)
 def _(v):
-    return J.live_deltas(J.live_counts(v.heartbeats, "1 hour")).select(F.unix_micros("start").alias("start_us"), "kind", "n", "delta", "fresh")
+    stream, late = _landed_beats(v)
+    counts = J.collected(J.live_counts(stream, "1 hour", late), scratch_path(v.spark, "counts"), scratch_path(v.spark, "progress"))
+    return J.live_deltas(counts.where("kind IS DISTINCT FROM 'clock'")).select(F.unix_micros("start").alias("start_us"), "kind", "n", "delta", "fresh")
 
 
 @query("two_phase", f"WITH {ITEMS} SELECT domain, count(*) AS n FROM it WHERE n <> 0 AND n_images >= 2 GROUP BY domain", V)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import catalog as C
 from ..operators import reconcile as R
+from ..sources.snapshots import Snapshots
 
 
 def arrivals(spark: SparkSession, path: str, schema: StructType, files: int = 4) -> DataFrame:
@@ -17,39 +19,32 @@ def arrivals(spark: SparkSession, path: str, schema: StructType, files: int = 4)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def run(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None]) -> None:
-    """Hand every micro-batch that is there to `batch`, then stop. A batch may come twice after a failure."""
-    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+def run(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int, str], None]) -> None:
+    """Hand every micro-batch that is there to batch(rows, number, writer), then stop. A batch may come twice after a failure.
+    writer is the name that the checkpoint has given its query: batch numbers start anew in a new checkpoint, also in
+    one of the same path."""
+    writer: list[str] = []
+    named = threading.Event()
 
+    def each(rows: DataFrame, number: int) -> None:
+        named.wait()
+        batch(rows, number, writer[0])
 
-def _versions(spark: SparkSession, state: str) -> list[int]:
-    """Whole versions in a state folder, in order."""
-    sc = spark.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path(state)
-    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [x.getPath().getName() for x in fs.listStatus(path)]
-    return sorted(int(n) for n in names if n.isdigit() and fs.exists(sc._jvm.org.apache.hadoop.fs.Path(f"{state}/{n}/_SUCCESS")))
+    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer.append(query.id)
+    named.set()
+    query.awaitTermination()
 
 
 def versioned(spark: SparkSession, stream: DataFrame, state: str, checkpoint: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> DataFrame | None:
     """The state after all that has arrived: merge(state or None, rows) for every micro-batch, then stop.
 
-    Each batch writes a version of its own, folder state/<batch>, from the greatest version before it; so a batch that is
-    replayed writes the same again, and a job that is started anew goes on from what the folder holds. A state may take
-    several streams' folders only if their checkpoints differ and are run one after the other from the first batch on.
+    Each batch is a version of a Snapshots table. A batch that is replayed changes nothing, a job that is started anew goes on
+    from what the table holds, and several streams with checkpoints of their own may feed one table, also at once.
     """
-
-    def batch(rows: DataFrame, number: int) -> None:
-        before = [k for k in _versions(spark, state) if k < number]
-        old = spark.read.parquet(f"{state}/{before[-1]}") if before else None
-        merge(old, rows).write.mode("overwrite").parquet(f"{state}/{number}")
-
-    run(stream, checkpoint, batch)
-    last = _versions(spark, state)
-    return spark.read.parquet(f"{state}/{last[-1]}") if last else None
+    table = Snapshots(spark, state)
+    run(stream, checkpoint, lambda rows, number, writer: table.commit(lambda old: merge(old, rows), writer, number))
+    return table.read()
 
 
 def ingest(spark: SparkSession, pages: DataFrame, state: str, checkpoint: str, columns: list[str]) -> DataFrame | None:
@@ -64,20 +59,6 @@ def ingest(spark: SparkSession, pages: DataFrame, state: str, checkpoint: str, c
     return versioned(spark, pages, state, checkpoint, upsert)
 
 
-def completeness(spark: SparkSession, pages: DataFrame, state: str, checkpoint: str, cap: int = 100) -> DataFrame | None:
-    """domain, end_page, reason, complete as pages arrive, in any order: the state of a domain is its earliest page that
-    ends the walk and its last one, so it stays small and batches may be replayed; a catalog has ended once its end page is
-    there."""
-
-    def merge(old: DataFrame | None, rows: DataFrame) -> DataFrame:
-        new = R.stops(C.page_counts(rows), streaming=True)
-        both = new if old is None else old.unionByName(new)
-        return both.groupBy("domain").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-
-    found = versioned(spark, pages, state, checkpoint, merge)
-    return None if found is None else R.verdicts_of_stops(found, cap)
-
-
 def first_seen(pages: DataFrame) -> DataFrame:
     """A stream's products, each (domain, product_id) once within the watermark of `landed`."""
     rows = pages.withWatermark("landed", "1 hour").select("landed", "domain", F.explode(F.from_json("body", C.SCHEMA)["products"]).alias("p"))
@@ -113,20 +94,29 @@ def live_deltas(counts: DataFrame) -> DataFrame:
 
 
 def two_phase(spark: SparkSession, pages: DataFrame, staging: str, saved: str, progress: str, run_id: str, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Phase 1 stages the products of pages for a run; phase 2 takes what is staged for it, saves what `keep` leaves, and
-    clears it. Both resume by run id: their checkpoints are named after it, and a batch that comes again writes the same
-    folder. What this run has saved, as a table."""
-    stage = f"{staging}/run={run_id}"
-    run(pages, f"{progress}/{run_id}/phase1", lambda rows, batch: C.extract_catalog(rows).write.mode("overwrite").parquet(f"{stage}/batch={batch}"))
+    """Phase 1 stages the products of pages for a run; phase 2 takes what is staged for it, saves what `keep` leaves, each
+    (domain, product_id) once, as it was staged last, and clears the staging. Both resume by run id: their checkpoints
+    are named after it, a staged batch that comes again writes the same folder, and one saved again changes nothing. What
+    this run has saved, as a table; an empty one if nothing arrived."""
+    stage, keys = f"{staging}/run={run_id}", ["domain", "product_id"]
     schema = C.extract_catalog(spark.createDataFrame([], pages.schema)).schema
+    order = F.col("page") * 100_000 + F.col("pos")
+    run(pages, f"{progress}/{run_id}/phase1", lambda rows, number, writer: C.extract_catalog(rows).write.mode("overwrite").parquet(f"{stage}/{writer}-{number}"))
     sc = spark.sparkContext
     where = sc._jvm.org.apache.hadoop.fs.Path(stage)
     fs = where.getFileSystem(sc._jsc.hadoopConfiguration())
+    table = Snapshots(spark, f"{saved}/run={run_id}")
+
+    def save(old: DataFrame | None, rows: DataFrame) -> DataFrame:
+        new = R.last_of(keep(rows).withColumn("_ord", order), keys, "_ord").drop("_ord")
+        return new if old is None else R.merge_frames(old, new, keys, dict.fromkeys(schema.names, "overwrite"))
+
     if fs.exists(where):
         staged = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(stage)
-        run(staged, f"{progress}/{run_id}/phase2", lambda rows, batch: keep(rows).write.mode("overwrite").parquet(f"{saved}/run={run_id}/batch={batch}"))
+        run(staged, f"{progress}/{run_id}/phase2", lambda rows, number, writer: table.commit(lambda old: save(old, rows), writer, number))
         fs.delete(where, True)
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{saved}/run={run_id}")
+    found = table.read()
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def collected(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:

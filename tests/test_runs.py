@@ -31,18 +31,6 @@ def test_ingest_goes_on_after_a_restart(spark, tmp_path):
     assert again.count() == 2  # nothing new arrived
 
 
-def test_completeness_of_pages_that_arrive_in_any_order(spark, tmp_path):
-    landed, state, progress = (str(tmp_path / x) for x in ("landed", "state", "progress"))
-
-    def arrive(*pages):
-        spark.createDataFrame(list(pages), PAGE).coalesce(1).write.mode("append").parquet(landed)
-        found = J.completeness(spark, J.arrivals(spark, landed, spark.createDataFrame([], PAGE).schema), state, progress)
-        return {r.domain: (r.end_page, r.reason, r.complete) for r in found.collect()}
-
-    assert arrive(page("a.com", 3, []), page("b.com", 1, [1]), page("c.com", 2, [], 429)) == {"a.com": (3, "empty", True), "b.com": (1, "budget", False), "c.com": (2, "error", False)}
-    assert arrive(page("a.com", 1, [1]), page("b.com", 2, [], 404)) == {"a.com": (3, "empty", True), "b.com": (2, "end of catalog", True), "c.com": (2, "error", False)}
-
-
 def test_two_phases_clear_the_staging_and_resume(spark, tmp_path):
     landed, staging, saved, progress = (str(tmp_path / x) for x in ("landed", "staging", "saved", "progress"))
 
