@@ -350,9 +350,9 @@ def _(v):
     return rows.select("id", F.coalesce("seed_name", "store_name").alias("store_name"), F.coalesce("seed_address", "address").alias("address"))
 
 
-def _seed_lines(v):
-    """Tab-separated lines: every seventh with url and name swapped, the first a header of file 0."""
-    rows = v.seeds
+def _seed_lines(v, name=None):
+    """Cells of seed lines: every seventh with url and name swapped; names as they are, or as `name` says."""
+    rows = v.seeds if name is None else v.seeds.withColumn("store_name", name)
     cells = F.when(F.col("ord") % 7 == 0, F.array("store_name", "store_url")).otherwise(F.array("store_url", "store_name"))
     return rows.select(F.concat(F.lit("part-"), F.col("ord") % 4).alias("file"), (F.col("ord") + 1).alias("line_no"), F.concat(cells, "addresses").alias("cells"))
 
@@ -369,10 +369,12 @@ for _name in ("seed_header", "seed_swap_recovery"):
         return A.parse_seeds(rows).withColumn("addresses", F.array_join("addresses", "|"))
 
 
-@query("seed_scan", "SELECT regexp_extract(store_url, '^([^:]+://[^/?#]*)', 1) AS store_url, store_name, array_to_string(addresses, '|') AS addresses, true AS ok FROM seeds", ("seeds",))
+@query("seed_scan", "SELECT regexp_extract(store_url, '^([^:]+://[^/?#]*)', 1) AS store_url, CASE ord % 3 WHEN 0 THEN concat(store_name, ' \"A\"', chr(9), 'B', chr(10), chr(10), 'C') ELSE store_name END AS store_name, array_to_string(addresses, '|') AS addresses, true AS ok FROM seeds", ("seeds",))
 def _(v):
     path = scratch_path(v.spark, "seeds")
-    _seed_lines(v).select(F.array_join("cells", "\t").alias("value")).write.text(path)
+    # a third of the names holds quotes, tabs and line ends
+    name = F.when(F.col("ord") % 3 == 0, F.concat(F.lit('"'), "store_name", F.lit(' ""A""\tB\n\nC"'))).otherwise(F.col("store_name"))
+    _seed_lines(v, name).select(F.array_join("cells", "\t").alias("value")).write.text(path)
     return A.parse_seeds(A.lines(v.spark, path)).select("store_url", "store_name", F.array_join("addresses", "|").alias("addresses"), "ok")
 
 

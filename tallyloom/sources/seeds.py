@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import clean_optional, normalize_url
 from ..operators.identity import seed_addresses
+from .delimited import records
 
 # Cells that mark a header row.
 HEADER_CELLS = ("url", "store url", "store name", "name", "store address", "address", "source_id", "notes")
@@ -16,10 +17,10 @@ IMAGE_ENDINGS = ("jpg", "jpeg", "png", "webp")
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line_no, cells of the tab-separated files of a folder; quoted cells may hold commas."""
-    files = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_name"))
-    rows = files.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
-    return rows.where(F.btrim("line", F.lit(" \t")) != "").select("file", "line_no", F.transform(F.split("line", "\t"), lambda c: F.btrim(c, F.lit('" '))).alias("cells"))
+    """file, line_no, cells of the tab-separated files of a folder, quoted cells read as such; rows of blanks go. See
+    delimited.records."""
+    rows = records(spark, path).withColumn("cells", F.transform("cells", lambda c: F.btrim(c, F.lit(" \r"))))
+    return rows.where(F.exists("cells", lambda c: F.btrim(c) != ""))
 
 
 def looks_like_header(cells: Column) -> Column:
