@@ -95,13 +95,31 @@ def rate_merge(chosen: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def content_blocks(pages: DataFrame) -> DataFrame:
-    """page_id, pos, block, text: content containers of a page (page_id, html) without its chrome, innermost text of each
-    tag; the body, or a page without one as a whole, is the last."""
+    """page_id, pos, block, text: content containers of a page (page_id, html) without its chrome, each with all its text, also
+    that of containers inside it and behind them; pos is where it opens. The body, or a page without one as a whole, is
+    the last.
+
+    A container closes with the first closing tag of its name at its own depth (a running sum over the page's tags of that
+    name); one that is never closed goes on to the end, and a closing tag without an opening one closes nothing.
+    """
+    tag = rf"(?is)</?(?:{CONTENT_TAGS})\b[^>]*>"
     bare = pages.select("page_id", F.regexp_replace("html", rf"(?is)<({CHROME_TAGS})\b.*?</\1>", " ").alias("html"))
+    # gaps[k] lies in front of tags[k]; the last one behind all
+    cut = bare.select("page_id", F.regexp_extract_all("html", F.lit(tag), F.lit(0)).alias("tags"), F.split("html", tag).alias("gaps"))
+    each = cut.select("page_id", F.posexplode("tags").alias("at", "tag"))
+    each = each.select("page_id", "at", F.lower(F.regexp_extract("tag", r"^</?(\w+)", 1)).alias("name"), (~F.startswith("tag", F.lit("</"))).alias("opens"))
+    of_name = Window.partitionBy("page_id", "name").orderBy("at")
+    depth = F.sum(F.when(F.col("opens"), 1).otherwise(-1)).over(of_name)
+    each = each.withColumn("depth", F.when(F.col("opens"), depth).otherwise(depth + 1))
+    # tags of a name and depth take turns: what comes behind an opening one closes it
+    turn = Window.partitionBy("page_id", "name", "depth").orderBy("at")
+    spans = each.withColumn("next", F.lead(F.when(~F.col("opens"), F.col("at"))).over(turn)).where("opens")
+    spans = spans.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("at", "next"))).alias("spans"))  # a page's own
+    text = lambda x: F.array_join(F.slice("gaps", x["at"] + 2, F.coalesce(x["next"], F.size("tags")) - x["at"]), " ")
+    blocks = cut.join(spans, "page_id").select("page_id", F.explode("spans").alias("x"), "tags", "gaps").select("page_id", F.col("x.at").alias("pos"), F.lit(True).alias("block"), text(F.col("x")).alias("html"))
     body = F.coalesce(F.nullif(F.regexp_extract("html", r"(?is)<body\b[^>]*>(.*)", 1), F.lit("")), F.col("html"))
-    blocks = F.regexp_extract_all("html", F.lit(rf"(?is)<({CONTENT_TAGS})\b[^>]*>(.*?)</\1>"), F.lit(2))
-    rows = bare.select("page_id", F.posexplode(F.concat(F.transform(blocks, lambda b: F.struct(b.alias("html"), F.lit(True).alias("block"))), F.array(F.struct(body.alias("html"), F.lit(False).alias("block"))))).alias("pos", "b"))
-    return rows.select("page_id", "pos", "b.block", squash(F.regexp_replace("b.html", "<[^>]+>", " ")).alias("text"))
+    rows = blocks.unionByName(bare.select("page_id", F.lit(None).cast("int").alias("pos"), F.lit(False).alias("block"), body.alias("html")))
+    return rows.select("page_id", "pos", "block", squash(F.regexp_replace("html", "<[^>]+>", " ")).alias("text"))
 
 
 def content_text(pages: DataFrame, signals: str, nav: str) -> DataFrame:

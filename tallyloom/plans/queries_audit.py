@@ -345,9 +345,28 @@ def _(v):
     return P.landed(each, pages).select("site", "category", "url", "text").distinct()
 
 
-@query("content_block")
+def _chrome_sql(html: str) -> str:
+    for tag in P.CHROME_TAGS.split("|"):
+        html = f"regexp_replace({html}, '(?is)<{tag}\\b.*?</{tag}>', ' ', 'g')"
+    return html
+
+
+_TAG = f"(?is)</?(?:{P.CONTENT_TAGS})\\b[^>]*>"
+_BARE_TEXT = "trim(regexp_replace(regexp_replace({}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))"
+#: Each article lies in a div in a section that has text before and behind it.
+_NESTED = "replace(replace(html, '<article>', '<section>of the <div><div>and</div><article>'), '</article>', '</article></div> to the end</section></div>')"
+
+
+@query("content_block", f"""WITH bare AS (SELECT page_id, {_chrome_sql(_NESTED)} AS html FROM pages), cut AS (SELECT page_id, html, regexp_extract_all(html, '{_TAG}') AS tags, regexp_split_to_array(html, '{_TAG}') AS gaps FROM bare),
+t AS (SELECT page_id, unnest(tags) AS tag, generate_subscripts(tags, 1) AS i FROM cut), n AS (SELECT *, lower(regexp_extract(tag, '^</?(\\w+)', 1)) AS name, tag NOT LIKE '</%' AS opens FROM t),
+d AS (SELECT *, sum(CASE WHEN opens THEN 1 ELSE -1 END) OVER (PARTITION BY page_id, name ORDER BY i) AS depth FROM n),
+o AS (SELECT d.page_id, d.i, min(c.i) AS next FROM d LEFT JOIN d c ON c.page_id = d.page_id AND c.name = d.name AND NOT c.opens AND c.i > d.i AND c.depth = d.depth - 1 WHERE d.opens GROUP BY d.page_id, d.i),
+b AS (SELECT o.page_id, i, {_BARE_TEXT.format("array_to_string(list_slice(gaps, i + 1, coalesce(next, len(tags) + 1)), ' ')")} AS text FROM o JOIN cut ON o.page_id = cut.page_id),
+s AS (SELECT page_id, text, min(i) AS i FROM b WHERE {COUNT_SQL} >= 2 GROUP BY page_id, text), k AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s l WHERE l.page_id = s.page_id AND length(l.text) > length(s.text) AND contains(l.text, s.text))),
+j AS (SELECT page_id, string_agg(text, chr(10) || chr(10) ORDER BY i) AS text FROM k GROUP BY page_id)
+SELECT page_id, coalesce(j.text, nullif({_BARE_TEXT.format("coalesce(nullif(regexp_extract(html, '(?is)<body\\b[^>]*>(.*)', 1), ''), html)")}, '')) AS text FROM bare LEFT JOIN j USING (page_id)""")
 def _(v):
-    return P.content_text(v.pages, SIGNALS, NAV)
+    return P.content_text(v.pages.select("page_id", F.expr(_NESTED).alias("html")), SIGNALS, NAV)
 
 
 WORDS = P.Vocabulary(SIGNALS, NAV, SHIP, RETURN, section=r"(?i)that|que|ein", stop=r"(?i)with|avec|mit", edge=r"(?i)with|from|avec|mit", anchor=r"(?i)from|que|ein", chrome=r"(?i)license")

@@ -131,6 +131,19 @@ def test_content_text(spark):
     assert got == {1: f"{strong}\n\n{other}", 2: "only this", 3: None, 4: f"{strong} Yes."}
 
 
+def test_nested_blocks_keep_their_text(spark):
+    rows = [
+        (1, "<body><div>one <DIV class='a'>two</DIV> three <section>four</section> five</div> six <main>seven</body>"), (2, "<div>a</div></div><div>b<div>c</div>d</div>"), (3, "<div><section>x</div>y</section>z"),
+        (4, "<article><nav><div>gone</div></nav>kept</article>"), (5, None),
+    ]
+    got = {}
+    for r in P.content_blocks(spark.createDataFrame(rows, "page_id long, html string")).where("block").orderBy("page_id", "pos").collect():
+        got.setdefault(r.page_id, []).append(r.text)
+    assert got == {1: ["one two three four five", "two", "four", "seven"], 2: ["a", "b c d", "c"], 3: ["x", "x y"], 4: ["kept"]}
+    df = spark.createDataFrame([(1, "<div>We refund and return <div>and ship for free</div> within 30 days</div>")], "page_id long, html string")
+    assert [r.text for r in P.content_text(df, WORDS.signals, WORDS.nav).collect()] == ["We refund and return and ship for free within 30 days"]
+
+
 def test_candidates(spark):
     sites = spark.createDataFrame([("https://s",)], "site string")
     links = spark.createDataFrame([("https://s", 0, "https://s/a", "Store rules"), ("https://s", 1, "https://s/b", "Returns"), ("https://s", 2, "https://s/pages/returns", "Returns"), ("https://s", 3, "https://s/c", "About")], "site string, ord long, url string, label string")
