@@ -63,13 +63,17 @@ def numbered(rows: DataFrame, start: DataFrame, name: str, spread: Column, *orde
     return ranked.join(base, "_range").withColumn(name, F.coalesce("_start", F.lit(0)) + F.col("_base") + F.col("_k")).drop("_range", "_k", "_base", "_start")
 
 
-def upsert_store(current: DataFrame, incoming: DataFrame, seen_at: Column | None = None) -> DataFrame:
-    """By domain and address (null equals null), the row of least id; inserts get ids behind the greatest.
+def upsert_store(current: DataFrame, incoming: DataFrame, seen_at: Column | None = None, ordinal: str | None = None) -> DataFrame:
+    """By domain and address (null equals null), the row of least id; inserts get ids behind the greatest. Of incoming rows
+    of one domain and address the last by ordinal counts (by the row's own columns, where none is named), so no id
+    comes twice and no key gets two.
 
     Name, type, raw and website are overwritten; handle, lat, long, policy and policy_url only by what is not null. With
     seen_at, every row that came in is `scraped` and has it as last_seen. Columns that current lacks are dropped.
     """
     rules = dict.fromkeys(("store_name", "store_type", "raw", "website"), "overwrite") | dict.fromkeys(("handle", "lat", "long", "policy", "policy_url"), "coalesce")
+    last = F.col(ordinal) if ordinal else F.to_json(F.struct(*incoming.columns))
+    incoming = last_of(incoming.withColumn("_last", last), ["domain", "address"], "_last").drop("_last", *([ordinal] if ordinal else []))
     if seen_at is not None:
         incoming = incoming.withColumn("scraped", F.lit(True)).withColumn("last_seen", seen_at)
         rules |= {"scraped": "overwrite", "last_seen": "overwrite"}

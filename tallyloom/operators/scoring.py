@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .rules import verdict_class
 
+#: Ranges of values that ranks are counted in; a power of two.
+RANGES = 256
+
 
 def lead_image_rule(verdicts: DataFrame, keys: list[str], lead: int = 5) -> DataFrame:
     """keys, keep, reason, best_prob of verdicts (keys, i, code, prob) of each product's first images.
@@ -58,18 +61,23 @@ def product_score(images: DataFrame, prompts: DataFrame, scale: float = 100.0) -
 
 
 def ranked_counts(rows: DataFrame, value: str, *keys: str) -> DataFrame:
-    """keys, value, before, upto, n: of each different value how many rows come before it, up to it, and in all.
+    """keys, value, before, upto, n: of each different value how many rows come before it, up to it, and in all. Nulls and
+    NaN are left out; infinities are values as any.
 
-    Values are counted first; counts are summed by ranges of values, so that neither one key nor one sort takes all.
+    Values are counted first; counts are summed by ranges of values, so that neither one key nor one sort takes all. The
+    ranges hold about equally many different values, by a quantile sketch that is merged over tasks.
     """
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("k"))
-    # ranges by the value's place between the key's least and greatest
-    ends = counts.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    counts = counts.join(ends, list(keys)) if keys else counts.crossJoin(ends)
-    width = F.col("_high") - F.col("_low")
-    counts = counts.withColumn("_range", F.when(width > 0, F.floor((F.col(value) - F.col("_low")) / width * 1023)).otherwise(0)).drop("_low", "_high")
+    number = F.col(value).cast("double")
+    counts = rows.where(F.col(value).isNotNull() & ~F.isnan(number)).groupBy(*keys, value).agg(F.count("*").alias("k"))
+    cuts = [k / RANGES for k in range(1, RANGES)]
+    ends = counts.groupBy(*keys).agg(F.percentile_approx(number, cuts, 16 * RANGES).alias("_cuts"))
+    counts = counts.join(ends, list(keys)) if keys else counts.crossJoin(ends)  # one row
+    # the number of cuts below the value, found by halving
+    below = lambda at, step: F.when((at + step <= F.size("_cuts")) & (F.get("_cuts", at + step - 1) < number), at + step).otherwise(at)
+    steps = F.array(*(F.lit(RANGES >> k) for k in range(1, RANGES.bit_length())))
+    counts = counts.withColumn("_range", F.aggregate(steps, F.lit(0), below)).drop("_cuts")
     sums = counts.groupBy(*keys, "_range").agg(F.sum("k").alias("_k"))
-    own = Window.partitionBy(*keys).orderBy("_range")  # 1,024 ranges of a key at most
+    own = Window.partitionBy(*keys).orderBy("_range")  # RANGES ranges of a key at most
     sums = sums.select(*keys, "_range", (F.sum("_k").over(own) - F.col("_k")).alias("_base"), F.sum("_k").over(Window.partitionBy(*keys)).alias("n"))
     inside = Window.partitionBy(*keys, "_range").orderBy(value)
     rows = counts.join(sums, [*keys, "_range"]).withColumn("upto", F.col("_base") + F.sum("k").over(inside))
@@ -78,7 +86,11 @@ def ranked_counts(rows: DataFrame, value: str, *keys: str) -> DataFrame:
 
 def distribution(scores: DataFrame, column: str) -> DataFrame:
     """n, least, p10, p25, median, mean, p75, p90, most: exact percentiles, linear between ranks, read off the ranks of
-    counted values."""
+    counted values.
+
+    Nulls and NaN are left out of all of them. Infinities count: a percentile between an infinite value and another is the
+    infinite one (between both, NaN), and the mean is infinite (with both, NaN).
+    """
     ranked = ranked_counts(scores, column)
     names = {"p10": 0.1, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9}
     at = lambda place: F.max(F.when((F.col("before") <= place) & (place < F.col("upto")), F.col(column)))
@@ -87,12 +99,19 @@ def distribution(scores: DataFrame, column: str) -> DataFrame:
     high = [at(F.ceil(x)).alias(f"{name}_high") for name, x in spot.items()]
     sums = ranked.agg(F.max("n").alias("n"), F.min(column).alias("least"), F.max(column).alias("most"), (F.sum(F.col(column) * F.col("k")) / F.max("n")).alias("mean"), *low, *high)
     part = {name: x - F.floor(x) for name, x in spot.items()}
-    between = lambda name: F.round(F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low")) * part[name], 6).alias(name)
-    return sums.select(F.coalesce("n", F.lit(0)).alias("n"), "least", between("p10"), between("p25"), between("median"), F.round("mean", 6).alias("mean"), between("p75"), between("p90"), "most")
+
+    def between(name: str) -> Column:
+        a, b = F.col(f"{name}_low"), F.col(f"{name}_high")
+        endless = lambda x: F.abs(x.cast("double")) == float("inf")
+        value = F.when(a == b, a).when(endless(a) & endless(b), float("nan")).when(endless(a), a).when(endless(b), b).otherwise(F.round(a + (b - a) * part[name], 6))
+        return value.alias(name)
+
+    finite = lambda c: F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.round(c, 6)).otherwise(F.col(c)).alias(c)
+    return sums.select(F.coalesce("n", F.lit(0)).alias("n"), "least", between("p10"), between("p25"), between("median"), finite("mean"), between("p75"), between("p90"), "most")
 
 
 def drop_stats(verdicts: DataFrame, key: str, value: str) -> DataFrame:
-    """key, n, least, median (the upper one), most of a value."""
+    """key, n, least, median (the upper one), most of a value; nulls and NaN are left out."""
     ranked = ranked_counts(verdicts.where(F.col(key).isNotNull()), value, key)
     middle = F.min(F.when(F.col("upto") > F.floor(F.col("n") / 2), F.col(value)))
     return ranked.groupBy(key, "n").agg(F.min(value).alias("least"), middle.alias("median"), F.max(value).alias("most"))
@@ -120,28 +139,3 @@ def retry_resolution(urls: DataFrame, attempts: DataFrame) -> DataFrame:
     rows = urls.join(last, "url", "left")
     passed = F.coalesce("passed", F.lit(False))
     return rows.select("url", passed.alias("passed"), F.when(~passed, F.coalesce("reason", F.lit("chunk_timeout"))).alias("reason"))
-
-
-def budget_chunks(products: DataFrame, store: str, order: str, most_products: int, most_urls: int, most_images: int | None = None) -> DataFrame:
-    """store, order column, chunk: consecutive products of a store in chunks of at most so many products and different
-    image urls (of the first `most_images` of each product; blanks don't count; a product is never cut).
-
-    A store's products stream through one task in order; of a store nothing but the open chunk's urls is held.
-    """
-
-    def run(batches):
-        now, chunk, n, seen = None, 0, 0, set()
-        for pdf in batches:
-            out = []
-            for key, images in zip(pdf[store], pdf["images"], strict=True):
-                urls = {u.strip() for u in (images if images is not None else [])[:most_images] if u and u.strip()}
-                if key != now:
-                    now, chunk, n, seen = key, 0, 0, set()
-                elif n >= most_products or len(seen | urls) > most_urls:
-                    chunk, n, seen = chunk + 1, 0, set()
-                n, seen = n + 1, seen | urls
-                out.append(chunk)
-            yield pdf[[store, order]].assign(chunk=out)
-
-    rows = products.select(store, order, "images").repartition(store).sortWithinPartitions(store, order)
-    return rows.mapInPandas(run, rows.select(store, order).schema.add("chunk", "long"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import urls as U
 from ..operators import catalog as C
+from ..operators import chunks as K
 from ..operators import identity as I
 from ..operators import policies as P
 from ..operators import reconcile as R
@@ -245,7 +246,7 @@ SELECT store_id, pid, CAST(chunk AS BIGINT) AS chunk FROM w""", PR)
 def _(v):
     # every product also shows a common image, a blank and its first image again; three images of each count
     images = F.concat("images", F.array(F.lit("https://cdn.example.com/common.jpg"), F.lit(" ")), F.slice("images", 1, 1))
-    return S.budget_chunks(v.products.select("store_id", "pid", images.alias("images")), "store_id", "pid", 40, 60, 3)
+    return K.budget_chunks(v.products.select("store_id", "pid", images.alias("images")), "store_id", "pid", 40, 60, 3)
 
 
 @query("result_export", "SELECT status, count(*) AS n FROM runs GROUP BY status", RN)

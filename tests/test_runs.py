@@ -1,6 +1,9 @@
+import random
+
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
+from tallyloom.operators import chunks as K
 from tallyloom.operators import identity as I
 from tallyloom.operators import policies as P
 from tallyloom.operators import reconcile as R
@@ -77,9 +80,67 @@ def test_store_profile(spark):
 def test_budget_chunks(spark):
     rows = [(1, 1, ["a", "b", " "]), (1, 2, ["a", None, "c"]), (1, 3, ["d"]), (1, 4, []), (1, 5, None), (2, 1, list("abcdef")), (2, 2, ["a"])]
     df = spark.createDataFrame(rows, "store long, ord long, images array<string>")
-    got = {(r.store, r.ord): r.chunk for r in S.budget_chunks(df, "store", "ord", 3, 3).collect()}
+    got = {(r.store, r.ord): r.chunk for r in K.budget_chunks(df, "store", "ord", 3, 3).collect()}
     assert got == {(1, 1): 0, (1, 2): 0, (1, 3): 1, (1, 4): 1, (1, 5): 1, (2, 1): 0, (2, 2): 1}
-    assert {r.chunk for r in S.budget_chunks(df.where("store = 2"), "store", "ord", 3, 3, 2).collect()} == {0}
+    assert {r.chunk for r in K.budget_chunks(df.where("store = 2"), "store", "ord", 3, 3, 2).collect()} == {0}
+    assert K.budget_chunks(df.where("false"), "store", "ord", 3, 3).count() == 0
+
+
+def test_one_store_is_split_among_tasks(spark):
+    """One store of all rows, a null store and small ones, in blocks that are composed on three levels."""
+    rng = random.Random(2)
+    rows = [("big", k, [f"u{rng.randrange(60)}" for _ in range(rng.choice((0, 1, 2, 3, 9)))]) for k in range(3000)]
+    rows += [(None, k, ["x"] * k) for k in range(20)] + [(f"s{k % 7}", k, [f"u{k}"]) for k in range(40)]
+    df = spark.createDataFrame(rows, "store string, ord long, images array<string>")
+    got = {(r.store, r.ord): r.chunk for r in K.budget_chunks(df.repartition(8), "store", "ord", 5, 7, block=5, fan=8).collect()}
+    wanted, now, seen = {}, None, None
+    for store, order, images in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        if seen is None or store != now:
+            now, chunk, n, seen = store, 0, 0, set()
+        elif n >= 5 or len(seen | set(images)) > 7:
+            chunk, n, seen = chunk + 1, 0, set()
+        n, seen = n + 1, seen | set(images)
+        wanted[store, order] = chunk
+    assert got == wanted
+    pos = K._positions(df, "store", "ord", 100, None).where("store = 'big'")
+    assert sorted(r.pos for r in pos.collect()) == list(range(3000))
+
+
+def test_an_outlier_does_not_unbalance_the_ranges(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") == 7, 1e12).otherwise(F.col("id") / 20_000).alias("x"))
+    ranked = S.ranked_counts(df, "x")
+    assert ranked.count() == 20_000 and ranked.where("upto - before <> 1 OR n <> 20000").count() == 0
+    number, cuts = F.col("x"), [k / S.RANGES for k in range(1, S.RANGES)]
+    bounds = df.agg(F.percentile_approx(number, cuts, 16 * S.RANGES)).first()[0]
+    import bisect
+    from collections import Counter
+
+    sizes = Counter(bisect.bisect_left(bounds, r.x) for r in df.collect())
+    assert max(sizes.values()) <= 2 * 20_000 / S.RANGES
+    inf, nan = float("inf"), float("nan")
+    odd = spark.createDataFrame([(x,) for x in (1.0, nan, None, inf, 2.0, inf)], "x double")
+    r = S.distribution(odd, "x").first()
+    assert (r.n, r.least, r.p10, r.median, r.p75, r.mean, r.most) == (4, 1.0, 1.3, inf, inf, inf, inf)
+    both = S.distribution(spark.createDataFrame([(-inf,), (inf,)], "x double"), "x").first()
+    assert both.least == -inf and both.most == inf and str(both.median) == "nan" and str(both.mean) == "nan"
+    assert S.distribution(odd.where("false"), "x").first().n == 0
+
+
+def test_repeated_incoming_stores_are_one(spark):
+    cols = "domain string, address string, id long, website string, store_name string"
+    cur = spark.createDataFrame([("a", None, 1, "w", "A")], cols)
+    inc = spark.createDataFrame([("a", None, "w", "A1", 1), ("a", None, "w", "A2", 2), ("n", None, "w", "N2", 4), ("n", None, "w", "N1", 3), ("n", "x", "w", "NX", 0)], "domain string, address string, website string, store_name string, k int")
+    got = sorted((r.domain, r.address or "", r.id, r.store_name) for r in R.upsert_store(cur, inc, ordinal="k").collect())
+    assert [(d, a, n) for d, a, _, n in got] == [("a", "", "A2"), ("n", "", "N2"), ("n", "x", "NX")] and sorted(i for *_, i, _ in got) == [1, 2, 3]
+    assert R.upsert_store(cur, inc.drop("k")).count() == 3
+
+
+def test_doomed_products_without_a_uuid_go(spark):
+    products = spark.createDataFrame([(1, None), (2, None), (3, "v"), (None, "w")], "pid long, uuid string")
+    embeddings = spark.createDataFrame([("v",), ("w",), (None,)], "uuid string")
+    for limit in (None, 3):
+        done = X.remove_products(products, embeddings, F.expr("pid = 1 OR pid IS NULL OR pid = 3"), "uuid", "pid", limit=limit)
+        assert [r.pid for r in done.products.collect()] == [2] and [r.uuid for r in done.embeddings.collect()] == [None]
 
 
 def test_exact_percentiles(spark):
