@@ -34,13 +34,14 @@ SCHEMA = "query_id long, vec_id long, score long"
 
 
 def whole_vectors(embeddings: DataFrame) -> DataFrame:
-    """vec_id, v (array of double: floor(1024 * x) / 1024, which a double holds exactly), norm. Vectors that are null or
-    empty or hold null or non-finite components, and null vec_ids, are left out."""
+    """row, vec_id, v (array of double: floor(1024 * x) / 1024, which a double holds exactly), norm. Vectors that are null or
+    empty or hold null or non-finite components, and null vec_ids, are left out. row tells rows apart, equal ones too."""
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = embeddings.select("vec_id", F.col("embedding").cast("array<double>")).where("vec_id IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0").where(fine)
     floor = lambda x: F.when(F.abs(x) < WHOLE, F.floor(x * SCALE) / F.lit(float(SCALE))).otherwise(x)
     some = some.select(F.col("vec_id").cast("long"), F.transform("embedding", floor).alias("v"))
-    return some.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)) * SCALE)
+    some = some.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)) * SCALE)
+    return some.withColumn("row", F.monotonically_increasing_id())
 
 
 def matrix(column: pd.Series, width: int) -> np.ndarray:
@@ -162,7 +163,7 @@ def top_products(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVE
     sizes = sizes.withColumn("base", F.when(few, -2 - F.floor(before / BLOCK_ROWS)).otherwise(F.col("bucket")).cast("int"))
     sizes = sizes.select("bucket", "base", F.when(few, 1).otherwise(F.ceil(F.col("n") / BLOCK_ROWS)).cast("int").alias("parts"))
     placed = vectors.join(F.broadcast(sizes), "bucket")
-    part = F.pmod(F.xxhash64("vec_id", F.hash("v")), F.col("parts")).cast("int")
+    part = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")  # equal rows are dealt out as others
     placed = placed.withColumn("block", F.struct(F.col("base").alias("bucket"), part.alias("part")))
     placed = cut(placed.select("vec_id", "v", "norm", "block"), "blocks")
     blocks = cut(placed.groupBy("block").agg(F.max("norm").alias("longest"), F.count("*").alias("rows")), "lengths")
