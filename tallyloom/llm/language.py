@@ -31,6 +31,8 @@ FIT_ROWS = 800
 RIDGE = 1e-3
 #: Before repeated doc_ids are told apart, so many times as many rows are taken.
 SPARE = 4
+#: Languages that are learned at most: those of most rows. A column of thousands of values is mostly dirt.
+MOST_LANGUAGES = 200
 #: Work is done on blocks of so many characters, rows and cells of the presence matrix, however long a text is.
 BLOCK_CHARS = 1 << 19
 BLOCK_ROWS, BLOCK_CELLS = 128, 1 << 24
@@ -145,15 +147,12 @@ def score(texts: list[str | None], model: Model, table: np.ndarray) -> tuple[lis
 
 def fit_sample(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, text, lang: of each language about fit_rows documents at most, those whose doc_id hashes lowest, one row
-    for each doc_id (of several the least language, then text). Languages are few; their names and counts are looked at
-    by the driver. Where more than (SPARE - 1) / SPARE of a language's rows repeat a doc_id, fewer are found."""
+    for each doc_id (of several the least language, then text). Of more than MOST_LANGUAGES languages those of most rows
+    are learned (of as many, the least names); others are never predicted. Where more than (SPARE - 1) / SPARE of a language's rows repeat a doc_id, fewer are found."""
     able = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = able.groupBy("lang").count().collect()
-    if not counts:
-        return able.limit(0)
-    share = F.lit(1.0)
-    for name, n in counts:
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, SPARE * fit_rows / n))).otherwise(share)
+    counts = cut(able.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(MOST_LANGUAGES), "languages")
+    able = able.join(F.broadcast(counts), "lang")  # MOST_LANGUAGES rows
+    share = F.least(F.lit(1.0), SPARE * fit_rows / F.col("_n"))
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") * F.lit(2.0**-53)
     ids = able.where("text IS NOT NULL").select("doc_id", "lang").where(place < share).distinct()  # about SPARE times what is kept
     first = Window.partitionBy("lang").orderBy(place, "doc_id")
