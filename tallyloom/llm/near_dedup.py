@@ -485,12 +485,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     copies = cut(signed.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("_rep"), F.count("*").alias("_n")).where("_n > 1").drop("_n"), "copies")
     known = signed.join(copies.hint("merge"), "key", "left").withColumn("node", F.coalesce("_rep", "doc_id"))
     own = F.col("doc_id") == F.col("node")
-    known = cut(known.select("doc_id", "node", F.when(own, F.col("bands")).alias("bands"), F.when(own, F.col("sketch")).alias("sketch"), "shingles"), "nodes")
-    nodes = known.where("bands IS NOT NULL")
-    sketches = nodes.select("node", "sketch", "shingles")
-    left = nodes.select("node", F.explode("bands").alias("bucket"))
+    copied = F.col("_rep").isNotNull()
+    known = cut(known.select("doc_id", "node", "key", copied.alias("copied"), F.when(own, F.col("bands")).alias("bands"), F.when(own, F.col("sketch")).alias("sketch"), "shingles"), "nodes")
+    # a node for each doc_id and text, so that nothing squares where rows repeat or a doc_id has many texts
+    columns = ("node", "key", "bands", "sketch", "shingles")
+    nodes = known.where("bands IS NOT NULL AND NOT copied").select(*columns)
+    nodes = nodes.unionByName(known.where("bands IS NOT NULL AND copied").select(*columns).dropDuplicates(["node", "key"]))
+    sketches = nodes.select("node", "key", "sketch", "shingles")
+    left = nodes.select("node", "key", F.explode("bands").alias("bucket"))
     sized = cut(left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    rows = left.join(sized.hint("merge"), "bucket").join(sketches.hint("merge"), "node").select("bucket", "node", "sketch", "shingles", "n")
+    rows = left.join(sized.hint("merge"), "bucket").join(sketches.hint("merge"), ["node", "key"]).select("bucket", "node", "sketch", "shingles", "n")
     rows = cut(rows, "rows")
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("text IS NOT NULL")
     pairs = cut(near_pairs(rows).distinct(), "pairs")
