@@ -174,7 +174,7 @@ def _unnamed(calls: DataFrame, results: DataFrame, named: Column) -> DataFrame:
 
 def from_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results read off plain conversations (conv_id, turn, role, text), of whole texts and all roles: each
-    assistant or system turn is a call, each user turn behind the first a result of the turn before it. A system turn
+    assistant or system turn is a call, each user turn a result of the turn before it (an opening one of no call). A system turn
     configures; an assistant turn of several lines writes, with a layout, one of a single line says. A call names the one
     two turns before it, of some lengths of text also the one before that, or the one behind it, which makes circles; the
     width is a number of characters a line, whole or not."""
@@ -192,7 +192,7 @@ def from_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     whole = F.concat(F.lit("{ "), F.concat_ws(", ", F.concat(F.lit('"text":'), quoted(text)), F.when(F.col("role") != "system", F.concat(F.lit('"layout":{'), inner, F.lit("}"))), after), F.lit(" }"))
     arguments = F.when(n % 23 == 0, F.concat(F.lit("["), quoted(text))).otherwise(whole)
     calls = conversations.where("role IN ('assistant', 'system')").select("conv_id", F.concat_ws("-", "conv_id", "turn").alias("call_id"), "turn", name.alias("name"), arguments.alias("arguments"))
-    results = conversations.where("role = 'user' AND turn > 0").select("conv_id", F.concat_ws("-", F.col("conv_id"), F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    results = conversations.where("role = 'user'").select("conv_id", F.concat_ws("-", F.col("conv_id"), F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
     return calls, results
 
 
@@ -209,7 +209,7 @@ c1 AS (SELECT *, CASE WHEN role = 'system' THEN 'configure' WHEN lines > 1 THEN
 c AS MATERIALIZED (SELECT conv_id, call_id, turn, name, needs, n % 23 = 0 AS broken, CASE WHEN n % 23 = 0 THEN NULL ELSE '{"text":' || to_json(text) ||
   CASE WHEN role <> 'system' THEN ',"layout":{' || CASE WHEN lines > 1 AND length(split_part(text, chr(10), 1)) <= 80 THEN '"title":' || to_json(split_part(text, chr(10), 1)) || ',' ELSE '' END || CASE WHEN lines > 1 THEN '"lines":' || lines || ',' ELSE '' END || '"width":' || width || '}' ELSE '' END ||
   CASE WHEN len(needs) > 0 THEN ',"after":["$' || array_to_string(needs, '","$') || '"]' ELSE '' END || '}' END AS args FROM c1),
-r AS MATERIALIZED (SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, turn AS result_turn, text AS content FROM conversations WHERE role = 'user' AND turn > 0),
+r AS MATERIALIZED (SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, turn AS result_turn, text AS content FROM conversations WHERE role = 'user'),
 refs AS MATERIALIZED (SELECT DISTINCT conv_id, call_id, substr(json_extract_string(args, '$.after[' || k || ']'), 2) AS needs FROM (SELECT *, unnest(range(0, CAST(json_array_length(args, '$.after') AS BIGINT))) AS k FROM c WHERE json_type(args, '$.after') = 'ARRAY')),
 e AS MATERIALIZED (SELECT refs.* FROM refs SEMI JOIN c ON refs.conv_id = c.conv_id AND refs.needs = c.call_id),
 astray AS (SELECT DISTINCT conv_id, call_id FROM refs ANTI JOIN c ON refs.conv_id = c.conv_id AND refs.needs = c.call_id),
