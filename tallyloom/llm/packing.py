@@ -296,7 +296,7 @@ def pack(sizes: list[int], index: Index) -> list[tuple[int, int, int, int, int]]
 
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-PLACED = "doc_id long, text string, place long, chars long, slots array<int>, held array<long>, docs long, words long"
+PLACED = "doc_id long, text string, place long, chars long, row long, slots array<int>, held array<long>, docs long, words long"
 
 
 def places(texts: list[str], held: np.ndarray) -> tuple[list[int], int]:
@@ -324,8 +324,9 @@ def places(texts: list[str], held: np.ndarray) -> tuple[list[int], int]:
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents with their places, then one row of what the task has counted."""
     held, docs, words = np.zeros(1 << SLOT_BITS, np.int64), 0, 0
+    base = TaskContext.get().partitionId() << 40
     names = [c.split()[0] for c in PLACED.split(", ")]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
     for batch in in_slices(batches):
         texts, found, start, size = [t or "" for t in batch.column("text").to_pylist()], [], 0, 0
         for k, text in enumerate(texts):
@@ -333,17 +334,19 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size >= BLOCK_CHARS or k + 1 == len(texts):
                 own, n = places(texts[start : k + 1], held)
                 found, words, start, size = found + own, words + n, k + 1, 0
-        docs += len(texts)
         chars = pa.array(map(len, texts), pa.int64())
-        empty = [pa.nulls(len(texts), t) for t in types[4:]]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text").cast(pa.string()), pa.array(found, pa.int64()), chars, *empty], names)
+        row = pa.array(np.arange(base + docs, base + docs + len(texts)), pa.int64())
+        docs += len(texts)
+        empty = [pa.nulls(len(texts), t) for t in types[5:]]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text").cast(pa.string()), pa.array(found, pa.int64()), chars, row, *empty], names)
     some = np.flatnonzero(held)
-    last = [None, None, None, None, some.tolist(), held[some].tolist(), docs, words]
+    last = [None, None, None, None, None, some.tolist(), held[some].tolist(), docs, words]
     yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(last, types, strict=True)], names)
 
 
 def placed(docs: DataFrame) -> tuple[DataFrame, Statistics]:
-    """doc_id, text, place, chars of every row of docs, and the corpus' statistics, of 2**SLOT_BITS counts."""
+    """doc_id, text, place, chars, row (its number) of every row of docs, and the corpus' statistics, of 2**SLOT_BITS
+    counts."""
     rows = cut(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_placed, PLACED), "placed")
     counted = rows.where("docs IS NOT NULL")
     n, words = counted.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
@@ -351,20 +354,20 @@ def placed(docs: DataFrame) -> tuple[DataFrame, Statistics]:
     held = np.zeros(1 << SLOT_BITS, np.int64)
     found = by_slot.toPandas()  # a row for each slot at most
     held[found.slots.to_numpy(np.int64)] = found.n.to_numpy(np.int64)
-    return rows.where("docs IS NULL").select("doc_id", "text", "place", "chars"), Statistics(n, words, held)
+    return rows.where("docs IS NULL").select("doc_id", "text", "place", "chars", "row"), Statistics(n, words, held)
 
 
 def together(rows: DataFrame) -> DataFrame:
-    """rows (doc_id, text, place, chars) with those of a place side by side: dealt by ranges of place and a hash of doc_id
+    """rows (doc_id, text, place, chars, row) with those of a place side by side: dealt by ranges of place and a hash of row
     that hold about as many rows and characters each (a row counts once, and again for each CHARS_A_ROW), so that a place
     held by many or by long texts is split; sorted within each partition."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.withColumn("place", F.shiftleft("place", 24) + F.pmod(F.xxhash64("doc_id"), F.lit(1 << 24)))
+    rows = rows.withColumn("place", F.shiftleft("place", 24) + F.pmod(F.xxhash64("row"), F.lit(1 << 24)))
     counted = rows.select("place", F.explode(F.array_repeat(F.lit(0), F.lit(1) + F.floor(F.col("chars") / CHARS_A_ROW).cast("int"))))
     bounds = counted.agg(F.percentile_approx("place", [k / parts for k in range(1, parts)], F.lit(20 * parts))).first()[0] if parts > 1 else None
     bounds = sorted(set(bounds or []))  # a number for each partition
     at = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("place"))) if bounds else F.lit(0)
-    return rows.withColumn("part", at).repartitionById(parts, "part").sortWithinPartitions("part", "place", "doc_id").select("doc_id", "text")
+    return rows.withColumn("part", at).repartitionById(parts, "part").sortWithinPartitions("part", "place", "row").select("doc_id", "text")
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
