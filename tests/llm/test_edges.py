@@ -242,3 +242,47 @@ def test_tool_calls(spark):
     (a,) = [x for x in rows if x.call_id == "a" and x.status == "linked"]
     assert a.json == '{"arguments":{"query":"x"},"call_id":"a","content":"ok","level":0,"name":"search","result_turn":3,"turn":1}'
     assert tool_calls.link(c.where("false"), r.where("false")).count() == 0
+
+
+def test_thousands_of_languages(spark):
+    rows = [(k, f"the text of language {k % 1500} is this", f"l{k % 1500}") for k in range(3000)] + [(5000 + k, "bonjour tout le monde et merci", "fr") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.fit_sample(docs).select("lang").distinct().count() == language.MOST_LANGUAGES
+    found = {r.doc_id: r.lang_pred for r in language.identify(docs).collect()}
+    assert len(found) == 3040 and found[5000] == "fr"
+
+
+def test_equal_vectors_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(norm_search, "BLOCK_ROWS", 500)
+    sizes = []
+    met = norm_search._met
+    monkeypatch.setattr(norm_search, "_met", lambda asked, placed, pairs, k: (sizes.append(placed.groupBy("block").count().toPandas()["count"].max()), met(asked, placed, pairs, k))[1])
+    df = spark.range(5000).selectExpr("CASE WHEN id < 3 THEN id * 100 ELSE 7 END AS vec_id", "array(1.0D, 2.0D) AS embedding")
+    rows = norm_search.top_products(df).collect()
+    assert sizes and max(sizes) < 900  # before: 4,997 equal rows in one block
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in rows)[:10] == [(0, k, 7) for k in range(1, 11)]
+
+
+def test_a_doc_id_of_many_texts_does_not_square(spark, monkeypatch):
+    base = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join([*base[:k % 60], f"x{k}", *base[k % 60:]])) for k in range(200)] + [(2, " ".join(base))] + [(3, "equal text of one id " * 5)] * 300
+    counted = []
+    write = near_dedup.cut
+    monkeypatch.setattr(near_dedup, "cut", lambda df, name: (out := write(df, name), counted.append(out.count()) if name == "rows" else None)[0])
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == 501 and {r.class_id for r in found if r.doc_id < 3} == {1} and {r.class_id for r in found if r.doc_id == 3} == {3}
+    assert counted[0] <= 25 * 202
+
+
+def test_rows_without_an_id_are_dealt_out(spark):
+    docs = spark.range(8000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'one place for all of these rows' AS text")
+    rows, _ = packing.placed(docs)
+    parts = packing.together(rows).select(F.spark_partition_id().alias("p")).groupBy("p").count().toPandas()["count"]
+    assert len(parts) == 4 and parts.max() < 3000
+    assert packing.pack_documents(docs).agg(F.sum("length")).first()[0] == 8000 * packing.pack_documents(docs.limit(1)).agg(F.sum("length")).first()[0]
+
+
+def test_opening_turns_are_results_of_no_call(spark):
+    turns = spark.createDataFrame([("c", 0, "user", "hello"), ("c", 1, "assistant", "hi"), ("c", 2, "user", "thanks"), ("d", 0, "system", "set up")], "conv_id string, turn int, role string, text string")
+    rows = {r.call_id: r.status for r in tool_calls.link_conversations(turns).collect()}
+    assert set(rows) == {"c--1", "c-1", "d-0"} and rows["c--1"] == "no call"
