@@ -91,6 +91,37 @@ def catalog_diff(production: DataFrame, scraped: DataFrame, keys: list[str]) ->
     return p.join(s, keys, "full").select(*keys, kind.alias("kind"))
 
 
+def range_digests(rows: DataFrame, domain: str, key: str, ranges: int) -> DataFrame:
+    """domain, range, digest of rows: count and order-free sums of 128 bits of hashes of the keys in each of `ranges` ranges of
+    a domain's keys. They are summed before the shuffle, so a domain of any size is `ranges` rows."""
+    place = F.pmod(F.xxhash64(F.lit("range"), key), F.lit(ranges)).cast("int")
+    halves = [h for seed in ("a", "b") for x in [F.xxhash64(F.lit(seed), key)] for h in (F.shiftrightunsigned(x, 32), x.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    return rows.groupBy(domain, place.alias("range")).agg(F.struct(F.count("*").alias("n"), *(F.sum(h).alias(f"h{i}") for i, h in enumerate(halves))).alias("digest"))
+
+
+def changed_ranges(production: DataFrame, scraped: DataFrame, domain: str, key: str, ranges: int) -> DataFrame:
+    """domain, range of the ranges whose keys are not the same, or not as often there, on both sides."""
+    p, s = (range_digests(x, domain, key, ranges).withColumnRenamed("digest", name) for x, name in ((production, "_p"), (scraped, "_s")))
+    return p.join(s, [domain, "range"], "full").where(~F.col("_p").eqNullSafe(F.col("_s"))).select(domain, "range")
+
+
+def digest_diff(production: DataFrame, scraped: DataFrame, keys: list[str], ranges: int = 64, unique: bool = False) -> DataFrame:
+    """catalog_diff of keys [domain, key] that hold no null, but only ranges whose digests differ are joined: the rest is matched, and is
+    read off production as it stands. Where a re-scrape changes little, little is shuffled.
+
+    Equal digests mean equal keys but for a chance of about 2**-128 a range. With unique, keys do not repeat within
+    production, and what is matched is not shuffled at all; else it is made distinct. A list of changed ranges is as long as there
+    are changes; rows find it by a join that Spark broadcasts where it is small.
+    """
+    domain, key = keys
+    place = F.pmod(F.xxhash64(F.lit("range"), key), F.lit(ranges)).cast("int").alias("range")
+    changed = changed_ranges(production, scraped, domain, key, ranges)
+    p, s = production.select(*keys, place), scraped.select(*keys, place)
+    both = [domain, "range"]
+    same = p.join(changed, both, "left_anti").select(*keys, F.lit("matched").alias("kind"))
+    return catalog_diff(p.join(changed, both, "left_semi"), s.join(changed, both, "left_semi"), keys).unionByName(same if unique else same.distinct())
+
+
 def removal_plan(diff: DataFrame, state: DataFrame, domain: str, complete_floor: float = COMPLETE_FLOOR, partial_floor: float = PARTIAL_FLOOR) -> DataFrame:
     """domain, production, matched, missing, added, reason: what to do about missing products of a domain.
 

@@ -1,5 +1,5 @@
 """All registered queries and oracles of the library."""
 
-from . import queries, queries_audit, queries_catalog  # noqa: F401
+from . import queries, queries_audit, queries_catalog, queries_commands  # noqa: F401
 
 QUERIES, ORACLES = queries.QUERIES, queries.ORACLES
