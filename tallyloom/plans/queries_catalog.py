@@ -11,6 +11,7 @@ from ..operators import reconcile as R
 from ..operators import rules as Q
 from ..operators import runs as X
 from ..sources.scratch import scratch_path
+from ..sources.staging import Staging
 from .queries import BEAUTY, CATEGORIES, GUARD, STORES, dom, query
 
 PAGE = 250
@@ -253,8 +254,12 @@ def _(v):
 @query("stage_upsert", f"WITH {UPSERTED} SELECT coalesce(c.store_id, i.store_id) AS store_id, coalesce(c.product_id, i.product_id) AS product_id, coalesce(i.price_cents, c.price_cents) AS price_cents, coalesce(i.n_images, c.n_images) AS n_images FROM cur c FULL JOIN li i ON c.store_id = i.store_id AND c.product_id = i.product_id", ("shop_products",))
 def _(v):
     cur, inc = _upsert(v)
-    keys = ["store_id", "product_id"]
-    return R.merge_frames(cur.select(*keys, "price_cents", "n_images"), R.last_of(inc, keys, "ord").select(*keys, "price_cents", "n_images"), keys, {"price_cents": "overwrite", "n_images": "overwrite"})
+    columns = ("store_id", "product_id", "price_cents", "n_images")
+    staging = Staging(v.spark, scratch_path(v.spark, "staging"), ["store_id", "product_id"], "ord")
+    staging.stage("r1", cur.select(*columns, F.lit(-1).cast("long").alias("ord")), 0, "w")
+    staging.stage("r1", inc.select(*columns, "ord"), 1, "w")
+    staging.stage("r1", inc.select(*columns, "ord"), 1, "w")  # comes again
+    return staging.read("r1").select(*columns)
 
 
 @query("upsert_store", f"""WITH {STORES}, c AS (SELECT domain, address, id, website, store_name, lat FROM st WHERE shop_no % 3 <> 0), inc AS (SELECT domain, address, min(concat('New ', store_name)) AS store_name, max(CASE WHEN id % 2 = 0 THEN 1.5 END) AS lat, min(website) AS website FROM st WHERE id % 3 <> 1 GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY domain, address ORDER BY id) AS rn FROM c),
@@ -379,7 +384,10 @@ def _(v):
 
 @query("staged_read", "SELECT website, status FROM runs WHERE run_id = '3-MEDIUM' ORDER BY website", RN)
 def _(v):
-    return v.runs.where("run_id = '3-MEDIUM'").orderBy("website").select("website", "status")
+    staging = Staging(v.spark, scratch_path(v.spark, "staging"), ["website"], "website")
+    for run in ("2-HIGH", "3-MEDIUM"):
+        staging.stage(run, v.runs.where(F.col("run_id") == run).select("website", "status"))
+    return staging.read("3-MEDIUM").select("website", "status")
 
 
 @query("purge_runs", "SELECT run_id, website FROM runs WHERE run_id <> '5-LOW' AND NOT (run_id = '4-NOT SPECIFIED' AND status = 'failed')", RN)

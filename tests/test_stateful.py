@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import catalog as C
 from tallyloom.operators import reconcile as R
 from tallyloom.sources.snapshots import Snapshots
+from tallyloom.sources.staging import Staging
 from tallyloom.streaming import jobs as J
 from tallyloom.streaming import stateful as S
 
@@ -202,3 +203,20 @@ def test_two_phases_without_arrivals(spark, tmp_path):
     stream = J.arrivals(spark, landed, spark.createDataFrame([], schema).schema)
     saved = J.two_phase(spark, stream, *(str(tmp_path / x) for x in ("staging", "saved", "progress")), "r1", lambda rows: rows)
     assert saved.count() == 0 and "product_id" in saved.columns
+
+
+def test_staging(spark, tmp_path):
+    schema = "website string, product_id string, n int, ord long"
+    staging = Staging(spark, str(tmp_path), ["website", "product_id"], "ord")
+    rows = lambda *r: spark.createDataFrame(list(r), schema)
+    assert staging.read("r") is None and staging.websites("r") is None and staging.runs() == []
+    staging.stage("r", rows(("b", "1", 1, 2), ("a", "1", 1, 3), ("b", "1", 2, 4)), 0, "one")
+    staging.stage("r", rows(("a", "2", 5, 1)), 0, "two")
+    staging.stage("r", rows(("a", "2", 9, 9)), 0, "two")  # the same batch again
+    staging.stage("s", rows(("a", "1", 1, 1)))
+    assert [tuple(r) for r in staging.read("r").collect()] == [("a", "2", 5, 1), ("a", "1", 1, 3), ("b", "1", 2, 4)]
+    assert [r.n for r in staging.read("r", "b").collect()] == [2] and [r.website for r in staging.websites("r").collect()] == ["a", "b"]
+    assert staging.read("r", version=0).count() == 2
+    assert staging.runs() == ["r", "s"]
+    staging.purge("r", "unknown")
+    assert staging.runs() == ["s"] and staging.read("r") is None
