@@ -211,12 +211,25 @@ def _(v):
     return v.documents.select("doc_id", F.md5(T.category_text(t, "shipping", SHIP, RETURN)).alias("digest"))
 
 
-@query("legal_returns_section")
+_TRIMMED = "trim({}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+_PARTS = "regexp_extract_all({0}, '{1}') AS found, regexp_split_to_array({0}, '{1}') AS gaps"
+
+
+@query("legal_returns_section", f"""WITH a AS (SELECT doc_id, substr(text, length(regexp_split_to_array(text, '(?i)that|que|ein')[1]) + 1) AS section FROM documents WHERE regexp_matches(text, '(?i)that|que|ein')),
+h AS (SELECT doc_id, section, {_PARTS.format("section", "(?i)the|de")} FROM a),
+m AS (SELECT *, coalesce(list_min(list_filter(range(2, len(found) + 1), lambda k: length(gaps[k]) > 900 OR regexp_matches(gaps[k], '(?i)with|avec|mit'))) - 1, len(found)) AS m FROM h),
+r AS (SELECT doc_id, section, CAST(coalesce(list_sum(list_transform(range(1, m + 1), lambda k: length(gaps[k]) + length(found[k]))), 0) AS BIGINT) AS run FROM m),
+e AS (SELECT *, substr(section, run + 1) AS rest FROM r), f AS (SELECT *, {_TRIMMED.format("substr(substr(section, 1, run + CASE WHEN regexp_matches(rest, '(?i)with|from|avec|mit') THEN least(length(regexp_split_to_array(rest, '(?i)with|from|avec|mit')[1]), 120) ELSE 120 END), 1, 4000)")} AS cut FROM e)
+SELECT doc_id, CASE WHEN run > 0 AND length(cut) >= 80 THEN cut END AS section FROM documents LEFT JOIN f USING (doc_id)""")
 def _(v):
     return v.documents.select("doc_id", T.returns_section(F.col("text"), r"(?i)that|que|ein", r"(?i)the|de", r"(?i)with|avec|mit", r"(?i)with|from|avec|mit").alias("section"))
 
 
-@query("shipping_window")
+@query("shipping_window", f"""WITH h AS (SELECT doc_id, text, {_PARTS.format("text", "(?i)from|que|ein")} FROM documents),
+s AS (SELECT doc_id, text, unnest(list_transform(range(1, len(found) + 1), lambda k: CAST(list_sum(list_transform(range(1, k + 1), lambda j: length(gaps[j]))) + coalesce(list_sum(list_transform(range(1, k), lambda j: length(found[j]))), 0) AS BIGINT))) AS start FROM h),
+w AS (SELECT doc_id, start, {_TRIMMED.format("regexp_split_to_array(substr(text, start + 1, 3200), '(?i)license')[1]")} AS part FROM s),
+k AS (SELECT doc_id, arg_min(part, start) AS part FROM w WHERE len(regexp_extract_all(part, '{SHIP}')) >= 3 AND len(regexp_extract_all(part, '{SHIP}')) >= len(regexp_extract_all(part, '{RETURN}')) GROUP BY doc_id)
+SELECT doc_id, substr(part, 1, 4000) AS part FROM documents LEFT JOIN k USING (doc_id)""")
 def _(v):
     return v.documents.select("doc_id", T.shipping_window(F.col("text"), r"(?i)from|que|ein", r"(?i)license", SHIP, RETURN).alias("part"))
 

@@ -321,7 +321,17 @@ def _(v):
 WANTED, UNWANTED = "(?i)the|of|la|de", "(?i)and|les"
 
 
-@query("policy_links")
+_ANCHOR = P.ANCHOR.replace("'", "''")
+_ORIGIN = "regexp_extract(base, '^[^:]+://[^/?#]*')"
+LINKS = f"""l0 AS (SELECT page_id, url AS base, unnest(regexp_extract_all(html, '{_ANCHOR}', 1)) AS href, unnest(regexp_extract_all(html, '{_ANCHOR}', 2)) AS label, unnest(range(len(regexp_extract_all(html, '{_ANCHOR}', 1)))) AS ord FROM pages),
+l1 AS (SELECT page_id, base, ord, trim(href) AS href, trim(regexp_replace(regexp_replace(label, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS label FROM l0),
+l2 AS (SELECT page_id, base, ord, label, CASE WHEN regexp_matches(href, '(?i)^[a-z][a-z0-9+.-]*:') THEN href WHEN href LIKE '//%' THEN regexp_extract(base, '^([^:]+:)', 1) || href WHEN href LIKE '/%' THEN {_ORIGIN} || href ELSE {_ORIGIN} || '/' || href END AS url
+  FROM l1 WHERE href <> '' AND regexp_matches(href || ' ' || label, '{WANTED}') AND NOT regexp_matches(href || ' ' || label, '{UNWANTED}')),
+l3 AS (SELECT page_id, ord, label, rtrim(split_part(url, '#', 1), '/') AS url FROM l2 WHERE regexp_matches(url, '(?i)^https?:') AND lower(regexp_extract(url, '^[^:]+://([^/?#]*)', 1)) = lower(regexp_extract(base, '^[^:]+://([^/?#]*)', 1))),
+links AS (SELECT page_id, CAST(min(ord) AS INTEGER) AS ord, url, arg_min(label, ord) AS label FROM l3 GROUP BY page_id, url)"""
+
+
+@query("policy_links", f"WITH {LINKS} SELECT page_id, ord, url, label FROM links")
 def _(v):
     return P.policy_links(v.pages, WANTED, UNWANTED)
 
@@ -332,7 +342,20 @@ def _home_links(v):
     return links.select("site", (F.col("ord") + F.col("page_id") * 1000).alias("ord"), "url", "label")
 
 
-@query("policy_candidates")
+def _paths_sql(category: str, own: tuple[str, ...]) -> str:
+    paths = "[" + ", ".join(f"'{x}'" for x in own + P.COMBINED_PATHS) + "]"
+    return f"SELECT site, '{category}' AS category, CAST(unnest(range(len({paths}))) AS BIGINT) AS ord, site || unnest({paths}) AS url FROM sites"
+
+
+def _ranked_sql(category: str, wanted: str, generic: str) -> str:
+    said = "url || ' ' || label"
+    return f"SELECT site, '{category}', CAST(ord + CASE WHEN regexp_matches({said}, '{wanted}') THEN 1000 WHEN regexp_matches({said}, '{generic}') THEN 1000000 END AS BIGINT), url FROM home"
+
+
+@query("policy_candidates", f"""WITH {LINKS}, sites AS (SELECT DISTINCT regexp_extract(url, '^([^:]+://[^/?#]*)', 1) AS site FROM pages),
+home AS (SELECT regexp_extract(p.url, '^([^:]+://[^/?#]*)', 1) AS site, l.ord + l.page_id * 1000 AS ord, l.url, l.label FROM links l JOIN pages p USING (page_id)),
+c AS ({_paths_sql("returns", P.RETURNS_PATHS)} UNION ALL {_paths_sql("shipping", P.SHIPPING_PATHS)} UNION ALL {_ranked_sql("returns", "(?i)la|de", "(?i)o|de")} UNION ALL {_ranked_sql("shipping", "(?i)the|of", "(?i)o|de")})
+SELECT site, category, url, min(ord) AS ord FROM c WHERE ord IS NOT NULL GROUP BY site, category, url""")
 def _(v):
     sites = v.pages.select(U.normalize_url(F.col("url")).alias("site")).distinct()
     return P.candidates(sites, _home_links(v), {"returns": "(?i)la|de", "shipping": "(?i)the|of"}, "(?i)o|de")
@@ -413,7 +436,20 @@ def _(v):
     return _best(v).select("source", F.md5("text").alias("digest"))
 
 
-@query("rate_merge")
+#: Without the look-ahead: what follows a row is the head of the gap behind it.
+_RATE = P.RATE_ROW[: P.RATE_ROW.index("(?=")]
+_MADE = "text || ' Standard shipping to you $' || (doc_id % 9) || '.50 and Express $12.00 or free over $50+.'"
+
+
+@query("rate_merge", f"""WITH t AS (SELECT source AS key, doc_id AS ord, {_MADE} AS text FROM documents), ch AS (SELECT key, arg_min(text, ord) AS text FROM t GROUP BY key),
+r0 AS (SELECT key, ord, regexp_extract_all(text, '{_RATE}', 1) AS ls, regexp_extract_all(text, '{_RATE}', 2) AS am, regexp_split_to_array(text, '{_RATE}') AS gaps FROM t),
+r1 AS (SELECT key, ord, unnest(range(len(ls))) AS pos, unnest(ls) AS label, unnest(am) AS amount, unnest(list_transform(gaps[1:len(ls)], lambda x: lower(right(x, {P.BEFORE_RATE})))) AS before, unnest(list_transform(gaps[2:], lambda x: left(x, 4))) AS after FROM r0),
+r2 AS (SELECT key, ord, pos, before, after, '$' || amount AS amount, trim(regexp_replace(label, '\\s+', ' ', 'g'), ' *–-,:') AS label FROM r1 WHERE CAST(amount AS DOUBLE) > 0),
+r3 AS (SELECT * FROM r2 WHERE NOT regexp_matches(before, 'free|complimentary|over') AND NOT regexp_matches(lower(label), 'free|over') AND ltrim(after) NOT LIKE '+%'),
+hv AS (SELECT DISTINCT key, replace(unnest(regexp_extract_all(text, '\\$\\s?\\d+(?:\\.\\d{{2}})?')), ' ', '') AS amount FROM ch),
+n AS (SELECT key, min((ord, pos, label)) AS f, amount FROM r3 ANTI JOIN hv ON r3.key = hv.key AND r3.amount = hv.amount GROUP BY key, lower(label), amount),
+l AS (SELECT key, string_agg(f[3] || ' ' || amount, '; ' ORDER BY f[1], f[2], f[3] || ' ' || amount) AS lines FROM n GROUP BY key)
+SELECT ch.key, CASE WHEN lines IS NOT NULL THEN rtrim(text) || chr(10) || 'Shipping rates: ' || lines || '.' ELSE text END AS text FROM ch LEFT JOIN l ON ch.key = l.key""")
 def _(v):
     rate = F.concat(F.lit("Standard shipping to you $"), (F.col("doc_id") % 9).cast("string"), F.lit(".50 and Express $12.00 or free over $50+."))
     texts = v.documents.select(F.col("source").alias("key"), F.col("doc_id").alias("ord"), F.concat("text", F.lit(" "), rate).alias("text"))
