@@ -7,6 +7,7 @@ choice of features) that never saw the fold. Decision thresholds are set on out-
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -15,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import cut, in_slices
@@ -174,26 +175,64 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float((q[k] + (q[k + 1] if k + 1 < q.size else 0)) / 2)
 
 
-def fit_chain(names: list[str], row: np.ndarray, feature: np.ndarray, goals: np.ndarray, fold: np.ndarray) -> list[Link]:
-    """goals: rows by categories, 0 or 1. row and feature: the features that each row has; fold: each row's."""
+#: One fit of a link: without a fold, or with all (-1). The link, and the probabilities of the rows that were left out.
+Fit = tuple["Link", np.ndarray]
+
+
+def _fit_one(name: str, away: int, row: np.ndarray, feature: np.ndarray, y: np.ndarray, earlier: np.ndarray, fold: np.ndarray) -> Fit:
+    there, out = np.flatnonzero(fold != away), np.flatnonzero(fold == away)
+
+    def only(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        new = np.full(fold.size, -1)
+        new[rows] = np.arange(rows.size)
+        own = new[row] >= 0
+        return new[row[own]], feature[own]
+
+    link = _fit_link(name, there.size, *only(there), y[there], earlier[there])
+    return link, _apply(link, out.size, *only(out), earlier[out])
+
+
+def in_turn(row: np.ndarray, feature: np.ndarray, fold: np.ndarray):
+    """A link's fits one after the other."""
+    return lambda name, jobs, y, earlier: [_fit_one(name, j, row, feature, y, earlier, fold) for j in jobs]
+
+
+def as_tasks(spark: SparkSession):
+    """A link's fits as a task each, on the sample that all of them read: at most fit_rows texts' features."""
+
+    def start(row: np.ndarray, feature: np.ndarray, fold: np.ndarray):
+        sample = spark.sparkContext.broadcast((row.astype(np.int32), feature.astype(np.int32), fold))
+
+        def fits(name: str, jobs: list[int], y: np.ndarray, earlier: np.ndarray) -> list[Fit]:
+            goal = spark.sparkContext.broadcast((y, earlier))
+
+            def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for pdf in batches:
+                    row, feature, fold = sample.value
+                    for k in pdf["id"]:
+                        yield pd.DataFrame({"k": [k], "fit": [pickle.dumps(_fit_one(name, jobs[k], row, feature, *goal.value, fold))]})
+
+            rows = spark.range(0, len(jobs), 1, len(jobs)).mapInPandas(run, "k long, fit binary").toPandas()
+            return [pickle.loads(x) for x in rows.sort_values("k").fit]
+
+        return fits
+
+    return start
+
+
+def fit_chain(names: list[str], row: np.ndarray, feature: np.ndarray, goals: np.ndarray, fold: np.ndarray, start=in_turn) -> list[Link]:
+    """goals: rows by categories, 0 or 1. row and feature: the features that each row has; fold: each row's. start makes
+    the function that does a link's fits."""
     n, chain = len(goals), []
     hashes, feature, seen = np.unique(feature, return_inverse=True, return_counts=True)
     often = seen[feature] >= LEAST_TEXTS
-    row, feature = row[often], feature[often]
+    fits = start(row[often], feature[often], fold)
     earlier = np.zeros((n, 0))
     for k, name in enumerate(names):
-        y, out = goals[:, k].astype(np.float64), np.zeros(n)
-        for f in np.unique(fold):
-            there, away = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            new = np.full(n, -1)
-            new[there] = np.arange(there.size)
-            own = new[row] >= 0
-            link = _fit_link(name, there.size, new[row[own]], feature[own], y[there], earlier[there])
-            new[:] = -1
-            new[away] = np.arange(away.size)
-            own = new[row] >= 0
-            out[away] = _apply(link, away.size, new[row[own]], feature[own], earlier[away])
-        link = _fit_link(name, n, row, feature, y, earlier)
+        y, out, jobs = goals[:, k].astype(np.float64), np.zeros(n), [*np.unique(fold).tolist(), -1]
+        *parts, (link, _) = fits(name, jobs, y, earlier)
+        for f, (_, p) in zip(jobs, parts, strict=False):
+            out[fold == f] = p
         chain.append(Link(name, hashes[link.features], link.weights, link.earlier, link.bias, _threshold(out, y)))
         earlier = np.column_stack([earlier, out])
     return chain
@@ -226,7 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGOR
     feature = np.concatenate([*sets, np.empty(0, np.uint32)]).astype(np.int64)
     fold = np.array([zlib.crc32(str(x).encode()) % FOLDS for x in rows.doc_id], np.int64)
     names = list(categories)
-    return fit_chain(names, row, feature, rows[names].to_numpy(np.int64).reshape(len(rows), len(names)), fold)
+    return fit_chain(names, row, feature, rows[names].to_numpy(np.int64).reshape(len(rows), len(names)), fold, as_tasks(docs.sparkSession))
 
 
 def score(texts: list[str | None], chain: list[Link], features: Features) -> np.ndarray:
