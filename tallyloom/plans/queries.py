@@ -204,8 +204,15 @@ def _(v):
     return v.documents.select("doc_id", T.policy_weak(F.col("text"), SIGNALS, NAV).alias("weak"))
 
 
-@query("category_text", f"""SELECT doc_id, md5(CASE WHEN len(b) <= 1 THEN t ELSE coalesce(nullif(array_to_string(list_filter(b, lambda x: len(regexp_extract_all(x, '{SHIP}')) >= 2 AND len(regexp_extract_all(x, '{SHIP}')) >= len(regexp_extract_all(x, '{RETURN}'))), chr(10) || chr(10)), ''), t) END) AS digest
-FROM (SELECT doc_id, t, list_filter(list_transform(string_split(t, chr(10) || chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13) || chr(12))), lambda x: x <> '') AS b FROM (SELECT doc_id, replace(text, chr(10), chr(10) || chr(10)) AS t FROM documents))""")
+def _category_sql(text: str, first: str, second: str, least: int) -> str:
+    """Of a text in blocks, those with as many hits of the first pattern as of the second (and `least` of them), or with least 0 more."""
+    ahead = f"len(regexp_extract_all(x, '{first}'))"
+    keep = f"{ahead} >= {least} AND {ahead} >= len(regexp_extract_all(x, '{second}'))" if least else f"{ahead} > len(regexp_extract_all(x, '{second}'))"
+    blocks = f"list_filter(list_transform(string_split({text}, chr(10) || chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13) || chr(12))), lambda x: x <> '')"
+    return f"CASE WHEN len({blocks}) <= 1 THEN {text} ELSE coalesce(nullif(array_to_string(list_filter({blocks}, lambda x: {keep}), chr(10) || chr(10)), ''), {text}) END"
+
+
+@query("category_text", f"SELECT doc_id, md5({_category_sql('t', SHIP, RETURN, 2)}) AS digest FROM (SELECT doc_id, replace(text, chr(10), chr(10) || chr(10)) AS t FROM documents)")
 def _(v):
     t = F.regexp_replace("text", r"\n", "\n\n")
     return v.documents.select("doc_id", F.md5(T.category_text(t, "shipping", SHIP, RETURN)).alias("digest"))
@@ -215,21 +222,31 @@ _TRIMMED = "trim({}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 _PARTS = "regexp_extract_all({0}, '{1}') AS found, regexp_split_to_array({0}, '{1}') AS gaps"
 
 
-@query("legal_returns_section", f"""WITH a AS (SELECT doc_id, substr(text, length(regexp_split_to_array(text, '(?i)that|que|ein')[1]) + 1) AS section FROM documents WHERE regexp_matches(text, '(?i)that|que|ein')),
-h AS (SELECT doc_id, section, {_PARTS.format("section", "(?i)the|de")} FROM a),
+def section_sql(rows: str, key: str) -> str:
+    """key, section (null: none) of rows (key, text, ...)."""
+    return f"""(WITH a AS (SELECT {key}, substr(text, length(regexp_split_to_array(text, '(?i)that|que|ein')[1]) + 1) AS section FROM {rows} WHERE regexp_matches(text, '(?i)that|que|ein')),
+h AS (SELECT {key}, section, {_PARTS.format("section", RETURN)} FROM a),
 m AS (SELECT *, coalesce(list_min(list_filter(range(2, len(found) + 1), lambda k: length(gaps[k]) > 900 OR regexp_matches(gaps[k], '(?i)with|avec|mit'))) - 1, len(found)) AS m FROM h),
-r AS (SELECT doc_id, section, CAST(coalesce(list_sum(list_transform(range(1, m + 1), lambda k: length(gaps[k]) + length(found[k]))), 0) AS BIGINT) AS run FROM m),
+r AS (SELECT {key}, section, CAST(coalesce(list_sum(list_transform(range(1, m + 1), lambda k: length(gaps[k]) + length(found[k]))), 0) AS BIGINT) AS run FROM m),
 e AS (SELECT *, substr(section, run + 1) AS rest FROM r), f AS (SELECT *, {_TRIMMED.format("substr(substr(section, 1, run + CASE WHEN regexp_matches(rest, '(?i)with|from|avec|mit') THEN least(length(regexp_split_to_array(rest, '(?i)with|from|avec|mit')[1]), 120) ELSE 120 END), 1, 4000)")} AS cut FROM e)
-SELECT doc_id, CASE WHEN run > 0 AND length(cut) >= 80 THEN cut END AS section FROM documents LEFT JOIN f USING (doc_id)""")
+SELECT {key}, CASE WHEN run > 0 AND length(cut) >= 80 THEN cut END AS section FROM {rows} LEFT JOIN f USING ({key}))"""
+
+
+def window_sql(rows: str, key: str) -> str:
+    """key, part (null: none) of rows (key, text, ...)."""
+    return f"""(WITH h AS (SELECT {key}, text, {_PARTS.format("text", "(?i)from|que|ein")} FROM {rows}),
+s AS (SELECT {key}, text, unnest(list_transform(range(1, len(found) + 1), lambda k: CAST(list_sum(list_transform(range(1, k + 1), lambda j: length(gaps[j]))) + coalesce(list_sum(list_transform(range(1, k), lambda j: length(found[j]))), 0) AS BIGINT))) AS start FROM h),
+w AS (SELECT {key}, start, {_TRIMMED.format("regexp_split_to_array(substr(text, start + 1, 3200), '(?i)license')[1]")} AS part FROM s),
+k AS (SELECT {key}, arg_min(part, start) AS part FROM w WHERE len(regexp_extract_all(part, '{SHIP}')) >= 3 AND len(regexp_extract_all(part, '{SHIP}')) >= len(regexp_extract_all(part, '{RETURN}')) GROUP BY {key})
+SELECT {key}, substr(part, 1, 4000) AS part FROM {rows} LEFT JOIN k USING ({key}))"""
+
+
+@query("legal_returns_section", f"SELECT * FROM {section_sql('documents', 'doc_id')}")
 def _(v):
-    return v.documents.select("doc_id", T.returns_section(F.col("text"), r"(?i)that|que|ein", r"(?i)the|de", r"(?i)with|avec|mit", r"(?i)with|from|avec|mit").alias("section"))
+    return v.documents.select("doc_id", T.returns_section(F.col("text"), r"(?i)that|que|ein", RETURN, r"(?i)with|avec|mit", r"(?i)with|from|avec|mit").alias("section"))
 
 
-@query("shipping_window", f"""WITH h AS (SELECT doc_id, text, {_PARTS.format("text", "(?i)from|que|ein")} FROM documents),
-s AS (SELECT doc_id, text, unnest(list_transform(range(1, len(found) + 1), lambda k: CAST(list_sum(list_transform(range(1, k + 1), lambda j: length(gaps[j]))) + coalesce(list_sum(list_transform(range(1, k), lambda j: length(found[j]))), 0) AS BIGINT))) AS start FROM h),
-w AS (SELECT doc_id, start, {_TRIMMED.format("regexp_split_to_array(substr(text, start + 1, 3200), '(?i)license')[1]")} AS part FROM s),
-k AS (SELECT doc_id, arg_min(part, start) AS part FROM w WHERE len(regexp_extract_all(part, '{SHIP}')) >= 3 AND len(regexp_extract_all(part, '{SHIP}')) >= len(regexp_extract_all(part, '{RETURN}')) GROUP BY doc_id)
-SELECT doc_id, substr(part, 1, 4000) AS part FROM documents LEFT JOIN k USING (doc_id)""")
+@query("shipping_window", f"SELECT * FROM {window_sql('documents', 'doc_id')}")
 def _(v):
     return v.documents.select("doc_id", T.shipping_window(F.col("text"), r"(?i)from|que|ein", r"(?i)license", SHIP, RETURN).alias("part"))
 

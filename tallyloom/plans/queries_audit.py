@@ -19,7 +19,7 @@ from ..sources import seeds as A
 from ..sources.scratch import scratch_path
 from ..streaming import jobs as J
 from ..streaming import stateful as W
-from .queries import BRANCHES, COUNT_SQL, LEGAL_SQL, LOOKS_SQL, NAV, RETURN, SCORE_SQL, SHIP, SHOP_PICKED, SIGNALS, STORES, WEAK_SQL, _shop_seeds, query
+from .queries import BRANCHES, COUNT_SQL, LEGAL_SQL, LOOKS_SQL, NAV, RETURN, SCORE_SQL, SHIP, SHOP_PICKED, SIGNALS, STORES, WEAK_SQL, _category_sql, _shop_seeds, query, section_sql, window_sql
 from .queries_catalog import ITEMS, V, catalog_pages
 
 IV = ("image_verdicts",)
@@ -417,16 +417,57 @@ def _(v):
     return P.recapture(stored, found, "source", WORDS, clear_unfixable=True).select("source", "action", F.md5("policy").alias("policy"))
 
 
+#: Without the look-ahead: what follows a row is the head of the gap behind it.
+_RATE = P.RATE_ROW[: P.RATE_ROW.index("(?=")]
+_MADE = "text || ' Standard shipping to you $' || (doc_id % 9) || '.50 and Express $12.00 or free over $50+.'"
+
+
+def merged_sql(chosen: str, texts: str) -> str:
+    """key, text of chosen (key, text) with the rates that texts (key, ord, text) have and it lacks."""
+    return f"""(WITH r0 AS (SELECT key, ord, regexp_extract_all(text, '{_RATE}', 1) AS ls, regexp_extract_all(text, '{_RATE}', 2) AS am, regexp_split_to_array(text, '{_RATE}') AS gaps FROM {texts}),
+r1 AS (SELECT key, ord, unnest(range(len(ls))) AS pos, unnest(ls) AS label, unnest(am) AS amount, unnest(list_transform(gaps[1:len(ls)], lambda x: lower(right(x, {P.BEFORE_RATE})))) AS before, unnest(list_transform(gaps[2:], lambda x: left(x, 4))) AS after FROM r0),
+r2 AS (SELECT key, ord, pos, before, after, '$' || amount AS amount, trim(regexp_replace(label, '\\s+', ' ', 'g'), ' *–-,:') AS label FROM r1 WHERE CAST(amount AS DOUBLE) > 0),
+r3 AS (SELECT * FROM r2 WHERE NOT regexp_matches(before, 'free|complimentary|over') AND NOT regexp_matches(lower(label), 'free|over') AND ltrim(after) NOT LIKE '+%'),
+hv AS (SELECT DISTINCT key, replace(unnest(regexp_extract_all(text, '\\$\\s?\\d+(?:\\.\\d{{2}})?')), ' ', '') AS amount FROM {chosen}),
+n AS (SELECT key, min((ord, pos, label)) AS f, amount FROM r3 ANTI JOIN hv ON r3.key = hv.key AND r3.amount = hv.amount GROUP BY key, lower(label), amount),
+l AS (SELECT key, string_agg(f[3] || ' ' || amount, '; ' ORDER BY f[1], f[2], f[3] || ' ' || amount) AS lines FROM n GROUP BY key)
+SELECT c.key, CASE WHEN lines IS NOT NULL THEN rtrim(text) || chr(10) || 'Shipping rates: ' || lines || '.' ELSE text END AS text FROM {chosen} c LEFT JOIN l ON c.key = l.key)"""
+
+
 def _capture(v):
-    """Sites of a few documents each: one in four is a home page, one in four a legal page, the others are candidates."""
-    d = v.documents.select(F.concat_ws("-", "source", F.pmod(F.xxhash64("doc_id"), F.lit(997)).cast("string")).alias("site"), F.col("doc_id").alias("ord"), F.concat(F.lit("https://x/"), "doc_id").alias("url"), "text")
+    """Sites of three documents each: of four documents two are candidates of both categories, one a home and one a legal page. Every
+    fifth text names a rate."""
+    rate = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit(" Express shipping $"), F.col("doc_id") % 7 + 1, F.lit(".25 now."))).otherwise("")
+    d = v.documents.select(F.floor(F.col("doc_id") / 3).cast("string").alias("site"), F.col("doc_id").alias("ord"), F.concat(F.lit("https://x/"), "doc_id").alias("url"), F.concat("text", rate).alias("text"))
     kind = F.col("ord") % 4
     pages = d.where(kind < 2).withColumn("category", F.explode(F.array(*map(F.lit, P.CATEGORIES))))
     homes = I.first_by(d.where(kind == 2), ["site"], F.col("ord")).select("site", "url", "text")
     return P.capture(d.select("site").distinct(), pages, homes, d.where(kind == 3), WORDS)
 
 
-@query("capture_policies")
+def _accepted_sql(category: str) -> str:
+    return f"coalesce(length(text) >= 200 AND regexp_matches(text, '{category}') AND {LOOKS_SQL} AND NOT {LEGAL_SQL}, false)"
+
+
+_DENSITY = f"CASE WHEN {COUNT_SQL} < 2 THEN 0.0 ELSE {COUNT_SQL} / greatest(1.0, length(text) / 1000.0) * CASE WHEN regexp_matches(substr(text, 1, 400), '{NAV}') THEN 0.1 ELSE 1.0 END END"
+_HITS = "len(regexp_extract_all({}, '{}'))"
+
+
+def _best_sql(category: str, score: str) -> str:
+    return f"(SELECT *, row_number() OVER (PARTITION BY site ORDER BY score DESC, ord) AS b FROM (SELECT *, {score} AS score, row_number() OVER (PARTITION BY site ORDER BY ord) AS k FROM d WHERE kind < 2 AND {_accepted_sql(category)}) WHERE k <= 3)"
+
+
+@query("capture_policies", f"""WITH d AS MATERIALIZED (SELECT CAST(doc_id // 3 AS VARCHAR) AS site, doc_id AS ord, 'https://x/' || doc_id AS url, doc_id % 4 AS kind, text || CASE WHEN doc_id % 5 = 0 THEN ' Express shipping $' || (doc_id % 7 + 1) || '.25 now.' ELSE '' END AS text FROM documents),
+sites AS (SELECT DISTINCT site FROM d), rb AS MATERIALIZED {_best_sql(RETURN, _DENSITY)}, sb AS MATERIALIZED {_best_sql(SHIP, SCORE_SQL)}, hm AS (SELECT * FROM d WHERE kind = 2 QUALIFY row_number() OVER (PARTITION BY site ORDER BY ord) = 1),
+ch AS (SELECT site AS key, text FROM sb WHERE b = 1), tx AS (SELECT site AS key, ord, text FROM sb), mg AS MATERIALIZED {merged_sql("ch", "tx")},
+tm AS (SELECT site || '/' || ord AS k, site, ord, url, text FROM d WHERE kind = 3), sc AS (SELECT site, arg_min(url, ord) AS legal_url, arg_min(section, ord) AS legal FROM (SELECT tm.*, section FROM tm JOIN {section_sql("tm", "k")} x USING (k)) WHERE section IS NOT NULL GROUP BY site),
+rt AS (SELECT s.site, CASE WHEN rb.text IS NOT NULL THEN rb.url ELSE h.url END AS url, coalesce(rb.text, h.text) AS text FROM sites s LEFT JOIN (SELECT * FROM rb WHERE b = 1) rb ON rb.site = s.site LEFT JOIN (SELECT * FROM hm WHERE {_accepted_sql(RETURN)}) h ON h.site = s.site),
+rr AS (SELECT rt.site, CASE WHEN text IS NOT NULL THEN url ELSE legal_url END AS returns_url, coalesce(text, legal) AS returns FROM rt LEFT JOIN sc ON sc.site = rt.site),
+st AS MATERIALIZED (SELECT s.site, CASE WHEN mg.text IS NOT NULL THEN sb.url ELSE h.url END AS url, coalesce(mg.text, h.text) AS own, coalesce(sb.text, h.text) AS text FROM sites s LEFT JOIN (SELECT * FROM sb WHERE b = 1) sb ON sb.site = s.site LEFT JOIN mg ON mg.key = s.site LEFT JOIN (SELECT * FROM hm WHERE {_accepted_sql(SHIP)}) h ON h.site = s.site),
+sw AS (SELECT st.site, st.url AS shipping_url, CASE WHEN ({_HITS.format("own", SHIP)} < 2 OR {_HITS.format("own", RETURN)} > {_HITS.format("own", SHIP)}) AND {_HITS.format("part", SHIP)} > {_HITS.format("own", SHIP)} THEN part ELSE own END AS shipping FROM st JOIN {window_sql("st", "site")} w USING (site)),
+bo AS (SELECT *, returns_url IS NOT DISTINCT FROM shipping_url AND returns IS NOT DISTINCT FROM shipping AND returns IS NOT NULL AS same FROM rr JOIN sw USING (site))
+SELECT site, CASE WHEN same THEN 'SHIPPING & RETURNS:' || chr(10) || left(returns, 8000) ELSE nullif(concat_ws(chr(10) || chr(10), CASE WHEN returns IS NOT NULL THEN 'RETURNS:' || chr(10) || left({_category_sql("returns", RETURN, SHIP, 0)}, 4000) END, CASE WHEN shipping IS NOT NULL THEN 'SHIPPING:' || chr(10) || left({_category_sql("shipping", SHIP, RETURN, 2)}, 4000) END), '') END AS text,
+  CASE WHEN same THEN returns_url ELSE nullif(concat_ws(' | ', CASE WHEN returns IS NOT NULL THEN returns_url END, CASE WHEN shipping IS NOT NULL THEN shipping_url END), '') END AS urls FROM bo""")
 def _(v):
     return _capture(v)
 
@@ -436,20 +477,7 @@ def _(v):
     return _best(v).select("source", F.md5("text").alias("digest"))
 
 
-#: Without the look-ahead: what follows a row is the head of the gap behind it.
-_RATE = P.RATE_ROW[: P.RATE_ROW.index("(?=")]
-_MADE = "text || ' Standard shipping to you $' || (doc_id % 9) || '.50 and Express $12.00 or free over $50+.'"
-
-
-@query("rate_merge", f"""WITH t AS (SELECT source AS key, doc_id AS ord, {_MADE} AS text FROM documents), ch AS (SELECT key, arg_min(text, ord) AS text FROM t GROUP BY key),
-r0 AS (SELECT key, ord, regexp_extract_all(text, '{_RATE}', 1) AS ls, regexp_extract_all(text, '{_RATE}', 2) AS am, regexp_split_to_array(text, '{_RATE}') AS gaps FROM t),
-r1 AS (SELECT key, ord, unnest(range(len(ls))) AS pos, unnest(ls) AS label, unnest(am) AS amount, unnest(list_transform(gaps[1:len(ls)], lambda x: lower(right(x, {P.BEFORE_RATE})))) AS before, unnest(list_transform(gaps[2:], lambda x: left(x, 4))) AS after FROM r0),
-r2 AS (SELECT key, ord, pos, before, after, '$' || amount AS amount, trim(regexp_replace(label, '\\s+', ' ', 'g'), ' *–-,:') AS label FROM r1 WHERE CAST(amount AS DOUBLE) > 0),
-r3 AS (SELECT * FROM r2 WHERE NOT regexp_matches(before, 'free|complimentary|over') AND NOT regexp_matches(lower(label), 'free|over') AND ltrim(after) NOT LIKE '+%'),
-hv AS (SELECT DISTINCT key, replace(unnest(regexp_extract_all(text, '\\$\\s?\\d+(?:\\.\\d{{2}})?')), ' ', '') AS amount FROM ch),
-n AS (SELECT key, min((ord, pos, label)) AS f, amount FROM r3 ANTI JOIN hv ON r3.key = hv.key AND r3.amount = hv.amount GROUP BY key, lower(label), amount),
-l AS (SELECT key, string_agg(f[3] || ' ' || amount, '; ' ORDER BY f[1], f[2], f[3] || ' ' || amount) AS lines FROM n GROUP BY key)
-SELECT ch.key, CASE WHEN lines IS NOT NULL THEN rtrim(text) || chr(10) || 'Shipping rates: ' || lines || '.' ELSE text END AS text FROM ch LEFT JOIN l ON ch.key = l.key""")
+@query("rate_merge", f"WITH t AS (SELECT source AS key, doc_id AS ord, {_MADE} AS text FROM documents), ch AS (SELECT key, arg_min(text, ord) AS text FROM t GROUP BY key) SELECT * FROM {merged_sql('ch', 't')}")
 def _(v):
     rate = F.concat(F.lit("Standard shipping to you $"), (F.col("doc_id") % 9).cast("string"), F.lit(".50 and Express $12.00 or free over $50+."))
     texts = v.documents.select(F.col("source").alias("key"), F.col("doc_id").alias("ord"), F.concat("text", F.lit(" "), rate).alias("text"))
