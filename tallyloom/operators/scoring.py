@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chunks import budget_chunks  # noqa: F401 (its place in earlier versions)
 from .rules import verdict_class
 
 #: Ranges of values that ranks are counted in; a power of two.
