@@ -18,7 +18,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
-from itertools import count, islice
+from itertools import chain, count, islice
 
 import numpy as np
 import public_tokenizers
@@ -36,6 +36,8 @@ from .shared import cut, give_back, in_slices
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LENGTH = 2048
 END = 1
+#: Stands for END among runs; no run is empty.
+END_RUN = ""
 #: A shard is closed at so many documents or characters; an index never holds more (but for one longer text).
 SHARD_DOCS, SHARD_CHARS = 2048, 8_000_000
 #: Okapi constants.
@@ -77,13 +79,20 @@ class Encoder:
     def clear(self) -> None:
         """Forget all runs: number of each run; by number, where its ids are in flat, and its word (a hash)."""
         self.numbers: dict[str, int] = defaultdict(count().__next__)
-        self.start, self.size, self.word, self.flat = (np.empty(0, np.int64),) * 3 + (np.empty(0, "<u4"),)
+        self.numbers[END_RUN]  # number 0, whose one id is END
+        self.start, self.size, self.word, self.flat = np.zeros(1, np.int64), np.ones(1, np.int64), np.zeros(1, np.int64), np.array([END], "<u4")
 
-    def number(self, texts: list[str]) -> list[np.ndarray]:
-        """The numbers of the lower-cased runs of each text; each different run is looked up once."""
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Token ids of each text, END last, and its words; each different run is looked up once."""
+        if not texts:
+            return [], []
         sizes, at, runs = split_runs(texts)
         numbers = np.fromiter(map(self.numbers.__getitem__, runs.to_pylist()), np.int64, len(runs))[at]
-        return np.split(numbers, np.cumsum(sizes)[:-1]) if texts else []
+        self.learn()
+        ends = np.cumsum(sizes)
+        closed = np.insert(numbers, ends, 0)
+        tokens = np.append(0, np.cumsum(self.size[closed]))[ends + np.arange(1, ends.size + 1)]
+        return np.split(self.ids(closed), tokens[:-1]), np.split(self.word[numbers], ends[:-1])
 
     def learn(self) -> None:
         """Encode the runs numbered since the last call. A word and one mark behind it are two pieces, encoded once
@@ -95,17 +104,20 @@ class Encoder:
         new = list(islice(self.numbers, old, None))
         if not new:
             return
+        known = pa.array(new, pa.string())
         base = self.flat.size
         self.start, self.size = (np.append(x, np.zeros(len(new), np.int64)) for x in (self.start, self.size))
-        self.word = np.append(self.word, word_hashes(pa.array(new, pa.string())))
+        self.word = np.append(self.word, word_hashes(known))
         plain = np.ones(len(new), bool)
         plain[[k - old for k, _, _ in marked]] = False
         at = np.flatnonzero(plain)
         if at.size:
-            runs = [new[k] for k in at]
-            pieces = np.array([1 if r.isalpha() else len(PIECE.findall(r)) for r in runs], np.int64)
+            runs = [new[k] for k in at.tolist()]
+            pieces = np.ones(at.size, np.int64)
+            odd = np.flatnonzero(~pc.utf8_is_alpha(known).to_numpy(zero_copy_only=False)[at])
+            pieces[odd] = [len(PIECE.findall(runs[k])) for k in odd.tolist()]
             parts = [" ".join(runs[k : k + RUNS_AT_ONCE]) for k in range(0, len(runs), RUNS_AT_ONCE)]
-            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.plain.encode_batch_fast(parts, add_special_tokens=False)])
+            ids = np.fromiter(chain.from_iterable(e.ids for e in self.plain.encode_batch_fast(parts, add_special_tokens=False)), "<u4")
             ends = np.flatnonzero(self.ends[ids])[np.cumsum(pieces) - 1] + 1
             start = np.append(0, ends[:-1])
             self.start[old + at], self.size[old + at] = start + base, ends - start
@@ -188,14 +200,10 @@ def encode_shard(texts: list[str], own: Encoder) -> tuple[list[np.ndarray], list
     if len(own.numbers) > CACHE_RUNS:
         own.clear()
     usual = pc.invert(pc.match_substring_regex(pa.array(texts, pa.string()), UNUSUAL)).to_pylist()
-    found = iter(own.number([t for t, ok in zip(texts, usual, strict=True) if ok]))
-    numbers = [next(found) if ok else None for ok in usual]
-    own.learn()
-    end, ids, words = np.array([END], "<u4"), [], []
-    for text, runs in zip(texts, numbers, strict=True):
-        ids.append(np.append(own.whole(text) if runs is None else own.ids(runs), end))
-        words.append(word_hashes(pa.array(text.lower().split(), pa.string())) if runs is None else own.word[runs])
-    return ids, words
+    found = zip(*own.encode([t for t, ok in zip(texts, usual, strict=True) if ok]), strict=True)
+    end = np.array([END], "<u4")
+    both = [next(found) if ok else (np.append(own.whole(t), end), word_hashes(pa.array(t.lower().split(), pa.string()))) for t, ok in zip(texts, usual, strict=True)]
+    return [ids for ids, _ in both], [words for _, words in both]
 
 
 class Statistics:
@@ -394,7 +402,6 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             size = np.array([t.size for t in tokens], np.int64)[doc]
             out = [pa.array([ids[d] for d in doc], pa.int64()), start, length, np.array(crc, np.int64), size, sequence + base, offset]
             base += int(sequence.max()) + 1
-            give_back()
             return pa.RecordBatch.from_arrays([pa.array(x) if isinstance(x, np.ndarray) else x for x in out], [c.split()[0] for c in SCHEMA.split(", ")])
 
         ids, texts, size = [], [], 0
@@ -408,5 +415,6 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                     ids, texts, size = [], [], 0
         if ids:
             yield close(ids, texts)
+        give_back()
 
     return together(rows).mapInArrow(run, SCHEMA)
