@@ -10,6 +10,7 @@ from ..operators import catalog as C
 from ..operators import reconcile as R
 from ..operators import rules as Q
 from ..operators import runs as X
+from ..operators.sets import difference
 from ..sources.scratch import scratch_path
 from ..sources.staging import Staging
 from .queries import BEAUTY, CATEGORIES, GUARD, STORES, dom, query
@@ -307,7 +308,7 @@ def _(v):
 def _(v):
     linked = v.products.select(F.explode("images").alias("url")).select(U.file_name(F.col("url")).alias("path")).distinct()
     stored = linked.unionByName(v.products.where("pid % 2 = 0").select(F.concat("pid", F.lit("-9.jpg")).alias("path")).distinct())
-    return stored.join(linked, "path", "left_anti")
+    return difference(stored, linked, ["path"])
 
 
 @query("reviewed_delete", "SELECT store_id, product_id FROM products WHERE pid % 10 <> 3", P)

@@ -23,8 +23,9 @@ def write(rows: DataFrame, path: str, *key: str, rows_a_file: int = ROWS) -> Non
 
 
 class Layout:
-    def __init__(self, spark: SparkSession, path: str, key: str) -> None:
-        self.spark, self.path, self.key = spark, path, key
+    def __init__(self, spark: SparkSession, path: str, *key: str) -> None:
+        """key: as it was written by; pages and windows go by its first column, rows within them by all."""
+        self.spark, self.path, self.key, self.order = spark, path, key[0], key
         self.index = spark.read.parquet(f"{path}/index")
         self.rows = spark.read.parquet(f"{path}/data")
 
@@ -34,7 +35,7 @@ class Layout:
         return self.spark.read.schema(self.rows.schema).parquet(*names) if names else self.rows.limit(0)
 
     def page(self, after: object, limit: int) -> DataFrame:
-        """The first `limit` rows behind a key (None: from the start), in order of the key. Opens the file that the key falls
+        """The first `limit` rows behind a key (None: from the start), in order. Opens the file that the key falls
         into and those behind it that are needed to fill the page."""
         left = self.index if after is None else self.index.where(F.col("high") > F.lit(after))
         # the first file may hold nothing behind the key but its last row; those wholly behind it count in full
@@ -45,7 +46,7 @@ class Layout:
         # a file that shares a key with the one before may hold rows of the page however many came before
         needed = left.withColumn("before", before).withColumn("ahead", ahead).where((F.col("before") < limit) | (F.col("low") < F.col("ahead")))
         rows = self._files(needed)
-        return (rows if after is None else rows.where(F.col(self.key) > F.lit(after))).orderBy(self.key).limit(limit)
+        return (rows if after is None else rows.where(F.col(self.key) > F.lit(after))).orderBy(*self.order).limit(limit)
 
     def window(self, start: object, end: object, where: Column | None = None) -> DataFrame:
         """The rows whose key lies between start and end (both in)."""

@@ -10,6 +10,7 @@ from tallyloom.functions import sql as SQL
 from tallyloom.functions import text as T
 from tallyloom.operators import commands as M
 from tallyloom.operators import reconcile as R
+from tallyloom.operators import sets as S
 from tallyloom.sources import layout as Y
 
 from test_runs import PAGE, RETURNS, SHIPPING, WORDS, page
@@ -139,5 +140,21 @@ def test_pages_open_few_files(spark, tmp_path):
     # a key that fills several files, and rows without one
     rows = spark.range(1000).select(F.when(F.col("id") < 900, 7).when(F.col("id") < 990, F.col("id")).alias("k"), "id")
     Y.write(rows, str(tmp_path / "hot"), "k", "id", rows_a_file=100)
-    hot = Y.Layout(spark, str(tmp_path / "hot"), "k")
-    assert [r.k for r in hot.page(6, 5).collect()] == [7] * 5 and [r.k for r in hot.page(7, 3).collect()] == [900, 901, 902] and hot.window(7, 7).count() == 900
+    hot = Y.Layout(spark, str(tmp_path / "hot"), "k", "id")
+    assert [(r.k, r.id) for r in hot.page(6, 5).collect()] == [(7, k) for k in range(5)] and len(hot.page(6, 150).inputFiles()) <= 3
+    assert [r.id for r in hot.page(6, 150).collect()] == list(range(150)) and [r.k for r in hot.page(7, 3).collect()] == [900, 901, 902] and hot.window(7, 7).count() == 900
+
+
+def test_difference_equals_the_anti_join(spark, monkeypatch):
+    rng = random.Random(3)
+    left = [(rng.randrange(3000), rng.choice("ab")) for _ in range(4000)] + [(None, "a"), (1, None)] * 3
+    right = [(rng.randrange(1500), rng.choice("ab")) for _ in range(3000)] + [(None, "a")]
+    a, b = (spark.createDataFrame(x, "k int, s string") for x in (left, right))
+    wanted = sorted(map(str, a.join(b, ["k", "s"], "left_anti").collect()))
+    assert sorted(map(str, S.difference(a, b, ["k", "s"]).collect())) == wanted
+    maybe = a.join(F.broadcast(S.bloom(b, ["k", "s"])), S.may_hold(["k", "s"]), "left_semi")
+    sure = len({x for x in left} - {x for x in right})
+    assert maybe.distinct().count() <= len({x for x in left} & {x for x in right}) + 0.05 * sure + 2  # few false positives
+    assert S.difference(a, b.where("false"), ["k", "s"]).count() == len(left) and S.difference(a.where("false"), b, ["k", "s"]).count() == 0
+    monkeypatch.setattr(S, "MOST_BITS", 128)  # a filter that is full lets everything pass, and the answer is the same
+    assert sorted(map(str, S.difference(a, b, ["k", "s"]).collect())) == wanted
