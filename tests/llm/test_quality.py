@@ -383,7 +383,7 @@ def test_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("pages", "embeddings", "conversations"):
+    for t in ("pages", "embeddings", "conversations", "documents", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = registry.queries()[name](spark, SF)
     columns = sorted(df.columns)
