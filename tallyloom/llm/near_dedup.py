@@ -26,7 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, in_slices
+from ..operators.sets import bloom, may_hold
+from .shared import cut, in_slices, passing
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -480,43 +481,52 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     similar to nothing: class_id is its doc_id. A null doc_id: class_id null and keep true, and the row joins no class.
     Rows that repeat a doc_id share its class. No rows give no rows; other columns are dropped.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.unhex(F.md5("text")).alias("key"), "text").where("doc_id IS NOT NULL")
-    signed = cut(rows.mapInArrow(_to_bands, "doc_id long, key binary, bands array<long>, sketch binary, shingles long"), "signed")
-    copies = cut(signed.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("_rep"), F.count("*").alias("_n")).where("_n > 1").drop("_n"), "copies")
-    known = signed.join(copies.hint("merge"), "key", "left").withColumn("node", F.coalesce("_rep", "doc_id"))
-    own = F.col("doc_id") == F.col("node")
-    copied = F.col("_rep").isNotNull()
-    known = cut(known.select("doc_id", "node", "key", copied.alias("copied"), F.when(own, F.col("bands")).alias("bands"), F.when(own, F.col("sketch")).alias("sketch"), "shingles"), "nodes")
-    # a node for each doc_id and text, so that nothing squares where rows repeat or a doc_id has many texts
-    columns = ("node", "key", "bands", "sketch", "shingles")
-    nodes = known.where("bands IS NOT NULL AND NOT copied").select(*columns)
-    nodes = nodes.unionByName(known.where("bands IS NOT NULL AND copied").select(*columns).dropDuplicates(["node", "key"]))
-    sketches = nodes.select("node", "key", "sketch", "shingles")
-    left = nodes.select("node", "key", F.explode("bands").alias("bucket"))
-    sized = cut(left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    rows = left.join(sized.hint("merge"), "bucket").join(sketches.hint("merge"), ["node", "key"]).select("bucket", "node", "sketch", "shingles", "n")
-    rows = cut(rows, "rows")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").where("text IS NOT NULL")
-    pairs = cut(near_pairs(rows).distinct(), "pairs")
-    larger = rows.where(F.col("n") > FEW)
-    asked = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(larger.select(F.col("node").alias("doc_id"))).distinct()
-    texts = cut(texts.join(asked.hint("merge"), "doc_id", "left_semi"), "texts")
-    classes = components(similar_pairs(pairs, texts).where("similar").select("a", "b"))
-    links = links_across(larger, classes, texts)
-    if not links.isEmpty():
-        classes = joined_classes(classes, links)
-    found = known.select("doc_id", "node").join(classes, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class_id"))
-    found = found.withColumn("keep", F.col("doc_id") == F.col("class_id"))
-    lost = docs.where("doc_id IS NULL").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"), F.lit(True).alias("keep"))
-    return found.unionByName(lost)
+    with passing(docs.sparkSession) as leave:
+        rows = docs.select(F.col("doc_id").cast("long"), F.unhex(F.md5("text")).alias("key"), "text").where("doc_id IS NOT NULL")
+        signed = cut(rows.mapInArrow(_to_bands, "doc_id long, key binary, bands array<long>, sketch binary, shingles long"), "signed")
+        copies = cut(signed.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("_rep"), F.count("*").alias("_n")).where("_n > 1").drop("_n"), "copies")
+        known = signed.join(copies.hint("merge"), "key", "left").withColumn("node", F.coalesce("_rep", "doc_id"))
+        own = F.col("doc_id") == F.col("node")
+        copied = F.col("_rep").isNotNull()
+        known = cut(known.select("doc_id", "node", "key", copied.alias("copied"), F.when(own, F.col("bands")).alias("bands"), F.when(own, F.col("sketch")).alias("sketch"), "shingles"), "nodes")
+        # a node for each doc_id and text, so that nothing squares where rows repeat or a doc_id has many texts
+        columns = ("node", "key", "bands", "sketch", "shingles")
+        nodes = known.where("bands IS NOT NULL AND NOT copied").select(*columns)
+        nodes = nodes.unionByName(known.where("bands IS NOT NULL AND copied").select(*columns).dropDuplicates(["node", "key"]))
+        sketches = nodes.select("node", "key", "sketch", "shingles")
+        left = nodes.select("node", "key", F.explode("bands").alias("bucket"))
+        sized = cut(left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+        rows = left.join(sized.hint("merge"), "bucket").join(sketches.hint("merge"), ["node", "key"]).select("bucket", "node", "sketch", "shingles", "n")
+        rows = cut(rows, "rows")
+        texts = docs.select(F.col("doc_id").cast("long"), "text").where("text IS NOT NULL")
+        pairs = cut(near_pairs(rows).distinct(), "pairs")
+        larger = rows.where(F.col("n") > FEW)
+        asked = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(larger.select(F.col("node").alias("doc_id"))).distinct()
+        asked = cut(asked, "asked")
+        # only texts that a Bloom filter of the ids lets pass are shuffled
+        texts = texts.join(F.broadcast(bloom(asked, ["doc_id"])), may_hold(["doc_id"]), "left_semi")
+        texts = cut(texts.join(asked.hint("merge"), "doc_id", "left_semi"), "texts")
+        classes = components(similar_pairs(pairs, texts).where("similar").select("a", "b"))
+        links = links_across(larger, classes, texts)
+        if not links.isEmpty():
+            classes = joined_classes(classes, links)
+        found = known.select("doc_id", "node").join(classes, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class_id"))
+        found = found.withColumn("keep", F.col("doc_id") == F.col("class_id"))
+        lost = docs.where("doc_id IS NULL").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"), F.lit(True).alias("keep"))
+        return leave(found.unionByName(lost), "found")
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs that near_duplicates keeps, with all their columns; of rows that repeat a doc_id with the same
     text, one."""
-    found = cut(near_duplicates(docs), "found")
-    gone = found.where("NOT keep").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found = near_duplicates(docs)
+    gone = cut(found.where("NOT keep").select("doc_id").distinct(), "gone")
+    # what a Bloom filter of the ids that go does not hold stays where it lies, the rest is joined; a plan for any size
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*docs.columns).alias("row"))
+    held = F.broadcast(bloom(gone, ["doc_id"]))
+    sure = rows.join(held, may_hold(["doc_id"]), "left_anti")
+    maybe = rows.join(held, may_hold(["doc_id"]), "left_semi")
+    kept = sure.unionByName(maybe.join(gone.hint("merge"), "doc_id", "left_anti")).select("row.*")
     twice = cut(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
     if twice.isEmpty():
         return kept

@@ -6,11 +6,16 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+#: The folders of tables cut within the innermost passing().
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,16 +36,47 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: a lost executor then costs a reread, not the
-    whole lineage. The folder goes when the driver's JVM ends."""
+    whole lineage. The folder goes with the passing() that it is cut in, or when the driver's JVM ends."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if (own := _PASSING.get()) is not None:
+        own.append(path)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    files, where = _folder(spark, path)
+    files.deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """The file system of a folder, and its path there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables cut within are deleted at the end, so that disk holds them no longer than they are read; nothing may read
+    them later. What is cut by the function given stays: it belongs to what encloses this."""
+    outer, own = _PASSING.get(), []
+
+    def leave(df: DataFrame, name: str) -> DataFrame:
+        inside = _PASSING.set(outer)
+        try:
+            return cut(df, name)
+        finally:
+            _PASSING.reset(inside)
+
+    before = _PASSING.set(own)
+    try:
+        yield leave
+    finally:
+        _PASSING.reset(before)
+        for path in own:
+            with contextlib.suppress(Py4JJavaError):  # then it goes when the JVM ends
+                files, where = _folder(spark, path)
+                files.delete(where, True)
+
+
 def give_back() -> None:
     """Hand memory that this process has freed back to the system: Python workers live on between stages, and executors
     are small."""

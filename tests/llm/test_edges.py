@@ -2,14 +2,16 @@
 
 import hashlib
 import json
+import os
 import random
+import tempfile
 import zlib
 from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.llm import byte_bpe, language, near_dedup, norm_search, packing, sharding, tool_calls, toxicity, urls, weighted_sampling
+from tallyloom.llm import byte_bpe, language, near_dedup, norm_search, packing, shared, sharding, tool_calls, toxicity, urls, weighted_sampling
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, bucket long, node long, score double, label string, _n long"
 BIG = (1 << 60) + 1
@@ -274,6 +276,27 @@ def test_a_doc_id_of_many_texts_does_not_square(spark, monkeypatch):
     assert counted[0] <= 25 * 202
 
 
+def test_near_dedup_shuffles_few_texts_and_leaves_few_tables(spark, monkeypatch):
+    place = tempfile.mkdtemp(prefix="scratch-")
+    monkeypatch.setattr(shared, "scratch_dir", lambda spark: place)
+    docs = spark.range(3000).selectExpr("CAST(id AS INT) AS doc_id", "concat_ws(' ', transform(sequence(0, 40), k -> substr(md5(concat(id - if(id % 10 = 7, 1, 0), ' ', k)), 1, 6))) AS text", "id AS words", "2 * id AS bits")
+    kept = near_dedup.without_near_duplicates(docs)
+    assert {x.split("-")[0] for x in os.listdir(place)} == {"found", "gone", "twice"}  # before: all that was cut, signed to classes
+    gone = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight, LeftSemi" in gone and "BuildRight, LeftAnti" in gone  # before: a join of all rows with their texts
+    rows = kept.collect()
+    assert kept.schema == docs.schema and sorted((r.doc_id, r.words, r.bits) for r in rows) == [(k, k, 2 * k) for k in range(3000) if k % 10 != 7]
+
+
+def test_a_failed_near_dedup_leaves_no_tables(spark, monkeypatch):
+    place = tempfile.mkdtemp(prefix="scratch-")
+    monkeypatch.setattr(shared, "scratch_dir", lambda spark: place)
+    monkeypatch.setattr(near_dedup, "components", lambda links: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        near_dedup.near_duplicates(spark.createDataFrame([(1, "a text"), (2, "a text")], "doc_id long, text string"))
+    assert os.listdir(place) == []
+
+
 def test_rows_without_an_id_are_dealt_out(spark):
     docs = spark.range(8000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'one place for all of these rows' AS text")
     rows, _ = packing.placed(docs)
