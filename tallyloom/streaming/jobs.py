@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,22 @@ from ..operators import catalog as C
 from ..operators import reconcile as R
 from ..sources.snapshots import Snapshots
 
+#: Rows of a Parquet file that a stream's scan holds at once. Spark's 4,096 are a gigabyte where a page's body has 250 KB.
+PAGES_A_BATCH = 64
+
+
+@contextmanager
+def page_wise(spark: SparkSession) -> Iterator[None]:
+    """Streams that are started within read wide rows, a few at once. (A stream has a copy of the settings as they are when
+    it starts.)"""
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, PAGES_A_BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
 
 def arrivals(spark: SparkSession, path: str, schema: StructType, files: int = 4) -> DataFrame:
     """Rows of the Parquet files that land in a folder, a few files a batch."""
@@ -30,7 +47,8 @@ def run(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int, str
         named.wait()
         batch(rows, number, writer[0])
 
-    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with page_wise(stream.sparkSession):
+        query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     writer.append(query.id)
     named.set()
     query.awaitTermination()
@@ -59,11 +77,12 @@ def ingest(spark: SparkSession, pages: DataFrame, state: str, checkpoint: str, c
     return versioned(spark, pages, state, checkpoint, upsert)
 
 
-def first_seen(pages: DataFrame) -> DataFrame:
-    """A stream's products, each (domain, product_id) once within the watermark of `landed`."""
-    rows = pages.withWatermark("landed", "1 hour").select("landed", "domain", F.explode(F.from_json("body", C.SCHEMA)["products"]).alias("p"))
-    rows = rows.where("p.id IS NOT NULL AND p.id NOT IN ('', '0')").select("landed", "domain", F.col("p.id").alias("product_id"))
-    return rows.dropDuplicatesWithinWatermark(["domain", "product_id"])
+def first_seen(pages: DataFrame, keys: tuple[str, ...] = C.PRODUCT) -> DataFrame:
+    """A stream's products (landed, domain, pos, product_id), each (domain, product_id) once within the watermark of
+    `landed`; or each place, see first_seen_products."""
+    rows = pages.withWatermark("landed", "1 hour").select("landed", "domain", F.posexplode(F.from_json("body", C.SCHEMA)["products"]).alias("pos", "p"))
+    rows = rows.where("p.id IS NOT NULL AND p.id NOT IN ('', '0')").select("landed", "domain", "pos", F.col("p.id").alias("product_id"))
+    return rows.dropDuplicatesWithinWatermark(list(keys))
 
 
 def idle_sessions(beats: DataFrame, idle: str, watermark: str | None = None, terminal: tuple[str, ...] = (), hard_seconds: int | None = None) -> DataFrame:
@@ -121,6 +140,7 @@ def two_phase(spark: SparkSession, pages: DataFrame, staging: str, saved: str, p
 
 def collected(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """What a stream appends, as a table."""
-    query = stream.writeStream.format("parquet").outputMode(mode).option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with page_wise(stream.sparkSession):
+        query = stream.writeStream.format("parquet").outputMode(mode).option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
