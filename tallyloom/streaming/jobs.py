@@ -112,12 +112,12 @@ def live_deltas(counts: DataFrame) -> DataFrame:
     return counts.withColumn("delta", F.col("n") - F.coalesce(F.lag("n").over(before), F.lit(0))).withColumn("fresh", F.coalesce(F.col("latest") > F.lag("latest").over(before), F.lit(True)))
 
 
-def two_phase(spark: SparkSession, pages: DataFrame, staging: str, saved: str, progress: str, run_id: str, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def two_phase(spark: SparkSession, pages: DataFrame, staging: str, saved: str, progress: str, run_id: str, keep: Callable[[DataFrame], DataFrame], keys: tuple[str, ...] = C.PRODUCT) -> DataFrame:
     """Phase 1 stages the products of pages for a run; phase 2 takes what is staged for it, saves what `keep` leaves, each
-    (domain, product_id) once, as it was staged last, and clears the staging. Both resume by run id: their checkpoints
+    (domain, product_id) once (or each place, see first_seen_products), as it was staged last, and clears the staging. Both resume by run id: their checkpoints
     are named after it, a staged batch that comes again writes the same folder, and one saved again changes nothing. What
     this run has saved, as a table; an empty one if nothing arrived."""
-    stage, keys = f"{staging}/run={run_id}", ["domain", "product_id"]
+    stage, keys = f"{staging}/run={run_id}", list(keys)
     schema = C.extract_catalog(spark.createDataFrame([], pages.schema)).schema
     order = F.col("page") * 100_000 + F.col("pos")
     run(pages, f"{progress}/{run_id}/phase1", lambda rows, number, writer: C.extract_catalog(rows).write.mode("overwrite").parquet(f"{stage}/{writer}-{number}"))
