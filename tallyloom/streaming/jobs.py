@@ -65,9 +65,10 @@ def versioned(spark: SparkSession, stream: DataFrame, state: str, checkpoint: st
     return table.read()
 
 
-def ingest(spark: SparkSession, pages: DataFrame, state: str, checkpoint: str, columns: list[str]) -> DataFrame | None:
-    """Pages extracted and upserted into a state as they arrive (see versioned); nothing ever arrived: None."""
-    keys = ["domain", "product_id"]
+def ingest(spark: SparkSession, pages: DataFrame, state: str, checkpoint: str, columns: list[str], keys: tuple[str, ...] = C.PRODUCT) -> DataFrame | None:
+    """Pages extracted and upserted into a state by keys as they arrive (see versioned); nothing ever arrived: None. With keys
+    PLACE an id that stands at two places of a catalog has two rows, told apart by pos."""
+    keys = list(keys)
 
     def upsert(old: DataFrame | None, rows: DataFrame) -> DataFrame:
         new = C.extract_catalog(rows).withColumn("ord", F.col("page") * 100_000 + F.col("pos")).select(*keys, "ord", *columns)

@@ -14,7 +14,7 @@ from tallyloom.streaming import stateful as W
 from test_queries import SF, plain
 from test_runs import PAGE, page
 
-NAMES = ["stream_dedupe", "two_phase"]
+NAMES = ["stream_dedupe", "two_phase", "stream_ingest"]
 
 
 @pytest.fixture(scope="module")
