@@ -19,12 +19,16 @@ from ..operators.reconcile import END_STATUSES
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: New ids of a domain that a worker remembers before they are put into the state store.
+MOST_FRESH = 100_000
+
 PAGE_EVENTS = "domain string, kind string, product_id string, page int, reason string, complete boolean, products long"
 
 
 class PageWalk(StatefulProcessor):
     """The state of a domain: pages that came before those in front of them, with what they list and why they end the walk, if
-    they do; the next page due; ids seen, an entry each; and whether the walk has ended."""
+    they do; the next page due; ids seen, an entry each; and whether the walk has ended. Ids of the rows at hand go to the
+    store when these are through, or when there are many: most walks end with the rows that began them, and leave none."""
 
     def __init__(self, cap: int, idle_ms: int) -> None:
         self.cap, self.idle_ms = cap, idle_ms
@@ -38,13 +42,18 @@ class PageWalk(StatefulProcessor):
     def _rows(self, rows: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(rows, columns=[x.split()[0] for x in PAGE_EVENTS.split(", ")]).astype({"page": "Int32", "complete": "boolean", "products": "Int64"})
 
-    def _take(self, domain: str, page: int, ids: list[str]) -> list[tuple]:
-        """A page's turn: its ids that were not seen before."""
-        new = [i for i in dict.fromkeys(ids) if not self.ids.containsKey((i,))]
-        for i in new:
-            self.ids.updateValue((i,), (page,))
+    def _take(self, domain: str, page: int, ids: list[str], fresh: dict[str, int], stored: bool) -> list[tuple]:
+        """A page's turn: its ids that were not seen before, neither in fresh nor, where there are any, in the store."""
+        new = [i for i in dict.fromkeys(ids) if i not in fresh and not (stored and self.ids.containsKey((i,)))]
+        fresh.update(dict.fromkeys(new, page))
         return [(domain, "id", i, page, None, None, None) for i in new]
 
+    def _store(self, fresh: dict[str, int]) -> bool:
+        for i, page in fresh.items():
+            self.ids.updateValue((i,), (page,))
+        fresh.clear()
+        return True
+
     def _end(self, domain: str, page: int, reason: str, products: int) -> list[tuple]:
         """The walk is over; all that is remembered from now on is that it is."""
         self.ahead.clear()
@@ -55,7 +64,8 @@ class PageWalk(StatefulProcessor):
         return [(domain, "end", None, page, reason, reason in ("empty", "end of catalog"), products)]
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        due, last, products, ended, timer = self.walk.get() if self.walk.exists() else (1, 0, 0, False, 0)
+        stored, fresh = self.walk.exists(), {}
+        due, last, products, ended, timer = self.walk.get() if stored else (1, 0, 0, False, 0)
         latest = 0
         for batch in rows:
             if ended:  # a page behind the end changes nothing
@@ -68,8 +78,9 @@ class PageWalk(StatefulProcessor):
             return
         while self.ahead.containsKey((due,)):
             stop, ids = self.ahead.getValue((due,))
-            new = [] if stop else self._take(key[0], due, ids)
+            new = [] if stop else self._take(key[0], due, ids, fresh, stored)
             products += len(new)
+            stored = self._store(fresh) if len(fresh) > MOST_FRESH else stored
             if stop or due >= self.cap:
                 new += self._end(key[0], due, stop or "cap", products)
             else:
@@ -79,6 +90,7 @@ class PageWalk(StatefulProcessor):
             if stop or due >= self.cap:
                 return
             due += 1
+        self._store(fresh)
         if latest + self.idle_ms > timer:
             if timer:
                 self.handle.deleteTimer(timer)
@@ -91,14 +103,15 @@ class PageWalk(StatefulProcessor):
         due, last, products, ended, _ = self.walk.get()
         if ended:
             return
-        pages = sorted((k[0], v[0], v[1]) for k, v in self.ahead.iterator())
+        pages, stored, fresh = sorted((k[0], v[0], v[1]) for k, v in self.ahead.iterator()), True, {}
         page, reason = last, "cap" if last >= self.cap else "budget"
         for at, stop, ids in pages:
             if stop or at > self.cap:
                 page, reason = at, stop or "cap"
                 break
-            new = self._take(key[0], at, ids)
+            new = self._take(key[0], at, ids, fresh, stored)
             products += len(new)
+            stored = self._store(fresh) if len(fresh) > MOST_FRESH else stored
             if new:
                 yield self._rows(new)
         yield self._rows(self._end(key[0], page, reason, products))

@@ -14,7 +14,7 @@ from tallyloom.streaming import stateful as W
 from test_queries import SF, plain
 from test_runs import PAGE, page
 
-NAMES = ["stream_dedupe", "two_phase", "stream_ingest"]
+NAMES = ["stream_dedupe", "two_phase", "stream_ingest", "stream_completeness"]
 
 
 @pytest.fixture(scope="module")
@@ -62,3 +62,15 @@ def test_streams_hold_few_wide_rows_and_bounded_state(spark, tmp_path):
     assert seen == [str(J.PAGES_A_BATCH)] and spark.conf.get(name) == before
     W.with_state_store(spark, 100)
     assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage") == "true" and spark.conf.get("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB") == "100"
+
+
+def test_ids_of_a_walk_go_to_the_store_when_rows_are_through():
+    class Ids(dict):
+        containsKey, updateValue = dict.__contains__, dict.__setitem__
+
+    walk = W.PageWalk(100, 1000)
+    walk.ids, fresh = Ids(), {}
+    assert [r[2] for r in walk._take("a", 1, ["1", "2", "1"], fresh, False)] == ["1", "2"] and not walk.ids
+    assert [r[2] for r in walk._take("a", 2, ["2", "3"], fresh, False)] == ["3"]
+    assert walk._store(fresh) and set(walk.ids) == {("1",), ("2",), ("3",)} and not fresh
+    assert [r[2] for r in walk._take("a", 3, ["3", "4"], fresh, True)] == ["4"] and ("4",) not in walk.ids
