@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from tallyloom.operators import catalog as C
+from tallyloom.operators import reconcile as R
 from tallyloom.streaming import jobs as J
 from tallyloom.streaming import stateful as W
 
 from test_queries import SF, plain
 from test_runs import PAGE, page
 
-NAMES = ["stream_dedupe", "two_phase", "stream_ingest", "stream_completeness"]
+NAMES = ["stream_dedupe", "two_phase", "stream_ingest", "stream_completeness", "catalog_diff"]
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +75,15 @@ def test_ids_of_a_walk_go_to_the_store_when_rows_are_through():
     assert [r[2] for r in walk._take("a", 2, ["2", "3"], fresh, False)] == ["3"]
     assert walk._store(fresh) and set(walk.ids) == {("1",), ("2",), ("3",)} and not fresh
     assert [r[2] for r in walk._take("a", 3, ["3", "4"], fresh, True)] == ["4"] and ("4",) not in walk.ids
+
+
+def test_diffs_of_rows_that_repeat(spark):
+    keys = ["domain", "product_id"]
+    production = [("a", "1"), ("a", "1"), ("a", "2"), ("b", "1"), ("b", "1"), ("b", "2"), ("c", "9")]
+    scraped = [("a", "1"), ("a", "3"), ("a", "3"), ("b", "1"), ("b", "1"), ("b", "2")]
+    p, s = (spark.createDataFrame(x, "domain string, product_id string") for x in (production, scraped))
+    rows = [("a", "1", "matched")] * 2 + [("a", "2", "missing")] + [("a", "3", "new")] * 2 + [("b", "1", "matched")] * 4 + [("b", "2", "matched"), ("c", "9", "missing")]
+    assert sorted(map(tuple, R.catalog_diff(p, s, keys, repeats=True).collect())) == rows
+    for ranges in (1, 64):
+        assert sorted(map(tuple, R.digest_diff(p, s, keys, ranges, repeats=True).collect())) == rows
+    assert R.catalog_diff(p, s, keys).count() == R.digest_diff(p, s, keys).count() == 6
