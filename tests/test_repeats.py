@@ -15,7 +15,7 @@ from tallyloom.streaming import stateful as W
 from test_queries import SF, plain
 from test_runs import PAGE, page
 
-NAMES = ["stream_dedupe", "two_phase", "stream_ingest", "stream_completeness", "catalog_diff", "range_diff", "removal_plan", "extraction_funnel"]
+NAMES = ["stream_dedupe", "two_phase", "stream_ingest", "stream_completeness", "catalog_diff", "range_diff", "removal_plan", "extraction_funnel", "first_seen_products"]
 
 
 @pytest.fixture(scope="module")
