@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from tallyloom.operators import catalog as C
+from tallyloom.operators import commands as M
 from tallyloom.operators import reconcile as R
 from tallyloom.streaming import jobs as J
 from tallyloom.streaming import stateful as W
@@ -15,7 +16,7 @@ from tallyloom.streaming import stateful as W
 from test_queries import SF, plain
 from test_runs import PAGE, page
 
-NAMES = ["stream_dedupe", "two_phase", "stream_ingest", "stream_completeness", "catalog_diff", "range_diff", "removal_plan", "extraction_funnel", "first_seen_products", "cap_after_filter"]
+NAMES = ["stream_dedupe", "two_phase", "stream_ingest", "stream_completeness", "catalog_diff", "range_diff", "removal_plan", "extraction_funnel", "first_seen_products", "cap_after_filter", "refresh_products"]
 
 
 @pytest.fixture(scope="module")
@@ -87,3 +88,19 @@ def test_diffs_of_rows_that_repeat(spark):
     for ranges in (1, 64):
         assert sorted(map(tuple, R.digest_diff(p, s, keys, ranges, repeats=True).collect())) == rows
     assert R.catalog_diff(p, s, keys).count() == R.digest_diff(p, s, keys).count() == 6
+
+
+def test_commands_read_pages_once(spark, tmp_path, monkeypatch):
+    """Each body is parsed by one stage; what the walks tell is what page_counts and extract_catalog do."""
+    rows = [page("a.com", 1, [1, 2, 2]), page("a.com", 2, [2, 0]), page("a.com", 3, []), page("b.com", 1, [], 503), ("c.com", 1, 200, "{}"), ("c.com", 2, 200, None)]
+    pages = spark.createDataFrame(rows, PAGE)
+    walks = C.extract_walks(pages)
+    assert sorted(map(str, C.listed_in(walks).collect())) == sorted(map(str, C.extract_catalog(pages).collect()))
+    assert sorted(map(str, C.walk_counts(walks).collect())) == sorted(map(str, C.page_counts(pages).collect()))
+    parsed, parse = [], C.parse_pages
+    monkeypatch.setattr(C, "parse_pages", lambda x: parsed.append(1) or parse(x))
+    products = spark.createDataFrame([("a.com", "2", "old", 1, False)], "domain string, product_id string, item_name string, price_cents long, unavailable boolean")
+    again = lambda repeats: M.refresh_products(M.Run(spark, str(tmp_path), f"r{repeats}"), pages, products, ["item_name"], F.lit(False), repeats=repeats)
+    assert again(False).products.count() == 1 and len(parsed) == 1
+    assert again(True).products.count() == 3 and len(parsed) == 2  # at its three places
+    assert again(True).plan.count() == 1 and len(parsed) == 2  # all stages are there
