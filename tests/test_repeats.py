@@ -16,7 +16,7 @@ from tallyloom.streaming import stateful as W
 from test_queries import SF, plain
 from test_runs import PAGE, page
 
-NAMES = ["stream_dedupe", "two_phase", "stream_ingest", "stream_completeness", "catalog_diff", "range_diff", "removal_plan", "extraction_funnel", "first_seen_products", "cap_after_filter", "refresh_products"]
+NAMES = ["stream_dedupe", "two_phase", "stream_ingest", "stream_completeness", "catalog_diff", "range_diff", "removal_plan", "extraction_funnel", "first_seen_products", "cap_after_filter", "refresh_products", "crawl_stores"]
 
 
 @pytest.fixture(scope="module")
